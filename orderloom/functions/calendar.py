@@ -19,13 +19,19 @@ DETAIL_BATCH = 100
 
 
 # --- columns -------------------------------------------------------------------------------------
-def local_time(instant: Column) -> Column:
-    """Business wall-clock time of an instant, right under any session time zone."""
-    return F.convert_timezone(None, F.lit(BUSINESS_TZ), instant)
+def business_date(instant: Column) -> Column:
+    """Business day of an instant: whole days since 1970 at the fixed offset.
+
+    Plain arithmetic is right under any session time zone and several times faster than converting
+    between time zones row by row.
+    """
+    seconds = F.unix_seconds(instant) + F.lit(int(BUSINESS_OFFSET.total_seconds()))
+    return F.date_from_unix_date(F.floor(seconds / F.lit(86_400)).cast("int"))
 
 
-def business_date(instant: Column) -> Column:
-    return F.to_date(local_time(instant))
+def local_time(instant: Column) -> Column:
+    """Business wall-clock time of an instant; the session has to run in UTC (``pin_utc``)."""
+    return F.from_utc_timestamp(instant, BUSINESS_TZ).cast("timestamp_ntz")
 
 
 def month_of(day: Column) -> Column:

@@ -12,7 +12,7 @@ from orderloom.functions.scalars import blank_to_null, money
 from orderloom.operators.first_purchase import CANCELLED, not_cancelled
 
 COHORT = ["entry_manage_number", "first_order_month"]
-NAMES = ["entry_item_name", "category_name", "brand_name"]
+SHOWN = ["entry_manage_number", "entry_item_name", "category_name", "brand_name"]
 
 
 def _monthly_sales(orders: DataFrame, cancelled: Sequence[str]) -> DataFrame:
@@ -28,24 +28,27 @@ def user_monthly_sales(orders: DataFrame, cancelled: Sequence[str] = CANCELLED)
 
 
 def named_cohorts(first: DataFrame, names: DataFrame) -> DataFrame:
-    """Users with their cohort, and names as the master has them today."""
-    named = first.select("user_email", *COHORT, "entry_item_name").join(
-        names.withColumnRenamed("manage_number", "entry_manage_number"), "entry_manage_number", "left"
-    )
-    return named.select(
-        "user_email",
-        *COHORT,
-        F.coalesce("product_name", "entry_item_name").alias("entry_item_name"),
-        "category_name",
-        "brand_name",
+    """Users with their cohort and the entry product's name as the master has it today."""
+    current = names.select(F.col("manage_number").alias("entry_manage_number"), "product_name")
+    return (
+        first.select("user_email", *COHORT, "entry_item_name")
+        .join(current, "entry_manage_number", "left")
+        .select("user_email", *COHORT, F.coalesce("product_name", "entry_item_name").alias("entry_item_name"))
     )
 
 
+def _labelled(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Category and brand hang on the product alone, so they join after grouping and are no group keys."""
+    labels = names.select(F.col("manage_number").alias("entry_manage_number"), "category_name", "brand_name")
+    others = [c for c in rows.columns if c not in SHOWN]
+    return rows.join(labels, "entry_manage_number", "left").select(*SHOWN, *others)
+
+
 def _cohort_sales(cohorts: DataFrame, sales: DataFrame) -> DataFrame:
     offset = months_apart(F.col("order_month"), F.col("first_order_month"))
     followed = cohorts.join(sales, "user_email").withColumn("month_offset", offset)
     return followed.where("month_offset >= 0").select(
-        "entry_manage_number", *NAMES, "first_order_month", "month_offset", "user_email", "monthly_sales"
+        "entry_manage_number", "entry_item_name", "first_order_month", "month_offset", "user_email", "monthly_sales"
     )
 
 
@@ -53,40 +56,42 @@ def user_cohort_sales(
     first: DataFrame, orders: DataFrame, names: DataFrame, cancelled: Sequence[str] = CANCELLED
 ) -> DataFrame:
     """Sales of each user per month since their first order."""
-    rows = _cohort_sales(named_cohorts(first, names), _monthly_sales(orders, cancelled))
+    rows = _labelled(_cohort_sales(named_cohorts(first, names), _monthly_sales(orders, cancelled)), names)
     return rows.withColumn("monthly_sales", F.col("monthly_sales").cast("double"))
 
 
+def _sizes(cohorts: DataFrame) -> DataFrame:
+    by_name = cohorts.groupBy("entry_manage_number", "entry_item_name", "first_order_month")
+    return by_name.agg(F.countDistinct("user_email").alias("cohort_users"))
+
+
 def cohort_counts(first: DataFrame, names: DataFrame) -> DataFrame:
     """Users per product, names and first month; null names form one group."""
-    return (
-        named_cohorts(first, names)
-        .groupBy("entry_manage_number", *NAMES, "first_order_month")
-        .agg(F.countDistinct("user_email").alias("cohort_users"))
-    )
+    return _labelled(_sizes(named_cohorts(first, names)), names)
 
 
 def _aggregated(first: DataFrame, orders: DataFrame, names: DataFrame, cancelled: Sequence[str]) -> DataFrame:
-    """Buyers and revenue per cohort, names, offset and cohort size, revenue exact.
+    """Buyers and exact revenue per cohort, name, offset and cohort size.
 
     Cohort sizes are counted per name but meet the sales by product and month only, so a product sold
     under several names in one month repeats its revenue once per size row, and rows of equal size fall
     into one group. Summing first and multiplying by the number of equal sizes gives the same figures
     without repeating a single user row.
     """
+    cohorts = named_cohorts(first, names)
     sizes = (
-        cohort_counts(first, names)
+        _sizes(cohorts)
         .groupBy(*COHORT, "cohort_users")
         .agg(F.count(F.lit(1)).cast("decimal(10,0)").alias("copies"))
     )
     sums = (
-        _cohort_sales(named_cohorts(first, names), _monthly_sales(orders, cancelled))
-        .groupBy("entry_manage_number", *NAMES, "first_order_month", "month_offset")
+        _cohort_sales(cohorts, _monthly_sales(orders, cancelled))
+        .groupBy("entry_manage_number", "entry_item_name", "first_order_month", "month_offset")
         .agg(F.countDistinct("user_email").alias("active_buyers"), F.sum("monthly_sales").alias("revenue"))
     )
     return sums.join(sizes, COHORT).select(
         "entry_manage_number",
-        *NAMES,
+        "entry_item_name",
         "first_order_month",
         "month_offset",
         "cohort_users",
@@ -98,7 +103,7 @@ def _aggregated(first: DataFrame, orders: DataFrame, names: DataFrame, cancelled
 def ltv_monthly_aggregated(
     first: DataFrame, orders: DataFrame, names: DataFrame, cancelled: Sequence[str] = CANCELLED
 ) -> DataFrame:
-    rows = _aggregated(first, orders, names, cancelled)
+    rows = _labelled(_aggregated(first, orders, names, cancelled), names)
     return rows.withColumn("revenue_in_month", F.col("revenue").cast("double")).drop("revenue")
 
 
@@ -109,7 +114,7 @@ def _running(rows: DataFrame) -> DataFrame:
     revenue, cumulative = F.col("revenue").cast("double"), F.col("running").cast("double")
     return shown.select(
         "entry_manage_number",
-        *NAMES,
+        "entry_item_name",
         "first_order_month",
         "month_offset",
         "cohort_users",
@@ -125,7 +130,7 @@ def ltv_by_month_offset(
     first: DataFrame, orders: DataFrame, names: DataFrame, cancelled: Sequence[str] = CANCELLED
 ) -> DataFrame:
     """The cohort table: size, buyers, revenue, running revenue, value per user and per buyer."""
-    return _running(_aggregated(first, orders, names, cancelled))
+    return _labelled(_running(_aggregated(first, orders, names, cancelled)), names)
 
 
 def _one_name(first: DataFrame, names: DataFrame) -> DataFrame:

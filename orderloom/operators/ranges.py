@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.functions.calendar import CHUNK_DAYS, DETAIL_BATCH, SEARCH_CAP, local_time, month_of
+from orderloom.functions.calendar import CHUNK_DAYS, DETAIL_BATCH, SEARCH_CAP, business_date, local_time, month_of
 
 
 def span_table(spark: SparkSession, span: tuple[datetime, datetime]) -> DataFrame:
@@ -21,7 +21,7 @@ def span_table(spark: SparkSession, span: tuple[datetime, datetime]) -> DataFram
 
 def order_span(orders: DataFrame) -> DataFrame:
     """One row from the day of the first order to the end of the day of the last one."""
-    day = F.to_date(local_time(F.col("order_datetime")))
+    day = business_date(F.col("order_datetime"))
     span = orders.agg(F.min(day).alias("first"), F.max(day).alias("last"))
     return span.select(
         F.col("first").cast("timestamp_ntz").alias("start"),
@@ -58,8 +58,8 @@ def weekly_chunks(ranges: DataFrame) -> DataFrame:
 
 
 def _placed_by_month(orders: DataFrame) -> DataFrame:
-    placed = local_time(F.col("order_datetime"))
-    return orders.select("order_number", placed.alias("placed")).withColumn("month", month_of(F.to_date("placed")))
+    at = F.col("order_datetime")
+    return orders.select("order_number", local_time(at).alias("placed"), month_of(business_date(at)).alias("month"))
 
 
 def order_counts(orders: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.calendar import local_time
+from orderloom.functions.calendar import business_month
 from orderloom.functions.scalars import money
 from orderloom.operators.product_master import longest
 
 
 def orders_by_month(orders: DataFrame) -> DataFrame:
-    month = F.date_format(local_time(F.col("order_datetime")), "yyyy-MM")
-    return orders.groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("order_count")).orderBy("month")
+    """Orders per business month, as yyyy-MM in rising order. The months are counted as dates and
+    named afterwards."""
+    counts = orders.groupBy(business_month(F.col("order_datetime")).alias("day")).agg(
+        F.count(F.lit(1)).alias("order_count")
+    )
+    return counts.select(F.date_format("day", "yyyy-MM").alias("month"), "order_count").orderBy("month")
 
 
 def table_freshness(rows: DataFrame, table: str, stamp: str) -> DataFrame:

@@ -18,7 +18,7 @@ from orderloom.operators import (
     cohort_ltv, first_purchase, flatten, merges, product_master, quality, ranges, reports, tables,
 )
 from orderloom.plans import given_tables as given
-from orderloom.session import pin_utc, scratch_path
+from orderloom.session import pin_utc, scratch_path, stage
 from orderloom.sources import documents, files, master_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,11 @@ def _first(spark, sf):
     return first_purchase.first_purchases(given.shop_orders(spark, sf), given.shop_items(spark, sf), _names(spark, sf))
 
 
+def _first_table(spark, sf):
+    """First purchases as a written table, the way the cohort job finds them; read twice, made once."""
+    return stage(spark, _first(spark, sf), "first-purchase")
+
+
 # --- cohorts -------------------------------------------------------------------------------------
 @query
 def base_orders(spark, sf):
@@ -116,24 +121,24 @@ def cohort_counts(spark, sf):
 
 @query
 def ltv_monthly_aggregated(spark, sf):
-    return cohort_ltv.ltv_monthly_aggregated(_first(spark, sf), given.shop_orders(spark, sf), _names(spark, sf))
+    return cohort_ltv.ltv_monthly_aggregated(_first_table(spark, sf), given.shop_orders(spark, sf), _names(spark, sf))
 
 
 @query
 def ltv_by_month_offset(spark, sf):
-    return cohort_ltv.ltv_by_month_offset(_first(spark, sf), given.shop_orders(spark, sf), _names(spark, sf))
+    return cohort_ltv.ltv_by_month_offset(_first_table(spark, sf), given.shop_orders(spark, sf), _names(spark, sf))
 
 
 @query
 def ltv_canonical(spark, sf):
-    return cohort_ltv.ltv_canonical(_first(spark, sf), given.shop_orders(spark, sf), _names(spark, sf))
+    return cohort_ltv.ltv_canonical(_first_table(spark, sf), given.shop_orders(spark, sf), _names(spark, sf))
 
 
 @query
 def ltv_name_refresh(spark, sf):
     # the cohort table as named by an older master, which knew the smaller sizes only
     older = product_master.best_names(given.shop_master(spark, sf).where("cast(brand_name as int) <= 25"))
-    ltv = cohort_ltv.ltv_by_month_offset(_first(spark, sf), given.shop_orders(spark, sf), older)
+    ltv = cohort_ltv.ltv_by_month_offset(_first_table(spark, sf), given.shop_orders(spark, sf), older)
     return cohort_ltv.refreshed_names(ltv, given.shop_items(spark, sf), _names(spark, sf))
 
 

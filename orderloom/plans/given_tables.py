@@ -8,17 +8,39 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.functions.calendar import iso_local
-from orderloom.functions.scalars import MONEY
-from orderloom.schemas import ORDER_DOCUMENT
+from orderloom.schemas import NUMBER, ORDER_DOCUMENT, TEXT, WHOLE, table
 
 # These products are left out of the master, so that sold products without one exist.
 UNMASTERED = ("Brand#24", "Brand#25")
 
 
-def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+_AT, _INT = T.TimestampNTZType(), T.IntegerType()
+
+# The columns of the given tables, declared so that no job runs just to infer them
+GIVEN = {
+    "orders": table(
+        o_orderkey=WHOLE, o_custkey=WHOLE, o_orderstatus=TEXT, o_totalprice=NUMBER, o_orderdate=_AT,
+        o_orderpriority=TEXT,
+    ),
+    "lineitem": table(
+        l_orderkey=WHOLE, l_partkey=WHOLE, l_suppkey=WHOLE, l_linenumber=_INT, l_quantity=NUMBER,
+        l_extendedprice=NUMBER, l_discount=NUMBER, l_tax=NUMBER, l_returnflag=TEXT, l_linestatus=TEXT,
+        l_shipdate=_AT,
+    ),
+    "part": table(
+        p_partkey=WHOLE, p_name=TEXT, p_brand=TEXT, p_type=TEXT, p_size=_INT, p_retailprice=NUMBER,
+    ),
+    "events": table(
+        event_id=WHOLE, ts=_AT, user_id=WHOLE, event_type=TEXT, value=NUMBER, props=TEXT,
+    ),
+}
+
+
+def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(GIVEN[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def utc(column: str) -> Column:
@@ -74,10 +96,13 @@ def shop_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _as_documents(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Rows with all document fields; those not given are null."""
-    fields = [
-        columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ORDER_DOCUMENT.fields
-    ]
-    return rows.select(*fields)
+    return rows.select(
+        *[columns.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in ORDER_DOCUMENT.fields]
+    )
+
+
+def _struct(**fields: Column) -> Column:
+    return F.struct(*[value.alias(name) for name, value in fields.items()])
 
 
 def header_documents(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
@@ -97,18 +122,23 @@ def header_documents(spark: SparkSession, sf_dir: str, broken: bool = False) ->
         "cancelDueDate": F.concat(day, F.lit("T03:00:00+0900")),
         "deliveryDate": F.when(low, F.lit("")).otherwise(day),
         "rakutenMemberFlag": F.when(urgent, F.lit("1")).when(~low, F.lit("0")),
-        "goodsPrice": F.col("o_totalprice"),
+        "goodsPrice": F.col("o_totalprice").cast("string"),
         "postagePrice": F.when(vague, F.lit("")).otherwise(F.lit("500")),
-        "totalPrice": F.col("o_totalprice"),
+        "totalPrice": F.col("o_totalprice").cast("string"),
         "paymentFee": F.when(urgent, F.lit("330")),
         "orderUpdateDatetime": F.when(low, day),
-        "OrdererModel": F.struct(
-            F.col("o_orderstatus"), F.when(low, F.lit("")).otherwise(F.lit("0094")), F.col("o_orderstatus"),
-            F.col("o_orderpriority"), F.col("o_custkey").cast("string"),
+        "OrdererModel": _struct(
+            zipCode1=F.col("o_orderstatus"),
+            zipCode2=F.when(low, F.lit("")).otherwise(F.lit("0094")),
+            prefecture=F.col("o_orderstatus"),
+            city=F.col("o_orderpriority"),
+            emailAddress=F.col("o_custkey").cast("string"),
+        ),
+        "SettlementModel": F.when(
+            ~urgent, _struct(settlementMethod=F.col("o_orderpriority"), cardName=F.lit("CARD"))
         ),
-        "SettlementModel": F.when(~urgent, F.struct(F.col("o_orderpriority"), F.lit("CARD"))),
-        "DeliveryModel": F.struct(F.col("o_orderpriority")),
-        "PointModel": F.when(~vague, F.struct(F.col("o_custkey").cast("string"))),
+        "DeliveryModel": _struct(deliveryName=F.col("o_orderpriority")),
+        "PointModel": F.when(~vague, _struct(usedPoint=F.col("o_custkey").cast("string"))),
     }
     return _as_documents(given(spark, sf_dir, "orders"), columns)
 
@@ -119,27 +149,35 @@ def line_documents(spark: SparkSession, sf_dir: str, broken: bool = False) -> Da
     returned = F.col("l_returnflag") == "R"
     if broken:
         item_id = F.when(~returned, item_id)
-    sku = lambda variant: F.struct(variant, F.col("l_linestatus"))
-    item = F.struct(
-        item_id,
-        F.col("p_name"),
-        F.col("p_brand"),
-        F.col("p_retailprice").cast("string"),
-        F.when(F.col("l_returnflag") != "N", F.col("p_retailprice").cast("string")),
-        F.col("l_quantity").cast("bigint").cast("string"),
-        F.when(returned, F.col("l_extendedprice").cast("string")),
-        F.when(returned, F.lit("")).otherwise(F.col("l_tax").cast("string")),
-        F.when(F.col("l_linestatus") == "F", F.array(sku(F.col("l_partkey").cast("string")), sku(F.lit("second")))),
+    price = F.col("p_retailprice").cast("string")
+    skus = F.array(
+        *[_struct(variantId=variant, skuInfo=F.col("l_linestatus")) for variant in (F.col("l_partkey").cast("string"), F.lit("second"))]
+    )
+    item = _struct(
+        itemId=item_id,
+        itemName=F.col("p_name"),
+        manageNumber=F.col("p_brand"),
+        price=price,
+        priceTaxIncl=F.when(F.col("l_returnflag") != "N", price),
+        units=F.col("l_quantity").cast("bigint").cast("string"),
+        subtotal=F.when(returned, F.col("l_extendedprice").cast("string")),
+        taxRate=F.when(returned, F.lit("")).otherwise(F.col("l_tax").cast("string")),
+        SkuModelList=F.when(F.col("l_linestatus") == "F", skus),
     )
-    basket = F.col("l_suppkey").cast("string")
-    package = lambda items: F.struct(basket, F.col("l_linestatus"), items)
-    kind = ORDER_DOCUMENT["PackageModelList"].dataType
-    no_items = F.lit(None).cast(kind.elementType["ItemModelList"].dataType)
-    filled = package(F.array(item)).cast(kind.elementType)
+
+    def package(items: Column) -> Column:
+        return _struct(
+            basketId=F.col("l_suppkey").cast("string"),
+            defaultDeliveryCompanyCode=F.col("l_linestatus"),
+            ItemModelList=items,
+        )
+
+    one_item = F.array(item)
+    no_list = F.when(F.lit(False), one_item)
     columns = {
         "orderNumber": F.col("l_orderkey").cast("string"),
         "orderDatetime": iso_local(utc("l_shipdate")),
-        "PackageModelList": F.array(package(no_items).cast(kind.elementType), filled),
+        "PackageModelList": F.array(package(no_list), package(one_item)),
     }
     return _as_documents(_lines(spark, sf_dir), columns)
 

@@ -81,21 +81,20 @@ def replace_range(
 ) -> None:
     """Delete the rows of ``[start, end)`` and add ``incoming``, in the months concerned only.
 
-    A month that the range covers in full is replaced without being read. In a month it covers in part,
-    the rows outside it are carried over. Incoming rows of other months are appended.
+    The incoming rows are staged first, so that one that breaks the schema stops the job before the
+    table is touched. A month that the range covers in full is replaced without being read; in a month
+    it covers in part, the rows outside it are carried over. Incoming rows of other months are appended.
     """
     full, partial = months_touched(start_iso, end_iso)
     touched = [*full, *partial]
-    if not touched:
-        return
-    fresh = with_month(conform(incoming, schema), ts_column, partition)
+    fresh = stage(spark, with_month(conform(incoming, schema), ts_column, partition), "incoming")
     inside = F.coalesce(F.col(partition).isin(touched), F.lit(False))
 
     content = fresh.where(inside)
     if partial:
         table = read_table(spark, path, schema, partition).where(F.col(partition).isin(partial))
-        content = merges.delete_between(table, ts_column, start_iso, end_iso).unionByName(content)
-        content = stage(spark, content, "replace")
+        kept = merges.delete_between(table, ts_column, start_iso, end_iso)
+        content = stage(spark, kept, "kept").unionByName(content)
 
     # at most one value per month of the range
     filled = {row[0] for row in content.select(partition).distinct().collect()}

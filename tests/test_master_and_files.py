@@ -1,0 +1,91 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom import schemas
+from orderloom.operators import product_master as pm
+from orderloom.sources import files, master_files
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_clean_master(spark):
+    raw = spark.createDataFrame(
+        [("　m1 ", "Cup\xa0", "", "x"), ("m1", "Cup", None, "x"), ("m1", " Cup ", " ", "x"), ("　", "lost", "c", "y"), (None, "lost", "c", "y"), ("m2", None, "c", None)],
+        "`商品管理番号` string, `商品名` string, category_name string, extra string",
+    )
+    cleaned = pm.clean_master(raw)
+    assert cleaned.columns == schemas.PRODUCT_MASTER.names
+    assert rows_of(cleaned) == [("m1", "Cup", None, None), ("m2", None, "c", None)]
+
+
+def test_longest_names_are_chosen_apart(spark):
+    master = spark.createDataFrame(
+        [("m", "ab", "", None), ("m", "zz", "cat", ""), ("m", "a", "dog", None), ("n", "", None, "b"), ("n", None, "", "　長")],
+        "manage_number string, product_name string, category_name string, brand_name string",
+    )
+    assert rows_of(pm.best_names(master)) == [("m", "zz", "dog", None), ("n", None, None, "　長")]
+
+
+def test_length_counts_characters(spark):
+    master = spark.createDataFrame([("m", "長い名", None, None), ("m", "abcd", None, None)], schemas.PRODUCT_MASTER)
+    assert pm.best_names(master).first().product_name == "abcd"
+
+
+def test_master_csv(spark, tmp_path):
+    file = tmp_path / "master.csv"
+    file.write_text('商品管理番号,商品名,カテゴリ名\n m1 ,"Big, ""red""\ncup",NA\n001,null,c\n,none,c\nshort\n', encoding="utf-8")
+    assert rows_of(pm.clean_master(master_files.read_master_csv(spark, str(file)))) == [
+        ("001", None, "c", None), ("m1", 'Big, "red"\ncup', None, None), ("short", None, None, None),
+    ]
+
+
+def test_master_grid(spark, tmp_path):
+    grid = {"range": "A:D", "values": [["商品名", "商品管理番号", "メモ", "ブランド名"], ["Cup", 12, "n"], ["Pot", "m2", "", "b", "over"], [], ["Only"]]}
+    (tmp_path / "g.json").write_text(json.dumps(grid, ensure_ascii=False, indent=1), encoding="utf-8")
+    (tmp_path / "h.json").write_text(json.dumps({"values": [["manage_number", "product_name"], ["m3", "Pan"]]}))
+    (tmp_path / "e.json").write_text(json.dumps({"values": []}))
+    (tmp_path / "n.json").write_text(json.dumps({"range": "A:D"}))
+    cleaned = pm.clean_master(master_files.read_master_grid(spark, str(tmp_path), multi_line=True))
+    assert rows_of(cleaned) == [("12", "Cup", None, None), ("m2", "Pot", None, "b"), ("m3", "Pan", None, None)]
+
+
+SCHEMA = schemas.table(a=schemas.WHOLE, b=schemas.TEXT)
+
+
+def test_json_lines(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"a": 1, "b": "x"}\n{"a": 2}\n')
+    assert rows_of(files.load_files(spark, str(tmp_path), schema=SCHEMA)) == [(1, "x"), (2, None)]
+    assert rows_of(files.load_files(spark, str(tmp_path))) == [(1, "x"), (2, None)]
+    with pytest.raises(ValueError):
+        files.load_files(spark, str(tmp_path), autodetect=False)
+    with pytest.raises(ValueError):
+        files.load_files(spark, str(tmp_path), "AVRO")
+
+
+@pytest.mark.parametrize("skip, top", [(0, []), (1, ["k|l"]), (3, ["note", "k|l", "units|"])])
+def test_csv_skips_rows_in_each_file(spark, tmp_path, skip, top):
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text("\n".join([*top, f"{i}|x", f'{i + 10}|"y|z"']) + "\n")
+    got = files.load_files(spark, str(tmp_path), "CSV", schema=SCHEMA, field_delimiter="|", skip_leading_rows=skip)
+    assert rows_of(got) == sorted([(i, "x") for i in range(3)] + [(i + 10, "y|z") for i in range(3)], key=str)
+
+
+def test_csv_skip_over_many_blocks(spark, tmp_path):
+    (tmp_path / "long.csv").write_text("t1\nt2\n" + "".join(f"{i},v{i}\n" for i in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        got = files.load_files(spark, str(tmp_path), "CSV", schema=SCHEMA, skip_leading_rows=2)
+        assert got.agg(F.count("a"), F.sum("a")).first() == (5000, sum(range(5000)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_csv_names_from_header(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a;b\n1;x\n2;\n")
+    got = files.load_files(spark, str(tmp_path), "CSV", field_delimiter=";")
+    assert got.dtypes == [("a", "int"), ("b", "string")] and rows_of(got) == [(1, "x"), (2, None)]

@@ -8,6 +8,8 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from orderloom.functions.scalars import day_of
+
 BUSINESS_TZ = "Asia/Tokyo"
 BUSINESS_OFFSET = timedelta(hours=9)  # fixed value: no daylight saving
 
@@ -20,13 +22,7 @@ DETAIL_BATCH = 100
 
 # --- columns -------------------------------------------------------------------------------------
 def business_date(instant: Column) -> Column:
-    """Business day of an instant: whole days since 1970 at the fixed offset.
-
-    Plain arithmetic is right under any session time zone and several times faster than converting
-    between time zones row by row.
-    """
-    seconds = F.unix_seconds(instant) + F.lit(int(BUSINESS_OFFSET.total_seconds()))
-    return F.date_from_unix_date(F.floor(seconds / F.lit(86_400)).cast("int"))
+    return day_of(instant, int(BUSINESS_OFFSET.total_seconds()))
 
 
 def local_time(instant: Column) -> Column:

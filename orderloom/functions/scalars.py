@@ -26,9 +26,19 @@ def to_instant(text: Column) -> Column:
     return F.try_to_timestamp(blank_to_null(text))
 
 
+def day_of(instant: Column, offset_seconds: int = 0) -> Column:
+    """Calendar day of an instant at a fixed offset from UTC: whole days since 1970.
+
+    Plain arithmetic is right under any session time zone and several times faster than converting
+    between time zones row by row.
+    """
+    seconds = F.unix_seconds(instant) + F.lit(offset_seconds)
+    return F.date_from_unix_date(F.floor(seconds / F.lit(86_400)).cast("int"))
+
+
 def to_utc_date(text: Column) -> Column:
     """The UTC calendar day of an ISO text."""
-    return F.to_date(F.convert_timezone(None, F.lit("UTC"), to_instant(text)))
+    return day_of(to_instant(text))
 
 
 def to_float(text: Column) -> Column:

@@ -17,15 +17,14 @@ def _stamp(inserted_at: datetime | str | None) -> Column:
     return F.lit(str(inserted_at)).cast("timestamp")
 
 
-def _required(value: Column, bad: Column, what: str) -> Column:
-    """``value``, or an error naming the order where ``bad`` holds."""
+def _required(value: Column, what: str) -> Column:
+    """``value``, or an error naming the order where it is null."""
     message = F.concat(F.lit(f"{what} in order "), F.coalesce(F.col("orderNumber"), F.lit("(none)")))
-    return F.when(bad, F.raise_error(message).cast("string")).otherwise(value)
+    return F.coalesce(value, F.raise_error(message))
 
 
 def _order_number() -> Column:
-    number = F.col("orderNumber")
-    return _required(number, number.isNull(), "orderNumber missing")
+    return _required(F.col("orderNumber"), "orderNumber missing")
 
 
 def normalize_orders(
@@ -35,13 +34,13 @@ def normalize_orders(
 
     ``strict`` raises on an orderDatetime that is missing or unreadable; a missing orderNumber always raises.
     """
-    placed = F.col("orderDatetime")
+    placed = s.to_instant(F.col("orderDatetime"))
     if strict:
-        placed = _required(placed, s.to_instant(placed).isNull(), "orderDatetime missing or unreadable")
+        placed = _required(placed, "orderDatetime missing or unreadable")
     orderer = "OrdererModel"
     return documents.select(
         _order_number().alias("order_number"),
-        s.to_instant(placed).alias("order_datetime"),
+        placed.alias("order_datetime"),
         F.col("orderProgress").alias("order_status"),
         s.to_utc_date(F.col("cancelDueDate")).alias("cancel_due_date"),
         s.to_float(F.col("totalPrice")).alias("total_price"),
@@ -89,7 +88,7 @@ def normalize_order_items(
     """
     item_id = F.col("item.itemId")
     if strict:
-        item_id = _required(item_id, item_id.isNull(), "itemId missing")
+        item_id = _required(item_id, "itemId missing")
     first_sku = F.get("item.SkuModelList", F.lit(0))
     price, units = F.col("item.priceTaxIncl"), F.col("item.units")
     columns = [

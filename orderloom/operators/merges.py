@@ -28,7 +28,7 @@ def replace_range(
     return delete_between(rows, ts_column, start_iso, end_iso).unionByName(incoming, allowMissingColumns=True)
 
 
-def _both(conditions: list[Column]) -> Column:
+def _all(conditions: list[Column]) -> Column:
     return reduce(lambda left, right: left & right, conditions)
 
 
@@ -37,7 +37,11 @@ def upsert_by_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
     Columns that only the target has keep their value on update and are null on insert. A null key
     matches nothing, so such a source row is inserted. A target row that several source rows match
-    raises. Source keys are counted by a partial aggregation, never gathered in one task.
+    raises.
+
+    Updates are a left join from the target and inserts an anti join, not one full outer join: Spark can
+    then broadcast a small source and leave the target where it is, or split a hot key of the target.
+    Target keys are filtered by the source's and made distinct before the anti join.
     """
     keys = list(keys)
     unknown = [c for c in source.columns if c not in target.columns]
@@ -47,26 +51,29 @@ def upsert_by_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     if absent:
         raise ValueError(f"the source has no key column {', '.join(absent)}")
 
-    copies = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_copies"))
-    counted = source.join(copies, keys, "left")
-
-    t = target.withColumn("in_target", F.lit(True)).alias("t")
-    s = counted.withColumn("in_source", F.lit(True)).alias("s")
-    joined = t.join(s, _both([F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]), "full_outer")
+    keyed = _all([F.col(k).isNotNull() for k in keys])
+    copies = source.where(keyed).groupBy(*keys).agg(F.count(F.lit(1)).alias("key_copies"))
 
-    from_source = F.col("s.in_source").isNotNull()
-    matched = from_source & F.col("t.in_target").isNotNull()
+    t = target.alias("t")
+    s = source.where(keyed).join(copies, keys).alias("s")
+    joined = t.join(s, _all([F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]), "left")
     several = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
-    from_source = F.when(matched & (F.col("s.key_copies") > 1), several).otherwise(from_source)
+    matched = F.when(F.col("s.key_copies") > 1, several).otherwise(F.col("s.key_copies").isNotNull())
 
-    def column(name: str) -> Column:
+    def updated(name: str) -> Column:
         old = F.col(f"t.{name}")
         if name not in source.columns:
             return old.alias(name)
         kind = target.schema[name].dataType
-        return F.when(from_source, F.col(f"s.{name}").cast(kind)).otherwise(old).alias(name)
+        return F.when(matched, F.col(f"s.{name}").cast(kind)).otherwise(old).alias(name)
+
+    def inserted(field) -> Column:
+        value = F.col(field.name) if field.name in source.columns else F.lit(None)
+        return value.cast(field.dataType).alias(field.name)
 
-    return joined.select(*[column(name) for name in target.columns])
+    held = target.select(*keys).join(copies.select(*keys), keys, "left_semi").distinct()
+    added = source.join(held, keys, "left_anti").select(*[inserted(f) for f in target.schema.fields])
+    return joined.select(*[updated(name) for name in target.columns]).unionByName(added)
 
 
 def unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:

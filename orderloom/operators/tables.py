@@ -127,7 +127,9 @@ def upsert(
     partition: str | None = None,
     ts_column: str | None = None,
 ) -> bool:
-    """Update or insert ``source`` by its keys. The new content is staged first, then takes the table's place."""
+    """Update or insert ``source`` by its keys. The source is staged, since the merge reads it more than
+    once; the new content is staged too, and then takes the table's place."""
+    source = stage(spark, source, "source")
     if source.isEmpty():
         return False
     target = read_table(spark, path, schema, partition).select(*schema.names)

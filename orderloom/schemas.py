@@ -141,8 +141,7 @@ def conform(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) ->
         value = F.col(field.name) if field.name in have else F.lit(None)
         value = value.cast(field.dataType)
         if not field.nullable:
-            message = F.lit(f"required column {field.name} is null")
-            value = F.when(value.isNull(), F.raise_error(message).cast(field.dataType)).otherwise(value)
+            value = F.coalesce(value, F.raise_error(F.lit(f"required column {field.name} is null")))
         return value.alias(field.name)
 
     return df.select(*[column(f) for f in schema.fields], *keep)

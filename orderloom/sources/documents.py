@@ -45,15 +45,16 @@ def read_order_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def first_documents(documents: DataFrame) -> DataFrame:
     """One document per order number, the first by file and position.
 
-    Rows that tie are ordered by their content, so every run keeps the same one. Documents without
-    an order number are all kept for the quality checks to find.
+    Rows that tie are ordered by their content, so every run keeps the same one. Documents without an
+    order number are all kept for the quality checks to find: each gets a key of its own, which also
+    keeps them from meeting in one task. Spark drops later copies before the shuffle.
     """
     content = F.xxhash64(*[F.col(name) for name in ORDER_DOCUMENT.names])
-    ranked = documents.where(F.col("orderNumber").isNotNull()).withColumn("content_hash", content)
-    order = Window.partitionBy("orderNumber").orderBy("source_file", "source_position", "content_hash")
-    kept = ranked.withColumn("place", F.row_number().over(order)).where("place = 1")
-    nameless = documents.where(F.col("orderNumber").isNull())
-    return kept.drop("content_hash", "place").unionByName(nameless)
+    own = F.concat(F.lit("\0"), F.monotonically_increasing_id())
+    keyed = documents.withColumn("document_key", F.coalesce("orderNumber", own)).withColumn("content_hash", content)
+    order = Window.partitionBy("document_key").orderBy("source_file", "source_position", "content_hash")
+    first = keyed.withColumn("place", F.row_number().over(order)).where("place = 1")
+    return first.drop("document_key", "content_hash", "place")
 
 
 def write_order_documents(documents: DataFrame, path: str, ingested_at: datetime) -> None:

@@ -45,11 +45,10 @@ def _labelled(rows: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def _cohort_sales(cohorts: DataFrame, sales: DataFrame) -> DataFrame:
+    """Users' months of sales from their first month on, counted in months since then."""
     offset = months_apart(F.col("order_month"), F.col("first_order_month"))
     followed = cohorts.join(sales, "user_email").withColumn("month_offset", offset)
-    return followed.where("month_offset >= 0").select(
-        "entry_manage_number", "entry_item_name", "first_order_month", "month_offset", "user_email", "monthly_sales"
-    )
+    return followed.where("month_offset >= 0").drop("order_month")
 
 
 def user_cohort_sales(
@@ -60,14 +59,25 @@ def user_cohort_sales(
     return rows.withColumn("monthly_sales", F.col("monthly_sales").cast("double"))
 
 
-def _sizes(cohorts: DataFrame) -> DataFrame:
-    by_name = cohorts.groupBy("entry_manage_number", "entry_item_name", "first_order_month")
-    return by_name.agg(F.countDistinct("user_email").alias("cohort_users"))
+def _members(first: DataFrame, names: DataFrame) -> DataFrame:
+    """Each user of a cohort and name once, with the number of rows that say so.
+
+    Users are counted from here on, so no later step needs a distinct count.
+    """
+    cohorts = named_cohorts(first, names)
+    return cohorts.groupBy("user_email", *COHORT, "entry_item_name").agg(
+        F.count(F.lit(1)).cast("decimal(10,0)").alias("entries")
+    )
+
+
+def _sizes(members: DataFrame) -> DataFrame:
+    by_name = members.groupBy("entry_manage_number", "entry_item_name", "first_order_month")
+    return by_name.agg(F.count("user_email").alias("cohort_users"))
 
 
 def cohort_counts(first: DataFrame, names: DataFrame) -> DataFrame:
     """Users per product, names and first month; null names form one group."""
-    return _labelled(_sizes(named_cohorts(first, names)), names)
+    return _labelled(_sizes(_members(first, names)), names)
 
 
 def _aggregated(first: DataFrame, orders: DataFrame, names: DataFrame, cancelled: Sequence[str]) -> DataFrame:
@@ -78,16 +88,18 @@ def _aggregated(first: DataFrame, orders: DataFrame, names: DataFrame, cancelled
     into one group. Summing first and multiplying by the number of equal sizes gives the same figures
     without repeating a single user row.
     """
-    cohorts = named_cohorts(first, names)
+    members = _members(first, names)
     sizes = (
-        _sizes(cohorts)
-        .groupBy(*COHORT, "cohort_users")
-        .agg(F.count(F.lit(1)).cast("decimal(10,0)").alias("copies"))
+        _sizes(members).groupBy(*COHORT, "cohort_users").agg(F.count(F.lit(1)).cast("decimal(10,0)").alias("copies"))
     )
+    # sales hold a user's month once, so the rows of a group are its buyers
     sums = (
-        _cohort_sales(cohorts, _monthly_sales(orders, cancelled))
+        _cohort_sales(members, _monthly_sales(orders, cancelled))
         .groupBy("entry_manage_number", "entry_item_name", "first_order_month", "month_offset")
-        .agg(F.countDistinct("user_email").alias("active_buyers"), F.sum("monthly_sales").alias("revenue"))
+        .agg(
+            F.count(F.lit(1)).alias("active_buyers"),
+            F.sum(F.col("monthly_sales") * F.col("entries")).alias("revenue"),
+        )
     )
     return sums.join(sizes, COHORT).select(
         "entry_manage_number",

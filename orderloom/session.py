@@ -18,6 +18,8 @@ def local_session(app: str = "orderloom", cpus: str = "8", memory: str = "8g") -
         .appName(app)
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # sides that prove small after the shuffle are joined by hash, without sorting either one
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         # the tables here are small: partitions of the default 64 MB would leave most threads idle
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
         .config("spark.sql.session.timeZone", "UTC")

@@ -115,6 +115,8 @@ def ltv_case(spark, seed, duplicated):
     first = [(u, rng.choice(products), rng.choice("xyz"), rng.randrange(3)) for u in users]
     if duplicated:
         first += rng.sample(first, 8)
+        first += [(u, p, rng.choice("xyz"), m) for u, p, _, m in rng.sample(first, 8)]
+        first += [(u, rng.choice(products), n, rng.randrange(3)) for u, _, n, _ in rng.sample(first, 8)]
     orders = [(f"{i}", rng.choice([*users, "stranger"]), rng.randrange(6), rng.choice(["300", "900", "800"]), float(rng.randrange(-3, 500))) for i in range(300)]
     sales = defaultdict(int)
     for _, user, month, status, amount in orders:

@@ -55,11 +55,15 @@ def first_orders(orders: DataFrame, cancelled: Sequence[str] = CANCELLED) -> Dat
     )
 
 
-def in_month(first: DataFrame, month: str) -> DataFrame:
-    """Users whose very first order falls into the business month; applied after the minimum, since
-    filtering orders before it would turn a later order into a first one."""
+def in_months(first: DataFrame, month: str, until: str | None = None) -> DataFrame:
+    """Users whose very first order falls into ``[month, until)``, one month unless ``until`` is given.
+
+    This comes after the minimum, since filtering orders before it would turn a later order into a
+    first one.
+    """
     start = F.lit(month).cast("date")
-    return first.where((F.col("first_order_month") >= start) & (F.col("first_order_month") < F.add_months(start, 1)))
+    end = F.lit(until).cast("date") if until else F.add_months(start, 1)
+    return first.where((F.col("first_order_month") >= start) & (F.col("first_order_month") < end))
 
 
 def entry_items(items: DataFrame) -> DataFrame:
@@ -111,12 +115,13 @@ def new_first_purchases(
     names: DataFrame,
     known: DataFrame,
     month: str,
+    until: str | None = None,
     cancelled: Sequence[str] = CANCELLED,
 ) -> DataFrame:
-    """The rows a monthly merge inserts: users new in ``month`` that ``known`` does not hold yet.
+    """The rows a merge inserts: users new in ``[month, until)`` that ``known`` does not hold yet.
 
     A known user is never changed, whatever their orders say now. Known users leave before the items are
     joined.
     """
-    fresh = unmatched(in_month(first_orders(orders, cancelled), month), known, ["user_email"])
+    fresh = unmatched(in_months(first_orders(orders, cancelled), month, until), known, ["user_email"])
     return entry_products(fresh, items, names).select(*FIRST_PURCHASE_COLUMNS)

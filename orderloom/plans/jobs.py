@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom import schemas
-from orderloom.functions.calendar import iso_instant, iso_local, months_touched, resolve_span
+from orderloom.functions.calendar import (
+    BUSINESS_TZ, iso_instant, iso_local, month_start, months_touched, resolve_span, shift_month,
+)
 from orderloom.operators import cohort_ltv, first_purchase, flatten, product_master, quality, ranges, tables
 from orderloom.session import pin_utc, stage
 from orderloom.sources.documents import first_documents
@@ -68,7 +70,7 @@ def _names(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
 
 
 # --- orders and items ----------------------------------------------------------------------------
-def load_month(
+def load_span(
     spark: SparkSession,
     warehouse: Warehouse,
     documents: DataFrame,
@@ -107,20 +109,28 @@ def load_month(
 
 # --- derived tables ------------------------------------------------------------------------------
 def merge_first_purchases(
-    spark: SparkSession, warehouse: Warehouse, month: datetime, run_at: datetime | None = None
+    spark: SparkSession,
+    warehouse: Warehouse,
+    month: datetime,
+    until: datetime | None = None,
+    run_at: datetime | None = None,
 ) -> dict:
-    """Add the users who are new in ``month``; users already known are never changed.
+    """Add the users who are new in ``[month, until)``, one month unless ``until`` is given. Users already
+    known are never changed.
 
-    Orders after the month cannot move a first order into it, so their partitions are not read, and an
-    item lies in the same month as its order, so one month of items is enough.
+    Orders after those months cannot move a first order into them, so their partitions are not read, and
+    an item lies in the same month as its order, so the items of those months are enough. Merging several
+    months at once adds the same users as merging them one after the other.
     """
     pin_utc(spark)
-    day = f"{month:%Y-%m-01}"
-    this_month = F.lit(day).cast("date")
-    orders = warehouse.read(spark, "orders").where(F.col("order_month") <= this_month)
-    items = warehouse.read(spark, "order_items").where(F.col("order_month") == this_month)
+    until = month_start(until) if until else shift_month(month, 1)
+    start_day, end_day = f"{month:%Y-%m-01}", f"{until:%Y-%m-01}"
+    start, end = F.lit(start_day).cast("date"), F.lit(end_day).cast("date")
+    placed = F.col("order_month")
+    orders = warehouse.read(spark, "orders").where(placed < end)
+    items = warehouse.read(spark, "order_items").where((placed >= start) & (placed < end))
     known = warehouse.read(spark, "user_first_purchase_info")
-    found = first_purchase.new_first_purchases(orders, items, _names(spark, warehouse), known, day)
+    found = first_purchase.new_first_purchases(orders, items, _names(spark, warehouse), known, start_day, end_day)
     inserted = tables.insert_unmatched(
         spark,
         warehouse.path("user_first_purchase_info"),
@@ -128,7 +138,7 @@ def merge_first_purchases(
         _stamped(found, _now(run_at)),
         ["user_email"],
     )
-    return {"inserted_users": inserted, "month": day}
+    return {"inserted_users": inserted, "month": start_day}
 
 
 def rebuild_first_purchases(spark: SparkSession, warehouse: Warehouse, run_at: datetime | None = None) -> int:
@@ -222,7 +232,7 @@ def _apart(result: dict, key: str, job) -> None:
         result[key] = {"status": "error", "error": str(problem)}
 
 
-def process_month(
+def process_span(
     spark: SparkSession,
     warehouse: Warehouse,
     documents: DataFrame,
@@ -231,16 +241,39 @@ def process_month(
     run_at: datetime | None = None,
     skip_ltv: bool = False,
 ) -> dict:
-    """One month: orders and items, then first purchases, then the cohort table."""
-    result = load_month(spark, warehouse, documents, start, end, run_at)
+    """One month or several: orders and items, then first purchases, then the cohort table."""
+    result = load_span(spark, warehouse, documents, start, end, run_at)
     if "note" in result:
         return result
-    _apart(result, "first_purchase_update", lambda: merge_first_purchases(spark, warehouse, start, run_at))
+    until = month_start(end) if end == month_start(end) else shift_month(end, 1)
+    _apart(result, "first_purchase_update", lambda: merge_first_purchases(spark, warehouse, start, until, run_at))
     if not skip_ltv:
         _apart(result, "ltv_update", lambda: rebuild_ltv(spark, warehouse, run_at))
     return result
 
 
+def run(
+    spark: SparkSession,
+    warehouse: Warehouse,
+    documents: DataFrame,
+    mode: str = "MONTHLY",
+    start: str | None = None,
+    end: str | None = None,
+    now: datetime | None = None,
+    master: DataFrame | None = None,
+    run_at: datetime | None = None,
+    skip_ltv: bool = False,
+) -> dict:
+    """A whole run: master sync, then every month of the mode's span in one load."""
+    first, last = resolve_span(mode, start, end, now)
+    first = month_start(first)
+    iso = iso_instant(first), iso_instant(last)
+    summary = {"mode": mode.upper(), "ranges_count": sum(len(months) for months in months_touched(*iso))}
+    summary["master_sync"] = sync_master(spark, warehouse, master)
+    summary.update(process_span(spark, warehouse, documents, first, last, run_at, skip_ltv))
+    return summary
+
+
 def backfill(
     spark: SparkSession,
     warehouse: Warehouse,
@@ -249,8 +282,7 @@ def backfill(
     run_at: datetime | None = None,
 ) -> dict:
     """Every month of a span in one load, then first purchases and cohorts over the full history."""
-    start = span[0].replace(day=1, hour=0, minute=0, second=0, microsecond=0)
-    result = load_month(spark, warehouse, documents, start, span[1], run_at)
+    result = load_span(spark, warehouse, documents, month_start(span[0]), span[1], run_at)
     result["months"] = sum(len(part) for part in months_touched(*result["range"]))
     result.update(initial_load(spark, warehouse, run_at))
     return result
@@ -284,4 +316,4 @@ def dry_run(
 
 def _as_instant(local):
     """Business wall-clock time back to an instant (the session runs in UTC)."""
-    return F.convert_timezone(F.lit("Asia/Tokyo"), F.lit("UTC"), local).cast("timestamp")
+    return F.convert_timezone(F.lit(BUSINESS_TZ), F.lit("UTC"), local).cast("timestamp")

@@ -48,7 +48,7 @@ class Shop:
 
     def month(self, orders, month, **options):
         start = datetime(2024, month, 1)
-        return jobs.process_month(self.spark, self.house, self.docs(orders), start, datetime(2024, month + 1, 1), RUN, **options)
+        return jobs.process_span(self.spark, self.house, self.docs(orders), start, datetime(2024, month + 1, 1), RUN, **options)
 
     def rows(self, table, *columns):
         return sorted(map(tuple, self.house.read(self.spark, table).select(*columns).collect()), key=str)
@@ -172,5 +172,18 @@ def test_master_sync_statuses(shop):
 def test_custom_span_ends_inside_a_month(shop):
     shop.month(JANUARY, 1)
     start, end = resolve_span("CUSTOM", "2024-01-01", "2024-01-20")
-    jobs.load_month(shop.spark, shop.house, shop.docs([order("7", "eve", "2024-01-02T00:00:00+0900", 1, ("m1", "cup", 1))]), start, end, RUN)
+    jobs.load_span(shop.spark, shop.house, shop.docs([order("7", "eve", "2024-01-02T00:00:00+0900", 1, ("m1", "cup", 1))]), start, end, RUN)
     assert [n for n, in shop.rows("orders", "order_number")] == ["2", "7"]
+
+
+def test_run_by_mode(shop):
+    master = shop.spark.createDataFrame([("m1", "Cup", "kitchen", "B")], "manage_number string, product_name string, category_name string, brand_name string")
+    result = jobs.run(
+        shop.spark, shop.house, shop.docs(JANUARY + FEBRUARY), "custom", "2024-01-15", "2024-02-29", master=master, run_at=RUN
+    )
+    assert (result["mode"], result["ranges_count"], result["master_sync"]["status"]) == ("CUSTOM", 2, "success")
+    assert result["first_purchase_update"] == {"inserted_users": 3, "month": "2024-01-01"}
+    assert shop.ltv() == LTV
+    monthly = jobs.run(shop.spark, shop.house, shop.docs(FEBRUARY), now=datetime(2024, 3, 15), run_at=RUN)
+    assert (monthly["ranges_count"], monthly["first_purchase_update"]["inserted_users"]) == (1, 0)
+    assert shop.ltv() == LTV

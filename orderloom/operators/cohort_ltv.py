@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.calendar import business_month, months_apart
 from orderloom.functions.scalars import blank_to_null, money
 from orderloom.operators.first_purchase import CANCELLED, not_cancelled
+from orderloom.session import stage
 
 COHORT = ["entry_manage_number", "first_order_month"]
 SHOWN = ["entry_manage_number", "entry_item_name", "category_name", "brand_name"]
@@ -80,53 +81,70 @@ def cohort_counts(first: DataFrame, names: DataFrame) -> DataFrame:
     return _labelled(_sizes(_members(first, names)), names)
 
 
-def _aggregated(first: DataFrame, orders: DataFrame, names: DataFrame, cancelled: Sequence[str]) -> DataFrame:
-    """Buyers and exact revenue per cohort, name, offset and cohort size.
+def _sums(members: DataFrame, orders: DataFrame, cancelled: Sequence[str]) -> DataFrame:
+    """Buyers and exact revenue per cohort, name and offset.
 
-    Cohort sizes are counted per name but meet the sales by product and month only, so a product sold
-    under several names in one month repeats its revenue once per size row, and rows of equal size fall
-    into one group. Summing first and multiplying by the number of equal sizes gives the same figures
-    without repeating a single user row.
+    Sales hold a user's month once, so the rows of a group are its buyers.
     """
-    members = _members(first, names)
-    sizes = (
-        _sizes(members).groupBy(*COHORT, "cohort_users").agg(F.count(F.lit(1)).cast("decimal(10,0)").alias("copies"))
-    )
-    # sales hold a user's month once, so the rows of a group are its buyers
-    sums = (
-        _cohort_sales(members, _monthly_sales(orders, cancelled))
-        .groupBy("entry_manage_number", "entry_item_name", "first_order_month", "month_offset")
-        .agg(
-            F.count(F.lit(1)).alias("active_buyers"),
-            F.sum(F.col("monthly_sales") * F.col("entries")).alias("revenue"),
-        )
-    )
-    return sums.join(sizes, COHORT).select(
-        "entry_manage_number",
-        "entry_item_name",
-        "first_order_month",
-        "month_offset",
-        "cohort_users",
-        "active_buyers",
-        (F.col("revenue") * F.col("copies")).alias("revenue"),
+    followed = _cohort_sales(members, _monthly_sales(orders, cancelled))
+    return followed.groupBy("entry_manage_number", "entry_item_name", "first_order_month", "month_offset").agg(
+        F.count(F.lit(1)).alias("active_buyers"), F.sum(F.col("monthly_sales") * F.col("entries")).alias("revenue")
     )
 
 
+def _equal_sizes(members: DataFrame) -> DataFrame:
+    """The cohort sizes of a product and month, and how many names have each."""
+    copies = F.count(F.lit(1)).cast("decimal(10,0)").alias("copies")
+    return _sizes(members).groupBy(*COHORT, "cohort_users").agg(copies)
+
+
+def _spread(sums: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Sums against the sizes of their cohort.
+
+    Cohort sizes are counted per name but meet the sales by product and month only, so a product sold
+    under several names in one month repeats its revenue once per name, and rows of equal size fall into
+    one group. Multiplying the sums by the number of equal sizes gives the same figures without repeating
+    a single user row.
+    """
+    return sums.join(sizes, COHORT).withColumn("revenue", F.col("revenue") * F.col("copies")).drop("copies")
+
+
+def _running(sums: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Running revenue per cohort and offset; all rows of an offset share it.
+
+    One row per offset enters the window, however many names a product was sold under.
+    """
+    names = sizes.groupBy(*COHORT).agg(F.sum("copies").alias("names"))
+    paid = sums.groupBy(*COHORT, "month_offset").agg(F.sum("revenue").alias("paid")).join(names, COHORT)
+    running = F.sum(F.col("paid") * F.col("names")).over(Window.partitionBy(*COHORT).orderBy("month_offset"))
+    return paid.select(*COHORT, "month_offset", running.alias("running"))
+
+
 def ltv_monthly_aggregated(
     first: DataFrame, orders: DataFrame, names: DataFrame, cancelled: Sequence[str] = CANCELLED
 ) -> DataFrame:
-    rows = _labelled(_aggregated(first, orders, names, cancelled), names)
+    members = _members(first, names)
+    rows = _labelled(_spread(_sums(members, orders, cancelled), _equal_sizes(members)), names)
     return rows.withColumn("revenue_in_month", F.col("revenue").cast("double")).drop("revenue")
 
 
-def _running(rows: DataFrame) -> DataFrame:
-    """Running revenue per cohort; rows of one offset share it, hence the default range frame."""
-    running = F.sum("revenue").over(Window.partitionBy(*COHORT).orderBy("month_offset"))
-    shown = rows.where("active_buyers > 0 or revenue > 0").withColumn("running", running)
+def ltv_by_month_offset(
+    first: DataFrame, orders: DataFrame, names: DataFrame, cancelled: Sequence[str] = CANCELLED
+) -> DataFrame:
+    """The cohort table: size, buyers, revenue, running revenue, value per user and per buyer.
+
+    The sums are staged in the shared folder: they are far smaller than the users' months they come from,
+    and both the rows and the running revenue are made of them.
+    """
+    members = _members(first, names)
+    sums = _sums(members, orders, cancelled).where("active_buyers > 0 or revenue > 0")
+    sums = stage(first.sparkSession, sums, "cohort-sums")
+    sizes = _equal_sizes(members)
+    rows = _spread(sums, sizes)
+    rows = _labelled(rows.join(_running(sums, sizes), [*COHORT, "month_offset"]), names)
     revenue, cumulative = F.col("revenue").cast("double"), F.col("running").cast("double")
-    return shown.select(
-        "entry_manage_number",
-        "entry_item_name",
+    return rows.select(
+        *SHOWN,
         "first_order_month",
         "month_offset",
         "cohort_users",
@@ -138,13 +156,6 @@ def _running(rows: DataFrame) -> DataFrame:
     )
 
 
-def ltv_by_month_offset(
-    first: DataFrame, orders: DataFrame, names: DataFrame, cancelled: Sequence[str] = CANCELLED
-) -> DataFrame:
-    """The cohort table: size, buyers, revenue, running revenue, value per user and per buyer."""
-    return _labelled(_running(_aggregated(first, orders, names, cancelled)), names)
-
-
 def _one_name(first: DataFrame, names: DataFrame) -> DataFrame:
     """A single name per product: the master's, else the longest the first purchases carry."""
     carried = blank_to_null(F.col("entry_item_name"))

@@ -19,7 +19,7 @@ from orderloom.schemas import conform, read_table
 from orderloom.session import stage
 
 
-def _save(rows: DataFrame, path: str, mode: str, partition: str | None, order: Sequence[str] = (), dynamic: bool = False) -> None:
+def write(rows: DataFrame, path: str, mode: str, partition: str | None, order: Sequence[str] = (), dynamic: bool = False) -> None:
     """Write ``rows``. The rebalance hint lets Spark split a partition that is far larger than the
     others and merge small ones, so a month with a third of all rows is not one task's work."""
     if partition:
@@ -58,7 +58,7 @@ def load(
     rows = conform(rows, schema)
     if partition and ts_column:
         rows = with_month(rows, ts_column, partition)
-    _save(rows, path, "overwrite" if disposition == "WRITE_TRUNCATE" else "append", partition, order)
+    write(rows, path, "overwrite" if disposition == "WRITE_TRUNCATE" else "append", partition, order)
     return True
 
 
@@ -99,14 +99,14 @@ def replace_range(
     # at most one value per month of the range
     filled = {row[0] for row in content.select(partition).distinct().collect()}
     if filled:
-        _save(content, path, "overwrite", partition, dynamic=True)
+        write(content, path, "overwrite", partition, dynamic=True)
     for month in touched:
         if month not in filled:
             _empty_month(spark, path, schema, partition, month)
 
     stray = fresh.where(~inside)
     if not stray.isEmpty():
-        _save(stray, path, "append", partition)
+        write(stray, path, "append", partition)
 
 
 def delete_range(
@@ -136,7 +136,7 @@ def upsert(
     content = conform(merges.upsert_by_keys(target, source, keys), schema)
     if partition and ts_column:
         content = with_month(content, ts_column, partition)
-    _save(stage(spark, content, "upsert"), path, "overwrite", partition)
+    write(stage(spark, content, "upsert"), path, "overwrite", partition)
     return True
 
 
@@ -149,7 +149,7 @@ def insert_unmatched(spark: SparkSession, path: str, schema: T.StructType, sourc
     fresh = stage(spark, conform(merges.unmatched(source, target, keys), schema), "merge")
     inserted = fresh.count()
     if inserted:
-        _save(fresh, path, "append", None)
+        write(fresh, path, "append", None)
     return inserted
 
 
@@ -163,5 +163,5 @@ def rewrite_changed(
     if count:
         months = changed.select(F.col(partition).alias("changed_month")).distinct()
         content = staged.join(months, F.col(partition).eqNullSafe(F.col("changed_month")), "left_semi").drop(flag)
-        _save(content, path, "overwrite", partition, order, dynamic=True)
+        write(content, path, "overwrite", partition, order, dynamic=True)
     return count

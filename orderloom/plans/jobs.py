@@ -161,7 +161,7 @@ def rebuild_ltv(spark: SparkSession, warehouse: Warehouse, run_at: datetime | No
     )
     content = schemas.conform(_stamped(rows, _now(run_at)), schemas.COHORT_LTV)
     path = warehouse.path("entry_product_ltv_by_month_offset")
-    tables._save(content, path, "overwrite", "first_order_month", LTV_ORDER)
+    tables.write(content, path, "overwrite", "first_order_month", LTV_ORDER)
 
 
 def refresh_ltv_names(spark: SparkSession, warehouse: Warehouse, run_at: datetime | None = None) -> dict:

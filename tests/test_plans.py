@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
+from orderloom.plans.catalogue import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas", "MapInArrow", "collect_list", "collect_set"]
@@ -12,11 +12,11 @@ FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPy
 TOTALS = {"month_ranges", "range_order_counts", "chunk_counts", "backfill_plan", "run_summary", "reject_report", "table_freshness"}
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan(name, spark):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if every table were large
-        plan = driver.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert not [word for word in FORBIDDEN if word in plan]
@@ -28,7 +28,7 @@ def test_plan(name, spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    plan = driver.queries()["delete_between"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["delete_between"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string>" in plan
-    plan = driver.queries()["product_master_best"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["product_master_best"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Not(In(p_brand" in plan.replace("IsNotNull(p_brand), ", "")

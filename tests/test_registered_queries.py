@@ -11,7 +11,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as driver
+from orderloom.plans.catalogue import QUERIES
+from orderloom.plans.oracle import ORACLE
 
 SF_DIR = f"/root/testdata/sf{os.environ.get('TEST_SF', '0.001')}"
 
@@ -26,16 +27,16 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, duck):
-    result = driver.queries()[name](spark, SF_DIR)
+    result = QUERIES[name](spark, SF_DIR)
     columns = sorted(result.columns)
     ours = Counter(tuple(row) for row in result.select(*columns).collect())
 
-    duck.execute(driver.oracle_sql()[name])
+    duck.execute(ORACLE[name])
     labels = [d[0] for d in duck.description]
     kinds = {d[0]: str(d[1]) for d in duck.description}
     assert sorted(labels) == columns

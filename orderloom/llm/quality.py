@@ -51,7 +51,7 @@ def _distinct(rows: np.ndarray, features: np.ndarray, n_rows: int) -> tuple[np.n
 
 def text_features(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """Distinct features of each row, and the place of the first of each row: words without the signs around them,
-    and the shares of capitals, digits, letters and repeated words."""
+    the signs that end them, and the shares of capitals, digits, signs and repeated words."""
     starts, ends, firsts = block.words()
     n_rows = block.rows
     rows = np.searchsorted(firsts, np.arange(len(starts)), side="right") - 1
@@ -67,6 +67,7 @@ def text_features(block: Block) -> tuple[np.ndarray, np.ndarray]:
     lowered = Block(0, _lowered(block.data), block.offsets)
     hashes = lowered.span_hash(a, b)
     words = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
+    tails = (mix(block.span_hash(b, ends) + np.uint64(1)) >> np.uint64(64 - BITS)).astype(np.int64)[b < ends]
 
     def share(flags: np.ndarray) -> np.ndarray:
         sums = np.concatenate(([0], np.cumsum(flags)))
@@ -74,6 +75,7 @@ def text_features(block: Block) -> tuple[np.ndarray, np.ndarray]:
 
     n_words = np.diff(firsts)
     n_distinct = np.diff(_distinct(rows, words, n_rows)[1])
+    again = (hashes[1:] == hashes[:-1]) & (rows[1:] == rows[:-1])  # a word after itself
     symbols = ~(_LETTER | _DIGIT)
     symbols[[*range(9, 14), 32]] = False
     looks = [
@@ -83,9 +85,11 @@ def text_features(block: Block) -> tuple[np.ndarray, np.ndarray]:
         _binned(n_distinct / np.maximum(n_words, 1), 4, 0, 1),
         _binned(np.log1p(n_words), 5, 0, 11),
         _binned(np.diff(block.offsets) / np.maximum(n_words, 1), 6, 0, 24),
+        _binned(np.bincount(rows[1:][again], minlength=n_rows) / np.maximum(n_words, 1), 8, 0, 1),
     ]
     every = np.arange(n_rows)
-    return _distinct(np.concatenate([rows, *[every] * len(looks)]), np.concatenate([words, *looks]), n_rows)
+    all_rows = np.concatenate([rows, rows[b < ends], *[every] * len(looks)])
+    return _distinct(all_rows, np.concatenate([words, tails, *looks]), n_rows)
 
 
 def _lowered(data: np.ndarray) -> np.ndarray:
@@ -155,15 +159,26 @@ class Sample:
         return Sample([self.features[self.firsts[r] : self.firsts[r + 1]] for r in rows])
 
 
-def fit(sample: Sample, goal: np.ndarray, row_weights: np.ndarray, steps: int = 80, rate: float = 0.3, l2: float = 1e-4) -> Linear:
-    """Adagrad over all rows; only features that two rows share carry weight. Both classes weigh alike."""
+def telling(sample: Sample, goal: np.ndarray, least_z: float) -> np.ndarray:
+    """Which features differ between the classes by ``least_z`` standard errors; the rest would be fitted noise."""
+    good = goal > 0.5
+    n_1, n_0 = good.sum(), (~good).sum()
+    in_1 = np.bincount(sample.features[good[sample.rows]], minlength=BUCKETS)
+    in_0 = np.bincount(sample.features[~good[sample.rows]], minlength=BUCKETS)
+    share = (in_1 + in_0) / (n_1 + n_0)
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n_1 + 1 / n_0))
+    return np.abs(in_1 / n_1 - in_0 / n_0) >= least_z * error
+
+
+def fit(sample: Sample, goal: np.ndarray, row_weights: np.ndarray, steps: int = 150, rate: float = 0.3, l2: float = 1e-4, least_z: float = 3.5) -> Linear:
+    """Adagrad over all rows, on the telling features. Both classes weigh alike."""
     model = Linear()
     if not len(goal) or goal.min() == goal.max():
         model.bias = 4.0 if len(goal) and goal.max() > 0 else -4.0
         return model
-    common = np.bincount(sample.features, minlength=BUCKETS) >= 2
-    used, places = np.unique(sample.features[common[sample.features]], return_inverse=True)
-    rows = sample.rows[common[sample.features]]
+    chosen = telling(sample, goal, least_z)
+    used, places = np.unique(sample.features[chosen[sample.features]], return_inverse=True)
+    rows = sample.rows[chosen[sample.features]]
     weight = row_weights * np.where(goal > 0.5, 0.5 / np.mean(goal > 0.5), 0.5 / np.mean(goal <= 0.5))
     weight = weight / weight.sum()
     w, bias, seen_w, seen_b = np.zeros(len(used)), 0.0, np.full(len(used), 1e-8), 1e-8
@@ -244,12 +259,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_labelled: int, max_unl
     chosen = strict.select("doc_id", F.col("quality").cast("long"), F.col("toxic").cast("long")).unionByName(others)
     # proven bound: max_labelled + max_unlabelled rows of three numbers
     rows = _inputs(docs).join(F.broadcast(chosen), "doc_id")
-    schema = "doc_id long, quality long, toxic long, words array<int>, meta array<int>"
+    schema = "doc_id long, quality long, toxic long, words binary, meta binary"
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, (words, w), (meta, m) in _feature_rows(batches):
             lists = [
-                pa.ListArray.from_arrays(pa.array(firsts.astype(np.int32)), pa.array(found.astype(np.int32)))
+                pa.array([b.tobytes() for b in np.split(found.astype(np.int32), firsts[1:-1])], pa.binary())
                 for found, firsts in ((words, w), (meta, m))
             ]
             columns = [part.column(n).cast(pa.int64()) for n in ("doc_id", "quality", "toxic")] + lists
@@ -263,11 +278,11 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
 
     Without labels of both kinds a target's models give a fixed answer: good, and not toxic.
     """
-    rows = training_rows(docs, labels, max_labelled, max_unlabelled).toPandas().sort_values("doc_id", kind="stable")
-    views = [Sample(rows["words"].tolist()), Sample(rows["meta"].tolist())]
+    rows = sorted(training_rows(docs, labels, max_labelled, max_unlabelled).collect(), key=lambda r: (r["doc_id"], r["words"]))
+    views = [Sample([np.frombuffer(r[view], dtype=np.int32) for r in rows]) for view in ("words", "meta")]
     models = {}
     for target, column, otherwise in (("good", "quality", 1.0), ("toxic", "toxic", -1.0)):
-        truth = rows[column].fillna(-1).astype(int).clip(-1, 1).to_numpy()
+        truth = np.array([-1 if r[column] is None else int(r[column] > 0) for r in rows], dtype=int)
         both = (truth == 0).any() and (truth == 1).any()
         models[target] = co_train(views, truth) if both else [Linear(bias=4.0 * otherwise), Linear(bias=0.0)]
     return models

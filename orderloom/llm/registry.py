@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from orderloom.llm import decontamination, exact_dedup, packing, quality, sharding
+from orderloom.llm import decontamination, exact_dedup, ngram_join, packing, phrase_dedup, quality, sharding, suffix_dedup
 from orderloom.llm.oracle import CORPUS_ORACLE  # noqa: F401
 
 
@@ -13,6 +13,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+def op2_phrase_dedup(spark, sf_dir):
+    return phrase_dedup.remove_repeated_phrases(table(spark, sf_dir, "documents"))
+
+
+def op4_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), corpus_pipeline.tokenizer_path())
 
@@ -35,5 +47,5 @@ def op10_decontamination(spark, sf_dir):
 
 CORPUS_QUERIES = {
     build.__name__: build
-    for build in (op5_packing, op7_exact_dedup, op8_sharding, op9_quality, op10_decontamination)
+    for build in (op1_suffix_dedup, op2_phrase_dedup, op4_ngram_join, op5_packing, op7_exact_dedup, op8_sharding, op9_quality, op10_decontamination)
 }

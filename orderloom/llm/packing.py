@@ -9,6 +9,7 @@ length from a distributed count, look their place up in the plan, and never meet
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -24,9 +25,11 @@ from orderloom.session import stage
 WINDOW = 2048
 END_ID = 1
 # words whose ids a Python worker remembers; beyond that it starts anew
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 2_000_000
 WORDS_A_CALL = 2000
 ROWS_A_STEP = 200
+# letters or digits, and then signs to the end; an apostrophe may belong to letters, and is left with them
+_CORE_AND_SIGNS = re.compile(r"([^\W_]+)([!-&(-/:-@\[-`{-~]+)\Z")
 
 PIECES = T.StructType(
     [
@@ -56,8 +59,23 @@ class WordIds:
         self.known: dict[str, bytes] = {"": b""}
 
     def learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > KNOWN_WORDS:
-            self.known = {"": b""}
+        """Words that end in signs are their core and the signs, since the tokenizer cuts there and drops the case."""
+        made, parts = {}, set()
+        for word in words:
+            if match := _CORE_AND_SIGNS.match(word):
+                core, signs = match.groups()
+            else:
+                core, signs = word, ""
+            if core.isascii() and core.isalpha():
+                core = core.lower()
+            if core != word:
+                made[word] = core, signs
+            parts.update((core, signs))
+        self.tokenise(sorted(parts - self.known.keys()))
+        for word, (core, signs) in made.items():
+            self.known[word] = self.known[core] + self.known[signs]
+
+    def tokenise(self, words: list[str]) -> None:
         for at in range(0, len(words), WORDS_A_CALL):
             some = words[at : at + WORDS_A_CALL]
             firsts = np.cumsum([0] + [len(w) + 1 for w in some])

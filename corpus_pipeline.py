@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.llm import decontamination, exact_dedup, packing, quality
+from orderloom.llm import decontamination, exact_dedup, ngram_join, packing, quality
 from orderloom.session import stage
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.keep_one_of_each(docs)
+
+
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -40,6 +44,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_classifier", keep_good),
     ("exact_dedup", drop_copies),
+    ("ngram_jaccard_join", drop_near_copies),
     ("benchmark_decontamination", drop_leaks),
     ("packing", pack),
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from orderloom.llm import decontamination, exact_dedup, ngram_join, packing, phrase_dedup, quality, sharding, suffix_dedup
+from orderloom.llm import decontamination, exact_dedup, html_extract, ngram_join, packing, phrase_dedup, pii, quality, sharding, suffix_dedup
 from orderloom.llm.oracle import CORPUS_ORACLE  # noqa: F401
 
 
@@ -21,6 +21,10 @@ def op2_phrase_dedup(spark, sf_dir):
     return phrase_dedup.remove_repeated_phrases(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extract(spark, sf_dir):
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), corpus_pipeline.tokenizer_path())
 
 
+def op6_pii(spark, sf_dir):
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -47,5 +55,8 @@ def op10_decontamination(spark, sf_dir):
 
 CORPUS_QUERIES = {
     build.__name__: build
-    for build in (op1_suffix_dedup, op2_phrase_dedup, op4_ngram_join, op5_packing, op7_exact_dedup, op8_sharding, op9_quality, op10_decontamination)
-}
+    for build in (
+        op1_suffix_dedup, op2_phrase_dedup, op3_html_extract, op4_ngram_join, op5_packing, op6_pii, op7_exact_dedup,
+        op8_sharding, op9_quality, op10_decontamination,
+    )
+} | {"pipeline": corpus_pipeline.run}

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.arrow_text import LOWER, Block, blocks, ranges, row_of
+from orderloom.llm.rows import without
 
 SHARD_BYTES = 8 << 20
 THRESHOLD = 0.5
@@ -253,5 +254,4 @@ def _search(docs: DataFrame, index: ItemIndex, half: int, overlap: float) -> Dat
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a leak, with all their columns. Rows without an identifier stay."""
-    leaked = benchmark_leaks(docs, benchmark).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(leaked, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return without(docs, benchmark_leaks(docs, benchmark))

@@ -16,6 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.llm.rows import without
 from orderloom.session import stage
 
 FAN_IN = 16
@@ -71,6 +72,5 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text: Column |
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of rows alike in doc_id and text, one."""
-    marked = exact_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(marked, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns; rows without an identifier stay."""
+    return without(docs, exact_duplicates(docs).where(~F.col("kept")))

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.arrow_text import Block, blocks, mix, ranges, sequence_hash
 from orderloom.llm.components import components
+from orderloom.llm.rows import without
 from orderloom.session import stage
 
 SHINGLE = 5
@@ -297,5 +298,4 @@ def _band(n: str, percent: int):
 
 def keep_one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component, with all their columns."""
-    gone = near_duplicates(docs, percent).where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return without(docs, near_duplicates(docs, percent).where("component_id < doc_id"))

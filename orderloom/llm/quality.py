@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.llm.arrow_text import Block, blocks, mix
+from orderloom.llm.rows import without
 
 MAX_LABELLED = 8000
 MAX_UNLABELLED = 4000
@@ -324,5 +325,4 @@ def quality_scores(docs: DataFrame, labels: DataFrame, **bounds: int) -> DataFra
 
 def keep_good(docs: DataFrame, labels: DataFrame, **bounds: int) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with all their columns. Rows without an identifier stay."""
-    rejected = quality_scores(docs, labels, **bounds).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(rejected, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return without(docs, quality_scores(docs, labels, **bounds).where("NOT kept"))

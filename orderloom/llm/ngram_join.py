@@ -10,8 +10,9 @@ neighbouring bands, and if the two share one of their rarest shingles (a fifth o
 
 Shingles are ordered by a count sketch of all documents, so that those of widespread passages come last. Any order gives
 the same links, the sketch only keeps lists short. A large group of near copies is not compared pair by pair: first every
-node is tried against one leader, the smallest node of the list it shares most often, and then only those pairs
-of a list are formed whose ends are not connected yet. No link between components is lost by that.
+node is tried against one leader, and then only those pairs of a list are formed whose ends are not connected yet. No
+link between components is lost by that. The leader of a list is the node that shares most with others: copies of
+one text, each changed in its own way, may link to the original alone, and the original is in most of their lists.
 
 Hashes have 64 bits: two different sets out of n share a node with odds of n^2 / 2^65.
 """
@@ -183,7 +184,7 @@ def signatures(docs: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
 
 
 def shared_postings(signed: DataFrame) -> DataFrame:
-    """(key, node, n, place, leader) of the prefix shingles that two nodes share; leader is the smallest node."""
+    """(key, node, n, place, holders) of the prefix shingles that two nodes share; holders counts their nodes and copies."""
     parts = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     postings = (
         signed.where("prefix IS NOT NULL")
@@ -191,8 +192,8 @@ def shared_postings(signed: DataFrame) -> DataFrame:
         .repartition(parts, "key")
     )
     # both read the same shuffled postings: the plan has one exchange
-    lists = postings.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("_last")).where("leader < _last")
-    return postings.join(lists.select("key", "leader"), "key").distinct()
+    lists = postings.groupBy("key").agg(F.min("node").alias("_first"), F.max("node").alias("_last"), F.count(F.lit(1)).alias("holders"))
+    return postings.join(lists.where("_first < _last").select("key", "holders"), "key").distinct()
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -256,7 +257,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     nodes = stage(spark, firsts.join(marks, "node"), "nodes")
     postings = stage(spark, shared_postings(signed), "shared-postings")
 
-    often = postings.where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("lists"))
+    weights = postings.groupBy("node").agg(F.sum("holders").alias("weight"))
+    weighted = postings.select("key", "node").join(weights, "node")
+    leaders = weighted.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("_top")).select("key", F.col("_top.node").alias("leader"))
+    often = postings.join(leaders, "key").where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("lists"))
     best = often.groupBy("node").agg(F.max(F.struct("lists", "leader")).alias("best"))
     links = verified(best.select(F.col("node").alias("a"), F.col("best.leader").alias("b")), nodes, docs, percent)
     known = stage(spark, components(links), "known-components")

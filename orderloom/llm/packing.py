@@ -10,15 +10,18 @@ length from a distributed count, look their place up in the plan, and never meet
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.llm.arrow_text import ranges
 from orderloom.llm.sharding import number_rows
 from orderloom.session import stage
 
@@ -42,11 +45,26 @@ PIECES = T.StructType(
 )
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary writes each byte: itself where it can be seen, else the next free one."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [byte for byte in range(256) if byte not in seen]
+    return {byte: chr(byte) for byte in seen} | {byte: chr(256 + k) for k, byte in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def _is_latin(word: str) -> bool:
+    """Letters only, of those whose lower case and composition need no context."""
+    return word.isalpha() and max(word) < "\u0250" and "\u0130" not in word
+
+
 class WordIds:
     """Token ids of texts, as little-endian 32-bit bytes, by a tokenizer that never joins words over a space.
 
     Each distinct word is tokenised once and remembered; a text's ids are those of its words. ``spaces`` must be
-    characters at which the tokenizer always cuts.
+    characters at which the tokenizer always cuts. The tokenizer is byte-level and writes its vocabulary by ``_BYTE_LETTERS``.
     """
 
     def __init__(self, path: str):
@@ -66,7 +84,7 @@ class WordIds:
                 core, signs = match.groups()
             else:
                 core, signs = word, ""
-            if core.isascii() and core.isalpha():
+            if _is_latin(core):
                 core = core.lower()
             if core != word:
                 made[word] = core, signs
@@ -76,6 +94,16 @@ class WordIds:
             self.known[word] = self.known[core] + self.known[signs]
 
     def tokenise(self, words: list[str]) -> None:
+        """Latin letters in lower case go to the tokenizer's model as they are, without its normaliser and splitter."""
+        pieces = self.tokenizer.model.tokenize
+        others = []
+        for word in words:
+            if _is_latin(word) and word == word.lower():
+                ids = [token.id for token in pieces(word.encode().decode("latin-1").translate(_BYTE_LETTERS))]
+                self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                others.append(word)
+        words = others
         for at in range(0, len(words), WORDS_A_CALL):
             some = words[at : at + WORDS_A_CALL]
             firsts = np.cumsum([0] + [len(w) + 1 for w in some])
@@ -86,15 +114,25 @@ class WordIds:
             for k, word in enumerate(some):
                 self.known[word] = ids[cuts[k] : cuts[k + 1]]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        needed = set().union(*split) if split else set()
-        if new := needed - self.known.keys():
-            if len(self.known) + len(new) > KNOWN_WORDS:  # what this call needs must be known at its end
-                self.known, new = {"": b""}, needed - {""}
-            self.learn(sorted(new))
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some texts one after another, and the place of each text's first one."""
+        split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         known = self.known
-        return [b"".join([known[w] for w in words]) for words in split]
+        if new := [w for w in words if w not in known]:
+            if len(known) + len(new) > KNOWN_WORDS:  # what this call needs must be known at its end
+                self.known, new = {"": b""}, words
+            self.learn(new)
+            known = self.known
+        bodies = [known[w] for w in words]
+        sizes = np.array([len(b) for b in bodies], dtype=np.int64) // 4
+        firsts = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(bodies), dtype="<u4")
+        lengths = sizes[codes]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        offsets = split.offsets.to_numpy()
+        return ids[ranges(firsts[codes], lengths)], ends[offsets - offsets[0]]
 
 
 def token_pieces(
@@ -115,9 +153,9 @@ def token_pieces(
             for first in range(0, batch.num_rows, ROWS_A_STEP):
                 part = batch.slice(first, ROWS_A_STEP)
                 out: dict[str, list] = {name: [] for name in names}
-                texts = [text or "" for text in part.column(1).to_pylist()]
-                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(texts)):
-                    ids += end
+                found, firsts = encoder.encode(part.column(1).fill_null(""))
+                for row, doc_id in enumerate(part.column(0).to_pylist()):
+                    ids = found[firsts[row] : firsts[row + 1]].tobytes() + end
                     total = len(ids) // 4
                     for start in range(0, total, window):
                         piece = ids[4 * start : 4 * (start + window)]

@@ -51,6 +51,11 @@ def to_whole(text: Column) -> Column:
     return blank_to_null(text).cast("decimal(38,6)").cast("bigint")
 
 
+def to_flag(text: Column) -> Column:
+    """True or false, from the two words or from a number that is or is not zero."""
+    return F.when(text.isin("true", "false"), text == "true").otherwise(F.when(~text.isin("true", "false"), to_whole(text)) != 0)
+
+
 def money(amount: Column) -> Column:
     """Exact two-decimal amount, so that sums do not depend on the order of the rows."""
     return amount.cast(MONEY)

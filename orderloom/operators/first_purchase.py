@@ -69,8 +69,7 @@ def in_months(first: DataFrame, month: str, until: str | None = None) -> DataFra
 def entry_items(items: DataFrame) -> DataFrame:
     """Per order the item with the greatest subtotal, then the smallest manage_number, then item name.
 
-    A user has one first order, so the best item of an order is the best item of its user. Choosing it
-    before the join leaves one row per order and task to shuffle, however many items an order holds.
+    One row per order and task is left to shuffle, however many items an order holds.
     """
     rank = F.struct(
         F.col("subtotal").isNull().alias("unpriced"),
@@ -85,9 +84,11 @@ def entry_items(items: DataFrame) -> DataFrame:
 def entry_products(first: DataFrame, items: DataFrame, names: DataFrame) -> DataFrame:
     """First orders with their entry product, named by the master where it has a name.
 
-    Users whose first order has no item with a manage_number drop out.
+    Users whose first order has no item with a manage_number drop out. Items of other orders leave before the best
+    one is chosen: a user has one first order, and the history holds many more items than first orders have.
     """
-    best = entry_items(items).withColumnRenamed("order_number", "first_order_number")
+    numbers = first.select(F.col("first_order_number").alias("order_number"))
+    best = entry_items(items.join(numbers, "order_number", "left_semi")).withColumnRenamed("order_number", "first_order_number")
     entered = first.join(best, "first_order_number")
     named = entered.join(names, "manage_number", "left")
     return named.select(

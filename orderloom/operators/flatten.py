@@ -52,7 +52,7 @@ def normalize_orders(
         F.col("SettlementModel.cardName").alias("card_name"),
         F.col("DeliveryModel.deliveryName").alias("delivery_name"),
         s.to_utc_date(F.col("deliveryDate")).alias("delivery_date"),
-        (s.to_whole(F.col("rakutenMemberFlag")) != 0).alias("rakuten_member_flag"),
+        s.to_flag(F.col("rakutenMemberFlag")).alias("rakuten_member_flag"),
         F.col(f"{orderer}.emailAddress").alias("user_email"),
         F.col(f"{orderer}.prefecture").alias("prefecture"),
         F.col(f"{orderer}.city").alias("city"),

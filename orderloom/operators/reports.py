@@ -29,18 +29,17 @@ def table_freshness(rows: DataFrame, table: str, stamp: str) -> DataFrame:
 def product_sales(items: DataFrame, names: DataFrame) -> DataFrame:
     """Quantity, sales and orders per product, named by the master first.
 
-    The items are summed per product before anything is joined, so a bestseller crosses the network as
-    a few rows per task. Names are reduced to their distinct texts first.
+    Items are read once: sums and the longest name per product and order first, and then per product, where each
+    order is a row. A bestseller crosses the network as a row per order and task, then as a few rows.
     """
-    sums = items.groupBy("manage_number").agg(
-        F.sum("quantity").cast("bigint").alias("quantity"),
-        F.sum(money(F.col("subtotal"))).cast("double").alias("sales"),
-        F.countDistinct("order_number").alias("orders"),
+    per_order = items.groupBy("manage_number", "order_number").agg(
+        F.sum("quantity").alias("quantity"), F.sum(money(F.col("subtotal"))).alias("sales"), longest("item_name").alias("item_name")
     )
-    carried = items.select("manage_number", "item_name").distinct()
-    carried = carried.groupBy("manage_number").agg(longest("item_name").alias("item_name"))
-    sums = sums.join(carried, sums["manage_number"].eqNullSafe(carried["manage_number"]), "left").drop(
-        carried["manage_number"]
+    sums = per_order.groupBy("manage_number").agg(
+        F.sum("quantity").cast("bigint").alias("quantity"),
+        F.sum("sales").cast("double").alias("sales"),
+        F.count("order_number").alias("orders"),
+        longest("item_name").alias("item_name"),
     )
     return sums.join(names, "manage_number", "left").select(
         "manage_number",

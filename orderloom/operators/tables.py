@@ -1,37 +1,38 @@
 """Writing the Parquet tables: loads, range replacement, upserts and merges.
 
-Monthly tables are partitioned by business month. A write touches the partitions it changes and no
-others; their old files go when the job commits, so a failed write leaves the table as it was.
+Monthly tables are partitioned by business month. A write makes new folders for the months that it changes and then
+switches to them at once (see ``versions``): other months keep their files, and a write that fails changes nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom import versions
 from orderloom.functions.calendar import business_month, months_touched
 from orderloom.operators import merges
-from orderloom.schemas import conform, read_table
+from orderloom.schemas import conform, read_table, with_partition
 from orderloom.session import stage
 
 
-def write(rows: DataFrame, path: str, mode: str, partition: str | None, order: Sequence[str] = (), dynamic: bool = False) -> None:
-    """Write ``rows``. The rebalance hint lets Spark split a partition that is far larger than the
-    others and merge small ones, so a month with a third of all rows is not one task's work."""
-    if partition:
-        rows = rows.hint("rebalance", partition).sortWithinPartitions(partition, *order)
-    writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
-
-
 def with_month(rows: DataFrame, ts_column: str, partition: str) -> DataFrame:
     return rows.withColumn(partition, business_month(F.col(ts_column)))
 
 
+def replace_table(
+    spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType, partition: str | None = None, order: Sequence[str] = ()
+) -> None:
+    """``rows`` take the place of all that the table held. A partition column must be among them."""
+    full = with_partition(schema, partition)
+    folder, filled = versions.add_folder(spark, rows.select(*full.names), path, partition, order)
+    emptied = {part: [] for part in versions.parts(spark, path) or {"": []}}
+    versions.commit(spark, {path: emptied | {part: [folder] for part in filled}})
+
+
 def load(
     spark: SparkSession,
     rows: DataFrame,
@@ -43,79 +44,106 @@ def load(
     ts_column: str | None = None,
     order: Sequence[str] = (),
 ) -> bool:
-    """Append to a table, replace it, or fill it only while it is empty. Empty input writes nothing.
+    """Append to a table, replace it, or fill it only while it is empty. Empty input changes nothing.
 
-    Returns whether anything was written.
+    Returns whether anything was written. The rows are computed once: they are written first, and whether there were
+    any is seen from the folder.
     """
-    if rows.isEmpty():
-        if ignore_if_empty:
-            return False
-        raise ValueError("no rows to load")
-    if disposition == "WRITE_EMPTY" and not read_table(spark, path, schema, partition).isEmpty():
-        raise ValueError(f"the table at {path} already has rows")
     if disposition not in ("WRITE_APPEND", "WRITE_TRUNCATE", "WRITE_EMPTY"):
         raise ValueError(f"unknown disposition {disposition!r}")
     rows = conform(rows, schema)
     if partition and ts_column:
         rows = with_month(rows, ts_column, partition)
-    write(rows, path, "overwrite" if disposition == "WRITE_TRUNCATE" else "append", partition, order)
+    folder, filled = versions.add_folder(spark, rows, path, partition, order)
+    if not filled:
+        if ignore_if_empty:
+            return False
+        raise ValueError("no rows to load")
+    held = versions.parts(spark, path) or {}
+    if disposition == "WRITE_EMPTY" and not read_table(spark, path, schema, partition).isEmpty():
+        raise ValueError(f"the table at {path} already has rows")
+    if disposition == "WRITE_TRUNCATE":
+        held = {part: [] for part in held}
+        versions.commit(spark, {path: held | {part: [folder] for part in filled}})
+    else:
+        versions.commit(spark, {path: {part: [*held.get(part, []), folder] for part in filled}})
     return True
 
 
-def _empty_month(spark: SparkSession, path: str, schema: T.StructType, partition: str, month: date) -> None:
-    """Replace one month folder by an empty one; dynamic overwriting leaves months without new rows alone."""
-    columns = T.StructType([f for f in schema.fields if f.name != partition])
-    empty = spark.createDataFrame([], columns)
-    empty.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{partition}={month.isoformat()}")
+def _part(month) -> str:
+    return versions.NO_MONTH if month is None else str(month)
 
 
-def replace_range(
+def _range_content(
+    spark: SparkSession, path: str, schema: T.StructType, incoming: DataFrame, ts_column: str, start_iso: str, end_iso: str,
+    partition: str, keys: Sequence[str],
+) -> versions.Parts:
+    """The new folders of the months that a range replacement changes."""
+    full, partial = months_touched(start_iso, end_iso)
+    fresh = with_month(conform(incoming, schema), ts_column, partition)
+    months = [row[0] for row in fresh.select(partition).distinct().collect()]  # one value per month
+    strays = [m for m in months if m not in {*full, *partial}]
+
+    content = fresh
+    if partial or strays:
+        table = read_table(spark, path, schema, partition)
+        known = [m for m in strays if m is not None]
+        read = F.col(partition).isin([*partial, *known])
+        held = table.where(read | F.col(partition).isNull() if None in strays else read)
+        kept = merges.delete_between(held, ts_column, start_iso, end_iso)
+        outside = merges.delete_between(fresh, ts_column, start_iso, end_iso).select(*keys).distinct()
+        content = kept.join(outside, list(keys), "left_anti").select(*fresh.columns).unionByName(fresh)
+    folder, filled = versions.add_folder(spark, content, path, partition)
+    changed = [_part(m) for m in [*full, *partial, *strays]]
+    return {part: [folder] if part in filled else [] for part in changed}
+
+
+def replace_ranges(
     spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    incoming: DataFrame,
+    replacements: dict[str, tuple[T.StructType, DataFrame]],
     ts_column: str,
     start_iso: str,
     end_iso: str,
     partition: str = "order_month",
+    keys: Sequence[str] = ("order_number",),
 ) -> None:
-    """Delete the rows of ``[start, end)`` and add ``incoming``, in the months concerned only.
+    """Delete the rows of ``[start, end)`` from some tables, given by path, and add the incoming ones; all switch at once.
 
-    The incoming rows are staged first, so that one that breaks the schema stops the job before the
-    table is touched. A month that the range covers in full is replaced without being read; in a month
-    it covers in part, the rows outside it are carried over. Incoming rows of other months are appended.
+    A month that the range covers in full is replaced without being read; in a month it covers in part, the
+    rows outside it are carried over. Incoming rows outside the range take the place of rows outside it that have their
+    keys, so that a second run with the same rows changes nothing.
     """
-    full, partial = months_touched(start_iso, end_iso)
-    touched = [*full, *partial]
-    fresh = stage(spark, with_month(conform(incoming, schema), ts_column, partition), "incoming")
-    inside = F.coalesce(F.col(partition).isin(touched), F.lit(False))
+    versions.commit(
+        spark,
+        {
+            path: _range_content(spark, path, schema, incoming, ts_column, start_iso, end_iso, partition, keys)
+            for path, (schema, incoming) in replacements.items()
+        },
+    )
 
-    content = fresh.where(inside)
-    if partial:
-        table = read_table(spark, path, schema, partition).where(F.col(partition).isin(partial))
-        kept = merges.delete_between(table, ts_column, start_iso, end_iso)
-        content = stage(spark, kept, "kept").unionByName(content)
 
-    # at most one value per month of the range
-    filled = {row[0] for row in content.select(partition).distinct().collect()}
-    if filled:
-        write(content, path, "overwrite", partition, dynamic=True)
-    for month in touched:
-        if month not in filled:
-            _empty_month(spark, path, schema, partition, month)
-
-    stray = fresh.where(~inside)
-    if not stray.isEmpty():
-        write(stray, path, "append", partition)
+def replace_range(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    incoming: DataFrame,
+    ts_column: str,
+    start_iso: str,
+    end_iso: str,
+    partition: str = "order_month",
+    keys: Sequence[str] = ("order_number",),
+) -> None:
+    """``replace_ranges`` for one table."""
+    replace_ranges(spark, {path: (schema, incoming)}, ts_column, start_iso, end_iso, partition, keys)
 
 
 def delete_range(
     spark: SparkSession, path: str, schema: T.StructType, ts_column: str, start_iso: str, end_iso: str,
-    partition: str = "order_month",
+    partition: str = "order_month", keys: Sequence[str] = ("order_number",),
 ) -> None:
     """Delete the rows of ``[start, end)``."""
     nothing = spark.createDataFrame([], schema)
-    replace_range(spark, path, schema, nothing, ts_column, start_iso, end_iso, partition)
+    replace_range(spark, path, schema, nothing, ts_column, start_iso, end_iso, partition, keys)
 
 
 def upsert(
@@ -127,30 +155,41 @@ def upsert(
     partition: str | None = None,
     ts_column: str | None = None,
 ) -> bool:
-    """Update or insert ``source`` by its keys. The source is staged, since the merge reads it more than
-    once; the new content is staged too, and then takes the table's place."""
+    """Update or insert ``source`` by its keys. Only months that hold a matching row are read and written anew; months
+    that just get rows get another folder. The source is staged, since the merge reads it more than once."""
     source = stage(spark, source, "source")
     if source.isEmpty():
         return False
-    target = read_table(spark, path, schema, partition).select(*schema.names)
-    content = conform(merges.upsert_by_keys(target, source, keys), schema)
+    held = versions.parts(spark, path) or {}
+    target = read_table(spark, path, schema, partition)
+    if partition:
+        matched = target.select(partition, *keys).join(source.select(*keys).distinct(), list(keys), "left_semi")
+        months = [row[0] for row in matched.select(partition).distinct().collect()]  # one value per month
+        known = [m for m in months if m is not None]
+        hit = F.col(partition).isin(known)
+        target = target.where(hit | F.col(partition).isNull() if None in months else hit)
+        read = {_part(m) for m in months}
+    else:
+        read = {""}
+    content = conform(merges.upsert_by_keys(target.select(*schema.names), source, keys), schema)
     if partition and ts_column:
         content = with_month(content, ts_column, partition)
-    write(stage(spark, content, "upsert"), path, "overwrite", partition)
+    folder, filled = versions.add_folder(spark, content, path, partition)
+    changed = {part: [] for part in read}
+    changed |= {part: [folder] if part in read else [*held.get(part, []), folder] for part in filled}
+    versions.commit(spark, {path: changed})
     return True
 
 
 def insert_unmatched(spark: SparkSession, path: str, schema: T.StructType, source: DataFrame, keys: Sequence[str]) -> int:
-    """Add the source rows whose keys the table does not hold; returns how many.
-
-    The rows are staged, so that the count and the write see the same ones.
-    """
-    target = read_table(spark, path, schema)
-    fresh = stage(spark, conform(merges.unmatched(source, target, keys), schema), "merge")
-    inserted = fresh.count()
-    if inserted:
-        write(fresh, path, "append", None)
-    return inserted
+    """Add the source rows whose keys the table does not hold; returns how many."""
+    held = versions.parts(spark, path) or {}
+    fresh = conform(merges.unmatched(source, read_table(spark, path, schema), keys), schema)
+    folder, filled = versions.add_folder(spark, fresh, path, None)
+    if not filled:
+        return 0
+    versions.commit(spark, {path: {"": [*held.get("", []), folder]}})
+    return spark.read.schema(fresh.schema).parquet(f"{path}/load={folder}").count()
 
 
 def rewrite_changed(
@@ -163,5 +202,6 @@ def rewrite_changed(
     if count:
         months = changed.select(F.col(partition).alias("changed_month")).distinct()
         content = staged.join(months, F.col(partition).eqNullSafe(F.col("changed_month")), "left_semi").drop(flag)
-        write(content, path, "overwrite", partition, order, dynamic=True)
+        folder, filled = versions.add_folder(spark, content, path, partition, order)
+        versions.commit(spark, {path: {part: [folder] for part in filled}})
     return count

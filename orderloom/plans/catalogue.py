@@ -18,6 +18,7 @@ from orderloom.operators import (
     cohort_ltv, first_purchase, flatten, merges, product_master, quality, ranges, reports, tables,
 )
 from orderloom.plans import given_tables as given
+from orderloom.plans import jobs
 from orderloom.session import pin_utc, scratch_path, stage
 from orderloom.sources import documents, files, master_files
 
@@ -28,6 +29,8 @@ QUERIES: dict[str, Query] = {}
 MERGE_MONTH = "1995-06-01"
 KNOWN_UNTIL = "1995-07-01T00:00:00+09:00"
 REPLACED = ("1997-03-01T00:00:00+09:00", "1997-04-11T00:00:00+09:00")
+STRAYS = ("1997-05-01T00:00:00+09:00", "1997-05-03T00:00:00+09:00")
+ALL_TIME = (datetime(1992, 1, 1), datetime(1999, 1, 1))
 DELETED = ("2024-01-08T00:00:00+09:00", "2024-01-15T12:00:00+09:00")
 INGESTED_AT = datetime(2024, 2, 1)
 
@@ -206,20 +209,29 @@ def product_master_grid(spark, sf):
     return product_master.clean_master(master_files.read_master_grid(spark, path))
 
 
-EVENT_FILE = schemas.table(event_id=schemas.WHOLE, user_id=schemas.WHOLE, event_type=schemas.TEXT, value=schemas.NUMBER)
+EVENT_FILE = schemas.table(
+    event_id=schemas.WHOLE, user_id=schemas.WHOLE, event_type=schemas.TEXT, value=schemas.NUMBER, ts=schemas.INSTANT
+)
+NOTES = ["exported by the shop", "all times are UTC", ";".join(EVENT_FILE.names)]
 
 
 @query
 def load_files(spark, sf):
-    events = given.given(spark, sf, "events").select(*EVENT_FILE.names)
-    json_path, csv_path = scratch_path(spark, "events-json"), scratch_path(spark, "events-csv")
+    events = given.given(spark, sf, "events").withColumn("ts", given.utc("ts")).select(*EVENT_FILE.names)
+    json_path, csv_path, noted_path = (scratch_path(spark, f"events-{kind}") for kind in ("json", "csv", "noted"))
     events.write.json(json_path)
     events.write.option("header", True).option("sep", ";").csv(csv_path)
     from_json = files.load_files(spark, json_path, schema=EVENT_FILE)
     from_csv = files.load_files(spark, csv_path, "CSV", schema=EVENT_FILE, field_delimiter=";", skip_leading_rows=1)
-    return from_json.withColumn("source_format", F.lit("NDJSON")).unionByName(
-        from_csv.withColumn("source_format", F.lit("CSV"))
-    )
+    # a file with notes on top: every task writes one, so the notes open each of them
+    line = F.concat_ws(";", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in EVENT_FILE.names])
+    noted = spark.range(1).select(F.explode(F.array(*map(F.lit, NOTES))).alias("line")).unionByName(events.select(line.alias("line")))
+    documents.write_text(noted.coalesce(1), noted_path)
+    from_noted = files.load_files(spark, noted_path, "CSV", schema=EVENT_FILE, field_delimiter=";", skip_leading_rows=len(NOTES))
+    shown = from_json.withColumn("source_format", F.lit("NDJSON"))
+    for name, rows in (("CSV", from_csv), ("CSV with notes", from_noted)):
+        shown = shown.unionByName(rows.withColumn("source_format", F.lit(name)))
+    return shown
 
 
 ORDER_FACTS = schemas.table(
@@ -229,7 +241,7 @@ ORDER_FACTS = schemas.table(
 
 @query
 def append_batch(spark, sf):
-    path = scratch_path(spark, "orders")
+    path = f"{scratch_path(spark, 'house')}/orders"
     orders = given.shop_orders(spark, sf)
     schemas.ensure_table(spark, path, ORDER_FACTS, "order_month")
     for status in ("700", "300", "900", "100"):  # no order has the last one: an empty batch adds nothing
@@ -255,19 +267,21 @@ ITEM_FACTS = schemas.table(
 def replace_month(spark, sf):
     orders = given.shop_orders(spark, sf)
     items = flatten.attach_order_datetime(given.shop_items(spark, sf), orders)
-    # the range as fetched again: cancelled orders are gone, amounts moved
+    # the range as fetched again: cancelled orders are gone, amounts moved, and some orders lie outside of it
     again = orders.where(merges.in_range("order_datetime", *REPLACED)).where(first_purchase.not_cancelled())
+    again = again.unionByName(orders.where(merges.in_range("order_datetime", *STRAYS)))
     again = again.withColumn("total_price", F.col("total_price") + 1)
     items_again = items.where(merges.in_range("order_datetime", *REPLACED)).where("quantity > 10")
 
-    shown = []
+    shown, house = [], scratch_path(spark, "house")
     for name, schema, rows, incoming, amount in (
         ("orders", ORDER_FACTS, orders, again, "total_price"),
         ("order_items", ITEM_FACTS, items, items_again, "subtotal"),
     ):
-        path = scratch_path(spark, name)
+        path = f"{house}/{name}"
         tables.load(spark, rows, path, schema, partition="order_month", ts_column="order_datetime")
-        tables.replace_range(spark, path, schema, incoming, "order_datetime", *REPLACED)
+        for _ in range(2):  # a second run changes nothing
+            tables.replace_range(spark, path, schema, incoming, "order_datetime", *REPLACED)
         table = schemas.read_table(spark, path, schema, "order_month")
         shown.append(table.select(F.lit(name).alias("table_name"), "order_number", F.col(amount).alias("amount"), "order_month"))
     return shown[0].unionByName(shown[1])
@@ -288,6 +302,86 @@ def upsert_by_keys(spark, sf):
     return merges.upsert_by_keys(target, cancelled.unionByName(new).unionByName(unnumbered), ["order_number"])
 
 
+@query
+def upsert_table(spark, sf):
+    path = f"{scratch_path(spark, 'house')}/orders"
+    orders = given.shop_orders(spark, sf)
+    tables.load(spark, orders, path, ORDER_FACTS, partition="order_month", ts_column="order_datetime")
+    moved = orders.where("order_status = '900'").withColumn("order_status", F.lit("950"))
+    urgent = given.given(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").cast("string").alias("order_number"))
+    new = orders.join(urgent, "order_number", "left_semi").withColumn("order_number", F.concat(F.lit("new-"), "order_number"))
+    new = new.withColumn("order_status", F.lit("100"))
+    columns = ["order_number", "order_datetime", "order_status"]
+    source = moved.select(*columns).unionByName(new.select(*columns))
+    for _ in range(2):  # the second time, the new rows are known
+        tables.upsert(spark, path, ORDER_FACTS, source, ["order_number"], "order_month", "order_datetime")
+    return schemas.read_table(spark, path, ORDER_FACTS, "order_month").drop("order_datetime")
+
+
+@query
+def latest_documents(spark, sf):
+    path = scratch_path(spark, "raw")
+    headers = given.header_documents(spark, sf)
+    documents.write_order_documents(headers.withColumn("orderProgress", F.lit("100")), path, INGESTED_AT)
+    documents.write_order_documents(headers.where("orderProgress <> '300'"), path, datetime(2024, 3, 1))
+    kept = documents.first_documents(documents.read_order_documents(spark, path))
+    return kept.select(F.col("orderNumber").alias("order_number"), F.col("orderProgress").alias("order_progress"))
+
+
+# --- jobs on written tables, read back -----------------------------------------------------------
+@query
+def job_load_span(spark, sf):
+    """Documents landed twice, loaded twice: orders and items of every month, one document per order line."""
+    raw, house = scratch_path(spark, "raw"), jobs.Warehouse(scratch_path(spark, "house"))
+    house.create(spark)
+    lines = given.line_documents(spark, sf)
+    for day in (INGESTED_AT, datetime(2024, 3, 1)):
+        documents.write_order_documents(lines, raw, day)
+    for _ in range(2):
+        jobs.load_span(spark, house, documents.read_order_documents(spark, raw), *ALL_TIME, run_at=INGESTED_AT)
+    orders = house.read(spark, "orders").select(F.lit("orders").alias("table_name"), "order_number", F.lit(None).cast("string").alias("item_id"), "order_month")
+    items = house.read(spark, "order_items").select(F.lit("order_items").alias("table_name"), "order_number", "item_id", "order_month")
+    return orders.unionByName(items)
+
+
+def _house(spark, sf) -> jobs.Warehouse:
+    """A warehouse with the shop's orders, items and master."""
+    house = jobs.Warehouse(scratch_path(spark, "house"))
+    house.create(spark)
+    stamp = F.lit(str(INGESTED_AT)).cast("timestamp")
+    orders = given.shop_orders(spark, sf).withColumn("inserted_at", stamp)
+    items = flatten.attach_order_datetime(given.shop_items(spark, sf), orders)
+    items = items.withColumn("item_id", F.col("variant_id")).withColumn("inserted_at", stamp)
+    for name, rows in (("orders", orders), ("order_items", items)):
+        tables.load(spark, rows, house.path(name), house.SCHEMAS[name], partition="order_month", ts_column="order_datetime")
+    return house
+
+
+def _cohorts(spark, house):
+    return house.read(spark, "entry_product_ltv_by_month_offset").drop("updated_at")
+
+
+@query
+def job_initial_load(spark, sf):
+    """Master sync, then first purchases and cohorts over all history, written and read back."""
+    house = _house(spark, sf)
+    jobs.sync_master(spark, house, given.shop_master(spark, sf), required=True)
+    for _ in range(2):
+        jobs.initial_load(spark, house, INGESTED_AT)
+    return _cohorts(spark, house)
+
+
+@query
+def job_refresh_names(spark, sf):
+    """Cohorts named by an older master, and then by the newer one."""
+    house = _house(spark, sf)
+    master = given.shop_master(spark, sf)
+    jobs.sync_master(spark, house, master.where("cast(brand_name as int) <= 25"), required=True)
+    jobs.initial_load(spark, house, INGESTED_AT)
+    jobs.sync_master_and_names(spark, house, master)
+    return _cohorts(spark, house).select("entry_manage_number", "entry_item_name", "first_order_month", "month_offset", "cohort_users", "category_name", "brand_name")
+
+
 # --- calendar, ranges and reports ----------------------------------------------------------------
 @query
 def business_calendar(spark, sf):

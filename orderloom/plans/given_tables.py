@@ -144,7 +144,8 @@ def header_documents(spark: SparkSession, sf_dir: str, broken: bool = False) ->
 
 
 def line_documents(spark: SparkSession, sf_dir: str, broken: bool = False) -> DataFrame:
-    """One document per order line: a package with the item and two SKUs, and one without an item list."""
+    """One document per order line, with a number of its own: a package without an item list, one with the item and two
+    SKUs, and one with that item and another that has next to nothing."""
     item_id = F.col("l_partkey").cast("string")
     returned = F.col("l_returnflag") == "R"
     if broken:
@@ -172,12 +173,17 @@ def line_documents(spark: SparkSession, sf_dir: str, broken: bool = False) -> Da
             ItemModelList=items,
         )
 
+    nothing = F.lit(None).cast("string")
+    bare = _struct(
+        itemId=F.concat(F.lit("x"), "l_partkey"), itemName=F.lit("bare"), manageNumber=nothing, price=nothing, priceTaxIncl=nothing,
+        units=nothing, subtotal=nothing, taxRate=nothing, SkuModelList=F.when(F.lit(False), skus),
+    )
     one_item = F.array(item)
     no_list = F.when(F.lit(False), one_item)
     columns = {
-        "orderNumber": F.col("l_orderkey").cast("string"),
+        "orderNumber": F.concat_ws("-", "l_orderkey", "l_linenumber"),
         "orderDatetime": iso_local(utc("l_shipdate")),
-        "PackageModelList": F.array(package(no_list), package(one_item)),
+        "PackageModelList": F.array(package(no_list), package(one_item), package(F.array(item, bare))),
     }
     return _as_documents(_lines(spark, sf_dir), columns)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 
 from orderloom import schemas
 from orderloom.functions.calendar import (
-    BUSINESS_TZ, iso_instant, iso_local, month_start, months_touched, resolve_span, shift_month,
+    BUSINESS_TZ, business_month, iso_instant, iso_local, month_start, months_touched, resolve_span, shift_month,
 )
 from orderloom.operators import cohort_ltv, first_purchase, flatten, product_master, quality, ranges, tables
-from orderloom.session import pin_utc, stage
+from orderloom.session import cleared, pin_utc, stage
 from orderloom.sources.documents import first_documents
 
 log = logging.getLogger(__name__)
@@ -70,6 +71,7 @@ def _names(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
 
 
 # --- orders and items ----------------------------------------------------------------------------
+@cleared
 def load_span(
     spark: SparkSession,
     warehouse: Warehouse,
@@ -77,11 +79,15 @@ def load_span(
     start: datetime,
     end: datetime,
     run_at: datetime | None = None,
+    searched: DataFrame | None = None,
+    quarantine: str | None = None,
 ) -> dict:
     """Replace the orders and items placed in ``[start, end)`` (business time) by those of ``documents``.
 
-    The documents are staged once. Nothing is written when they are empty, and nothing when one of them
-    fails the checks.
+    The documents are staged once, and both tables switch to the new rows at once. Nothing changes when the documents
+    are empty, when one of them fails the checks, or when an order number of ``searched`` was not fetched. With
+    ``quarantine``, documents that fail the checks are appended to that folder as JSON and the others are loaded.
+    ``months`` has one row per business month of the range.
     """
     pin_utc(spark)
     run_at = _now(run_at)
@@ -89,10 +95,20 @@ def load_span(
     summary: dict = {"range": [start_iso, end_iso], "orders_rows": 0, "order_items_rows": 0}
 
     staged = stage(spark, first_documents(documents), "documents")
+    if searched is not None:
+        fetched = staged.select(F.col("orderNumber").alias("order_number"))
+        lost = quality.missing_orders(searched, fetched).count()
+        if lost:
+            raise ValueError(f"{lost} order numbers were found but not fetched")
     report = {row["rule"]: row for row in quality.reject_report(staged).collect()}  # one row per rule
     broken = {rule: row["rejected"] for rule, row in report.items() if row["rejected"]}
-    if broken:
+    if broken and quarantine is None:
         raise ValueError(f"documents rejected: {broken}")
+    if broken:
+        staged, bad = quality.split_documents(staged)
+        bad.write.mode("append").json(quarantine)
+        report = {row["rule"]: row for row in quality.reject_report(staged).collect()}
+        summary["rejected"] = broken
     summary["orders_rows"] = report["order_number_missing"]["checked"]
     summary["order_items_rows"] = report["item_id_missing"]["checked"]
     if summary["orders_rows"] == 0:
@@ -100,14 +116,31 @@ def load_span(
 
     orders = flatten.normalize_orders(staged, run_at)
     items = flatten.normalize_order_items(staged, run_at, with_order_datetime=True)
-    for table, rows in (("orders", orders), ("order_items", items)):
-        tables.replace_range(
-            spark, warehouse.path(table), Warehouse.SCHEMAS[table], rows, "order_datetime", start_iso, end_iso
-        )
+    summary["months"] = _month_rows(orders, items)
+    tables.replace_ranges(
+        spark,
+        {
+            warehouse.path("orders"): (schemas.ORDERS, orders),
+            warehouse.path("order_items"): (schemas.ORDER_ITEMS, items),
+        },
+        "order_datetime", start_iso, end_iso,
+    )
     return summary
 
 
+def _month_rows(orders: DataFrame, items: DataFrame) -> list[dict]:
+    """Order and item rows of each business month."""
+    counts = None
+    for name, rows in (("orders_rows", orders), ("order_items_rows", items)):
+        month = business_month(F.col("order_datetime")).alias("month")
+        part = rows.groupBy(month).agg(F.count(F.lit(1)).alias(name))
+        counts = part if counts is None else counts.join(part, "month", "left")
+    shown = counts.select(F.col("month").cast("string"), "orders_rows", F.coalesce("order_items_rows", F.lit(0)).alias("order_items_rows"))
+    return [row.asDict() for row in shown.orderBy("month").collect()]
+
+
 # --- derived tables ------------------------------------------------------------------------------
+@cleared
 def merge_first_purchases(
     spark: SparkSession,
     warehouse: Warehouse,
@@ -141,18 +174,21 @@ def merge_first_purchases(
     return {"inserted_users": inserted, "month": start_day}
 
 
-def rebuild_first_purchases(spark: SparkSession, warehouse: Warehouse, run_at: datetime | None = None) -> int:
+@cleared
+def rebuild_first_purchases(
+    spark: SparkSession, warehouse: Warehouse, run_at: datetime | None = None, cancelled: Sequence[str] = first_purchase.CANCELLED
+) -> int:
     """All users from the full history, in place of what the table held; returns their number."""
     pin_utc(spark)
     rows = first_purchase.first_purchases(
-        warehouse.read(spark, "orders"), warehouse.read(spark, "order_items"), _names(spark, warehouse)
+        warehouse.read(spark, "orders"), warehouse.read(spark, "order_items"), _names(spark, warehouse), cancelled
     )
-    path = warehouse.path("user_first_purchase_info")
     content = schemas.conform(_stamped(rows, _now(run_at)), schemas.FIRST_PURCHASE)
-    content.write.mode("overwrite").parquet(path)
+    tables.replace_table(spark, content, warehouse.path("user_first_purchase_info"), schemas.FIRST_PURCHASE)
     return warehouse.read(spark, "user_first_purchase_info").count()
 
 
+@cleared
 def rebuild_ltv(spark: SparkSession, warehouse: Warehouse, run_at: datetime | None = None) -> None:
     """The cohort table over all history, one folder per first month, sorted by product and offset."""
     pin_utc(spark)
@@ -161,9 +197,10 @@ def rebuild_ltv(spark: SparkSession, warehouse: Warehouse, run_at: datetime | No
     )
     content = schemas.conform(_stamped(rows, _now(run_at)), schemas.COHORT_LTV)
     path = warehouse.path("entry_product_ltv_by_month_offset")
-    tables.write(content, path, "overwrite", "first_order_month", LTV_ORDER)
+    tables.replace_table(spark, content, path, schemas.COHORT_LTV, "first_order_month", LTV_ORDER)
 
 
+@cleared
 def refresh_ltv_names(spark: SparkSession, warehouse: Warehouse, run_at: datetime | None = None) -> dict:
     """Bring the cohort table's names up to the master's; returns the number of rows changed."""
     pin_utc(spark)
@@ -179,6 +216,30 @@ def refresh_ltv_names(spark: SparkSession, warehouse: Warehouse, run_at: datetim
 
 
 # --- product master ------------------------------------------------------------------------------
+# The status words of a master sync
+SKIPPED, TRIED, DONE, FAILED = "skipped", "dry_run", "success", "error"
+
+
+class NothingToSync(ValueError):
+    """There is no master to load; ``str`` of it is the reason."""
+
+
+@cleared
+def replace_master(spark: SparkSession, warehouse: Warehouse, raw: DataFrame | None, write: bool = True) -> int:
+    """Replace the product master by ``raw`` after cleaning; returns its number of rows. An empty master, or none,
+    raises and never touches the table."""
+    pin_utc(spark)
+    if raw is None:
+        raise NothingToSync("no_source")
+    rows = stage(spark, product_master.clean_master(raw), "master")
+    count = rows.count()
+    if not count:
+        raise NothingToSync("empty_master")
+    if write:
+        tables.replace_table(spark, schemas.conform(rows, schemas.PRODUCT_MASTER), warehouse.path("product_master_raw"), schemas.PRODUCT_MASTER)
+    return count
+
+
 def sync_master(
     spark: SparkSession,
     warehouse: Warehouse,
@@ -187,31 +248,19 @@ def sync_master(
     required: bool = False,
     dry_run: bool = False,
 ) -> dict:
-    """Replace the product master by ``raw`` after cleaning. An empty master never overwrites the table.
-
-    Problems are returned as a status unless ``required``, which raises them.
-    """
-    pin_utc(spark)
-    if raw is None:
-        if required:
-            raise ValueError("a product master is required but no source is given")
-        return {"status": "skipped", "reason": "no_source"}
+    """``replace_master`` for a run that goes on without it: what went wrong is told as a status, unless ``required``."""
+    told = {"source": source} if raw is not None else {}
     try:
-        rows = stage(spark, product_master.clean_master(raw), "master")
-        count = rows.count()
-        if count == 0:
-            if required:
-                raise ValueError("the product master is empty")
-            return {"status": "skipped", "reason": "empty_master", "source": source}
-        path = warehouse.path("product_master_raw")
-        if not dry_run:
-            tables.load(spark, rows, path, schemas.PRODUCT_MASTER, "WRITE_TRUNCATE")
-        return {"status": "dry_run" if dry_run else "success", "rows": count, "table": path, "source": source}
+        count = replace_master(spark, warehouse, raw, not dry_run)
+    except NothingToSync as reason:
+        if required:
+            raise
+        return {"status": SKIPPED, "reason": str(reason), **told}
     except Exception as problem:
-        log.exception("product master sync failed")
         if required:
             raise
-        return {"status": "error", "error": str(problem)}
+        return _failure("product master sync", problem)
+    return {"status": TRIED if dry_run else DONE, "rows": count, "table": warehouse.path("product_master_raw"), **told}
 
 
 def sync_master_and_names(spark: SparkSession, warehouse: Warehouse, raw: DataFrame | None, source: str = "") -> dict:
@@ -228,8 +277,12 @@ def _apart(result: dict, key: str, job) -> None:
     try:
         result[key] = job()
     except Exception as problem:
-        log.exception("%s failed, the order load stands", key)
-        result[key] = {"status": "error", "error": str(problem)}
+        result[key] = _failure(key, problem)
+
+
+def _failure(what: str, problem: Exception) -> dict:
+    log.exception("%s failed, the rest of the run goes on", what)
+    return {"status": FAILED, "error": str(problem)}
 
 
 def process_span(
@@ -240,9 +293,11 @@ def process_span(
     end: datetime,
     run_at: datetime | None = None,
     skip_ltv: bool = False,
+    searched: DataFrame | None = None,
+    quarantine: str | None = None,
 ) -> dict:
     """One month or several: orders and items, then first purchases, then the cohort table."""
-    result = load_span(spark, warehouse, documents, start, end, run_at)
+    result = load_span(spark, warehouse, documents, start, end, run_at, searched, quarantine)
     if "note" in result:
         return result
     until = month_start(end) if end == month_start(end) else shift_month(end, 1)

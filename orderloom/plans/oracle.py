@@ -229,7 +229,8 @@ ORACLE: dict[str, str] = {
                '2024-02-01 00:00:00' AS inserted_at
         FROM orders""",
     "normalize_order_items": """
-        SELECT CAST(l_orderkey AS VARCHAR) AS order_number, CAST(l_suppkey AS VARCHAR) AS basket_id,
+        WITH copies AS (SELECT unnest([1, 2]) AS copy)
+        SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_number, CAST(l_suppkey AS VARCHAR) AS basket_id,
                CAST(l_partkey AS VARCHAR) AS item_id, p_name AS item_name, p_brand AS manage_number,
                CASE WHEN l_linestatus = 'F' THEN CAST(l_partkey AS VARCHAR) END AS variant_id,
                CASE WHEN l_linestatus = 'F' THEN l_linestatus END AS sku_info, p_retailprice AS price,
@@ -240,6 +241,11 @@ ORACLE: dict[str, str] = {
                END AS subtotal,
                CASE WHEN l_returnflag <> 'R' THEN l_tax END AS tax_rate, l_linestatus AS delivery_company,
                '2024-02-01 00:00:00' AS inserted_at, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS order_datetime
+        FROM lineitem JOIN part ON l_partkey = p_partkey, copies
+        UNION ALL
+        SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), CAST(l_suppkey AS VARCHAR),
+               'x' || CAST(l_partkey AS VARCHAR), 'bare', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, l_linestatus,
+               '2024-02-01 00:00:00', strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "items_with_order_datetime": _with("""
         SELECT i.*, strftime(o.order_datetime, '%Y-%m-%d %H:%M:%S') AS order_datetime
@@ -254,7 +260,7 @@ ORACLE: dict[str, str] = {
         SELECT 'order_datetime_unreadable', (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem),
                (SELECT count(*) FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED')
         UNION ALL
-        SELECT 'item_id_missing', (SELECT count(*) FROM lineitem), (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R')""",
+        SELECT 'item_id_missing', 3 * (SELECT count(*) FROM lineitem), 2 * (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R')""",
     "missing_orders": """
         SELECT CAST(o_orderkey AS VARCHAR) AS order_number FROM orders
         WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
@@ -264,7 +270,7 @@ ORACLE: dict[str, str] = {
                CAST(o_custkey AS VARCHAR) AS user_email, 0 AS packages, CAST(NULL AS VARCHAR) AS item_name
         FROM orders
         UNION ALL
-        SELECT CAST(l_orderkey AS VARCHAR), NULL, NULL, 2, p_name FROM lineitem JOIN part ON l_partkey = p_partkey""",
+        SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), NULL, NULL, 3, p_name FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "order_numbers_dedup": """
         SELECT CAST(l_orderkey AS VARCHAR) AS order_number, CAST(min(l_linenumber) AS BIGINT) AS first_page
         FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_orderkey""",
@@ -277,8 +283,35 @@ ORACLE: dict[str, str] = {
                CASE WHEN p_size >= 20 THEN p_type END AS category_name, CAST(p_size AS VARCHAR) AS brand_name
         FROM part""",
     "load_files": """
-        SELECT event_id, user_id, event_type, value, 'NDJSON' AS source_format FROM events
-        UNION ALL SELECT event_id, user_id, event_type, value, 'CSV' FROM events""",
+        SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
+               unnest(['NDJSON', 'CSV', 'CSV with notes']) AS source_format
+        FROM events""",
+    "upsert_table": _with("""
+        SELECT order_number, CASE WHEN order_status = '900' THEN '950' ELSE order_status END AS order_status, total_price,
+               CAST(CAST(date_trunc('month', placed) AS DATE) AS VARCHAR) AS order_month
+        FROM shop_orders
+        UNION ALL
+        SELECT 'new-' || order_number, '100', NULL, CAST(CAST(date_trunc('month', placed) AS DATE) AS VARCHAR)
+        FROM shop_orders
+        WHERE order_number IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderpriority = '1-URGENT')""", "shop_orders"),
+    "latest_documents": _with("""
+        SELECT order_number, CASE WHEN order_status = '300' THEN '100' ELSE order_status END AS order_progress
+        FROM shop_orders""", "shop_orders"),
+    "job_load_span": """
+        WITH lines AS (
+            SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_number, CAST(l_partkey AS VARCHAR) AS part,
+                   CAST(CAST(date_trunc('month', l_shipdate + INTERVAL 9 HOUR) AS DATE) AS VARCHAR) AS order_month
+            FROM lineitem JOIN part ON l_partkey = p_partkey)
+        SELECT 'orders' AS table_name, order_number, CAST(NULL AS VARCHAR) AS item_id, order_month FROM lines
+        UNION ALL
+        SELECT 'order_items', order_number, unnest([part, part, 'x' || part]), order_month FROM lines""",
+    "job_initial_load": _with(_LTV_SHOWN + "ltv", "ltv"),
+    "job_refresh_names": _with("""
+        SELECT l.entry_manage_number, CAST(first_order_month AS VARCHAR) AS first_order_month, month_offset, cohort_users,
+               coalesce(n.product_name, entry_item_name) AS entry_item_name,
+               CASE WHEN n.manage_number IS NULL THEN l.category_name ELSE n.category_name END AS category_name,
+               CASE WHEN n.manage_number IS NULL THEN l.brand_name ELSE n.brand_name END AS brand_name
+        FROM ltv_older l LEFT JOIN names n ON n.manage_number = l.entry_manage_number""", "ltv_older", "names"),
     "append_batch": _with("""
         SELECT order_number, strftime(order_datetime, '%Y-%m-%d %H:%M:%S') AS order_datetime, order_status, total_price,
                CAST(CAST(date_trunc('month', placed) AS DATE) AS VARCHAR) AS order_month FROM shop_orders""",
@@ -292,6 +325,7 @@ ORACLE: dict[str, str] = {
             SELECT i.*, o.placed FROM shop_items i JOIN shop_orders o ON o.order_number = i.order_number)
         SELECT 'orders' AS table_name, order_number,
                CASE WHEN placed >= TIMESTAMP '1997-03-01' AND placed < TIMESTAMP '1997-04-11'
+                      OR placed >= TIMESTAMP '1997-05-01' AND placed < TIMESTAMP '1997-05-03'
                     THEN total_price + 1 ELSE total_price END AS amount,
                CAST(CAST(date_trunc('month', placed) AS DATE) AS VARCHAR) AS order_month
         FROM shop_orders

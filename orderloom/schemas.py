@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+
+from orderloom import versions
 
 
 TEXT, NUMBER, WHOLE, FLAG = T.StringType(), T.DoubleType(), T.LongType(), T.BooleanType()
@@ -155,30 +156,19 @@ def with_partition(schema: T.StructType, partition: str | None) -> T.StructType:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None) -> DataFrame:
-    return spark.read.schema(with_partition(schema, partition)).parquet(path)
+    return versions.read(spark, path, with_partition(schema, partition), partition)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None) -> bool:
     """Create an empty table unless one is there; True when it was created."""
-    try:
-        read_table(spark, path, schema, partition)
+    if versions.parts(spark, path) is not None:
         return False
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-    empty = spark.createDataFrame([], with_partition(schema, partition))
-    writer = empty.write.partitionBy(partition) if partition else empty.write
-    writer.parquet(path)
+    versions.commit(spark, {path: {versions.NO_MONTH if partition else "": []}})
     return True
 
 
 def declare_table(
     spark: SparkSession, name: str, path: str, schema: T.StructType, partition: str | None = None
 ) -> None:
-    """Name a table in the session catalogue: CREATE TABLE IF NOT EXISTS over its folder."""
-    full = with_partition(schema, partition)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)
-    layout = f"PARTITIONED BY ({partition})" if partition else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {layout} LOCATION '{path}'")
-    if partition:
-        spark.catalog.recoverPartitions(name)
+    """Name a table's newest version in the session, for SQL."""
+    read_table(spark, path, schema, partition).createOrReplaceTempView(name)

@@ -5,10 +5,16 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderloom.versions import remove
+
 _LOCAL_ROOTS: list[tempfile.TemporaryDirectory] = []
+_JOBS: list[list[str]] = []  # the scratch folders of the jobs that are running, innermost last
 
 
 def local_session(app: str = "orderloom", cpus: str = "8", memory: str = "8g") -> SparkSession:
@@ -51,7 +57,32 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             _LOCAL_ROOTS.append(tempfile.TemporaryDirectory(prefix="orderloom-"))
             atexit.register(_LOCAL_ROOTS[0].cleanup)
         root = _LOCAL_ROOTS[0].name
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    if _JOBS:
+        _JOBS[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders made inside when it ends, also after a failure."""
+    _JOBS.append([])
+    try:
+        yield
+    finally:
+        for path in _JOBS.pop():
+            remove(spark, path)
+
+
+def cleared(job):
+    """Let a job (spark, ...) delete its scratch folders. Its result must not read them."""
+
+    @wraps(job)
+    def run(spark: SparkSession, *args, **options):
+        with scratch(spark):
+            return job(spark, *args, **options)
+
+    return run
 
 
 def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:

@@ -18,43 +18,53 @@ def _json(spark: SparkSession, schema, paths: str | list[str], multi_line: bool)
     return reader.json(paths)
 
 
+def _sources() -> list:
+    """Where a row came from: when its file landed, the file, the block and the line."""
+    path = F.col("_metadata.file_path")
+    folder = F.concat_ws("-", F.regexp_extract(path, r"year=(\d+)", 1), F.regexp_extract(path, r"month=(\d+)", 1))
+    return [
+        F.struct(folder.alias("folder"), F.col("_metadata.file_modification_time").alias("at")).alias("source_landed"),
+        path.alias("source_file"),
+        F.col("_metadata.file_block_start").alias("source_block"),
+        F.monotonically_increasing_id().alias("source_line"),
+    ]
+
+
+SOURCE = ["source_landed", "source_file", "source_block", "source_line", "source_position"]
+
+
 def read_order_documents(
     spark: SparkSession, paths: str | list[str], multi_line: bool = False
 ) -> DataFrame:
     """One row per order from response objects ``{"OrderModelList": [...], "version": n}``.
 
     ``multi_line`` reads one pretty-printed object per file; without it there is one object per line
-    and a large file is split over many tasks. ``source_file`` and ``source_position`` say where an
-    order came from.
+    and a large file is split over many tasks. The ``source_`` columns say where an order came from.
     """
-    responses = _json(spark, ORDER_RESPONSE, paths, multi_line)
-    orders = responses.select(
-        F.col("_metadata.file_path").alias("source_file"),
-        F.posexplode("OrderModelList").alias("source_position", "doc"),
-    )
-    return orders.select("doc.*", "source_file", "source_position")
+    responses = _json(spark, ORDER_RESPONSE, paths, multi_line).select("OrderModelList", *_sources())
+    orders = responses.select(*SOURCE[:-1], F.posexplode("OrderModelList").alias("source_position", "doc"))
+    return orders.select("doc.*", *SOURCE)
 
 
 def read_order_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """One row per order from newline-delimited JSON that holds one bare order on each line."""
-    return _json(spark, ORDER_DOCUMENT, paths, False).select(
-        "*", F.col("_metadata.file_path").alias("source_file"), F.lit(0).alias("source_position")
-    )
+    rows = _json(spark, ORDER_DOCUMENT, paths, False)
+    return rows.select(*ORDER_DOCUMENT.names, *_sources(), F.lit(0).alias("source_position"))
 
 
 def first_documents(documents: DataFrame) -> DataFrame:
-    """One document per order number, the first by file and position.
+    """One document per order number: of the newest landing, and in it the first by file, line and position.
 
-    Rows that tie are ordered by their content, so every run keeps the same one. Documents without an
-    order number are all kept for the quality checks to find: each gets a key of its own, which also
-    keeps them from meeting in one task. Spark drops later copies before the shuffle.
+    A landing is as new as its folder of year and month, and then as its file. Documents without an order number are all
+    kept for the quality checks to find. Only the places of numbers that come up again are ranked; the documents
+    themselves just lose the copies, and are not sorted.
     """
-    content = F.xxhash64(*[F.col(name) for name in ORDER_DOCUMENT.names])
-    own = F.concat(F.lit("\0"), F.monotonically_increasing_id())
-    keyed = documents.withColumn("document_key", F.coalesce("orderNumber", own)).withColumn("content_hash", content)
-    order = Window.partitionBy("document_key").orderBy("source_file", "source_position", "content_hash")
-    first = keyed.withColumn("place", F.row_number().over(order)).where("place = 1")
-    return first.drop("document_key", "content_hash", "place")
+    places = documents.where("orderNumber IS NOT NULL").select("orderNumber", *SOURCE)
+    again = places.groupBy("orderNumber").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("orderNumber")
+    order = Window.partitionBy("orderNumber").orderBy(F.col("source_landed").desc(), *SOURCE[1:])
+    ranked = places.join(again, "orderNumber").withColumn("place", F.row_number().over(order))
+    copies = ranked.where("place > 1").select("orderNumber", *SOURCE[1:])
+    return documents.join(copies, ["orderNumber", *SOURCE[1:]], "left_anti").select(*documents.columns)
 
 
 def write_order_documents(documents: DataFrame, path: str, ingested_at: datetime) -> None:

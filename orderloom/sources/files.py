@@ -42,11 +42,10 @@ def load_files(
 def _csv_after_rows(
     spark: SparkSession, paths: str | list[str], schema: T.StructType, delimiter: str, skip: int
 ) -> DataFrame:
-    """CSV with more than one row to leave out: only the first block of a file is numbered.
+    """CSV with more than one row to leave out at the top of each file, however the files are cut into blocks.
 
-    Line ids rise in file order within a block, and a block is at most spark.sql.files.maxPartitionBytes
-    long, so the numbering sorts a bounded set of lines per file; all other blocks pass straight through.
-    The rows to skip must therefore end within the first block.
+    Line ids rise by one within a block. A line's number in its file is its place in the block and the lines of
+    the file's earlier blocks, of which there is one row each.
     """
     lines = spark.read.text(paths).select(
         "value",
@@ -54,15 +53,14 @@ def _csv_after_rows(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_id"),
     )
-    numbered = lines.where("block = 0").withColumn(
-        "number", F.row_number().over(Window.partitionBy("file").orderBy("line_id"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        lines.groupBy("file", "block")
+        .agg(F.min("line_id").alias("first_id"), F.count(F.lit(1)).alias("lines"))
+        .withColumn("before", F.coalesce(F.sum("lines").over(earlier), F.lit(0)))
     )
-    body = (
-        numbered.where(F.col("number") > skip)
-        .select("value")
-        .unionByName(lines.where("block > 0").select("value"))
-        .where("value != ''")
-    )
-    options = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "FAILFAST"}
-    parsed = F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " "), options)
+    numbered = lines.join(blocks, ["file", "block"])
+    body = numbered.where(F.col("before") + F.col("line_id") - F.col("first_id") >= skip).where("value != ''")
+    columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = F.from_csv("value", columns, {"sep": delimiter, "quote": '"', "escape": '"', "mode": "FAILFAST"})
     return body.select(parsed.alias("row")).select("row.*")

@@ -1,0 +1,101 @@
+"""Which folders a table consists of.
+
+Tables below one root share a log, ``_commits``. A row of it names the folders of one part (a month, or the whole of a
+table without months) as of a version; the newest row of a part counts. Data is written to new folders first, and one
+appended log file then makes them visible, for one table or for several at once. A job that fails before that leaves every
+table as it was. One job writes below a root at a time.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+LOG = "version long, table_name string, part string, folders array<string>"
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder that Spark gives to rows without a partition value
+Parts = dict[str, list[str]]
+
+
+def split(path: str) -> tuple[str, str]:
+    """Root and name of a table."""
+    root, _, name = path.rstrip("/").rpartition("/")
+    return root, name
+
+
+def _log(spark: SparkSession, root: str) -> list:
+    # a row per part and commit: months times loads, whatever the size of the data
+    try:
+        return spark.read.schema(LOG).parquet(f"{root}/_commits").collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def parts(spark: SparkSession, path: str) -> Parts | None:
+    """The folders of each part of a table, or None if there is no such table."""
+    root, name = split(path)
+    rows = sorted((r for r in _log(spark, root) if r["table_name"] == name), key=lambda r: r["version"])
+    return {r["part"]: list(r["folders"]) for r in rows} if rows else None
+
+
+def commit(spark: SparkSession, changes: dict[str, Parts]) -> None:
+    """Make new folders the content of some parts, by the path of their table. All tables lie below one root."""
+    roots = {split(path)[0] for path in changes}
+    if len(roots) != 1:
+        raise ValueError("tables that change together lie below one root")
+    (root,) = roots
+    version = 1 + max((r["version"] for r in _log(spark, root)), default=0)
+    rows = [(version, split(path)[1], part, folders) for path, changed in changes.items() for part, folders in changed.items()]
+    if rows:
+        # one file: it appears as a whole when it is moved into place
+        spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(f"{root}/_commits")
+
+
+def read(spark: SparkSession, path: str, schema: T.StructType, partition: str | None) -> DataFrame:
+    """The rows of a table's newest version."""
+    known = parts(spark, path)
+    if known is None:
+        raise LookupError(f"there is no table at {path}")
+    folders = [f"{path}/load={folder}" + (f"/{partition}={part}" if partition else "") for part, own in known.items() for folder in own]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    full = T.StructType([*schema.fields, T.StructField("load", T.StringType())])
+    return spark.read.schema(full).option("basePath", path).parquet(*folders).select(*schema.names)
+
+
+def add_folder(spark: SparkSession, rows: DataFrame, path: str, partition: str | None, order: Sequence[str] = ()) -> tuple[str, list[str]]:
+    """Write rows to a folder that no version names yet; returns its name and the parts that got rows.
+
+    The rebalance hint lets Spark split a partition that is far larger than the others and merge small ones, so
+    a month with a third of all rows is not one task's work.
+    """
+    folder = uuid.uuid4().hex
+    target = f"{path}/load={folder}"
+    if not partition:
+        rows.write.parquet(target)
+        return folder, [] if spark.read.schema(rows.schema).parquet(target).isEmpty() else [""]
+    rows.hint("rebalance", partition).sortWithinPartitions(partition, *order).write.partitionBy(partition).parquet(target)
+    values = spark.read.schema(rows.schema).parquet(target).select(partition).distinct().collect()  # one per month
+    return folder, [NO_MONTH if value is None else str(value) for (value,) in values]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def purge(spark: SparkSession, path: str) -> int:
+    """Delete the folders of a table that its newest version does not name; returns their number."""
+    named = {folder for own in (parts(spark, path) or {}).values() for folder in own}
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [s.getPath() for s in files.listStatus(target) if s.getPath().getName().removeprefix("load=") not in named] if files.exists(target) else []
+    for folder in old:
+        files.delete(folder, True)
+    return len(old)

@@ -7,6 +7,7 @@ from orderloom.operators import flatten, quality
 from orderloom.schemas import ORDER_DOCUMENT, ORDER_ITEMS, ORDERS
 from orderloom.sources import documents
 
+# A response as the shop's interface documents it
 SAMPLE = {
     "version": 9,
     "MessageModelList": [{"messageType": "INFO", "messageCode": "X", "message": "ok"}],
@@ -213,3 +214,28 @@ def test_missing_orders(spark):
     searched = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "order_number string")
     fetched = spark.createDataFrame([("a",), ("a",)], "order_number string")
     assert sorted(r.order_number for r in quality.missing_orders(searched, fetched).collect()) == ["b", "c"]
+
+
+def test_the_newest_landing_counts_and_in_it_the_first_line(spark, tmp_path):
+    old = [{"orderNumber": str(n), "orderProgress": "300"} for n in range(20)]
+    documents.write_order_documents(spark.createDataFrame([(r["orderNumber"], r["orderProgress"]) for r in old], "orderNumber string, orderProgress string"), str(tmp_path / "raw"), datetime(2024, 7, 3))
+    folder = tmp_path / "raw" / "year=2024" / "month=08"
+    folder.mkdir(parents=True)
+    lines = [json.dumps({"OrderModelList": [{"orderNumber": str(n), "orderProgress": status}], "version": 9}) for n in range(15) for status in (100, 900)]
+    (folder / "x.json").write_text("\n".join(lines))
+    kept = documents.first_documents(documents.read_order_documents(spark, str(tmp_path / "raw"))).collect()
+    assert {r.orderNumber: r.orderProgress for r in kept} == {str(n): "100" if n < 15 else "300" for n in range(20)} and len(kept) == 20
+
+
+def test_ranking_copies_sorts_no_documents(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    documents.write_order_documents(spark.createDataFrame([("1",)], "orderNumber string"), path, datetime(2024, 7, 3))
+    plan = documents.first_documents(documents.read_order_documents(spark, path))._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window" in line or "row_number" in line]
+    assert windows and not any("PackageModelList" in line for line in windows)
+
+
+@pytest.mark.parametrize("value, flag", [(True, True), (False, False), (1, True), (0, False), ("2", True), ("", None), (None, None)])
+def test_member_flags(spark, tmp_path, value, flag):
+    docs = read(spark, tmp_path, {"orderNumber": "x", "orderDatetime": AT, "rakutenMemberFlag": value})
+    assert flatten.normalize_orders(docs).first().rakuten_member_flag is flag

@@ -2,9 +2,12 @@
 
 import json
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
+from orderloom import session
 from orderloom.functions.calendar import resolve_span
 from orderloom.plans import jobs
 from orderloom.sources.documents import read_order_documents
@@ -187,3 +190,46 @@ def test_run_by_mode(shop):
     monthly = jobs.run(shop.spark, shop.house, shop.docs(FEBRUARY), now=datetime(2024, 3, 15), run_at=RUN)
     assert (monthly["ranges_count"], monthly["first_purchase_update"]["inserted_users"]) == (1, 0)
     assert shop.ltv() == LTV
+
+
+def test_months_quarantine_and_lost_orders(shop, tmp_path):
+    span = (datetime(2024, 1, 1), datetime(2024, 3, 1))
+    bad = order("6", "dan", "soon", 1, ("m1", "cup", 1))
+    searched = shop.spark.createDataFrame([(n,) for n in "123456"] + [("7",)], "order_number string")
+    args = shop.spark, shop.house, shop.docs([*JANUARY, *FEBRUARY, bad]), *span, RUN
+    with pytest.raises(ValueError, match="1 order numbers were found but not fetched"):
+        jobs.load_span(*args, searched=searched)
+    assert shop.rows("orders", "order_number") == []
+    kept = str(tmp_path / "quarantine")
+    result = jobs.load_span(*args, searched=searched.where("order_number <> '7'"), quarantine=kept)
+    assert result["rejected"] == {"order_datetime_unreadable": 1} and result["orders_rows"] == 5
+    assert result["months"] == [
+        {"month": "2024-01-01", "orders_rows": 3, "order_items_rows": 4}, {"month": "2024-02-01", "orders_rows": 2, "order_items_rows": 2},
+    ]
+    assert [r.orderNumber for r in shop.spark.read.json(kept).collect()] == ["6"]
+
+
+def test_jobs_leave_no_scratch(shop, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_LOCAL_ROOTS", [SimpleNamespace(name=str(tmp_path / "scratch"))])
+    (tmp_path / "scratch").mkdir()
+    shop.month(JANUARY, 1)
+    with pytest.raises(ValueError):
+        shop.month([order("6", "dan", "soon", 1)], 1)
+    assert jobs.initial_load(shop.spark, shop.house, RUN) == {"users": 2}
+    assert list((tmp_path / "scratch").iterdir()) == []
+
+
+def test_cancelled_statuses_are_a_parameter(shop):
+    shop.month(JANUARY, 1)
+    assert jobs.rebuild_first_purchases(shop.spark, shop.house, RUN, cancelled=("300",)) == 1
+    assert shop.rows("user_first_purchase_info", "user_email", "first_order_number") == [("ann", "3")]
+
+
+def test_a_failed_rebuild_keeps_the_tables(shop, monkeypatch):
+    shop.month(JANUARY, 1)
+    before = shop.ltv(), shop.rows("user_first_purchase_info", "user_email")
+    monkeypatch.setattr(jobs, "_stamped", lambda rows, _: rows.withColumn("updated_at", F.raise_error(F.lit("gone")).cast("timestamp")))
+    for job in (jobs.rebuild_first_purchases, jobs.rebuild_ltv):
+        with pytest.raises(Exception, match="gone"):
+            job(shop.spark, shop.house, RUN)
+    assert (shop.ltv(), shop.rows("user_first_purchase_info", "user_email")) == before

@@ -74,6 +74,19 @@ def test_csv_skips_rows_in_each_file(spark, tmp_path, skip, top):
     assert rows_of(got) == sorted([(i, "x") for i in range(3)] + [(i + 10, "y|z") for i in range(3)], key=str)
 
 
+@pytest.mark.parametrize("block", ["64", "200", "1m"])
+def test_csv_skip_does_not_depend_on_blocks(spark, tmp_path, block):
+    for name in "ab":
+        (tmp_path / f"{name}.csv").write_text("".join(f"a long note on top, number {i}\n" for i in range(10)) + f"1,{name}\n2,{name}\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        got = files.load_files(spark, str(tmp_path), "CSV", schema=SCHEMA, skip_leading_rows=10)
+        assert rows_of(got) == [(1, "a"), (1, "b"), (2, "a"), (2, "b")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_csv_skip_over_many_blocks(spark, tmp_path):
     (tmp_path / "long.csv").write_text("t1\nt2\n" + "".join(f"{i},v{i}\n" for i in range(5000)))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")

@@ -1,9 +1,10 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom import schemas
+from orderloom import schemas, versions
 from orderloom.operators import merges, tables
 from orderloom.schemas import INSTANT, NUMBER, TEXT, table
 
@@ -115,7 +116,7 @@ def test_declared_table(spark, path):
     try:
         assert spark.table("facts_declared").where("order_month = date'2024-03-01'").count() == 2
     finally:
-        spark.sql("DROP TABLE facts_declared")
+        spark.catalog.dropTempView("facts_declared")
 
 
 TARGET = [("a", "x", 1), ("b", "y", 2), (None, "z", 3), ("d", "d", 4)]
@@ -166,3 +167,62 @@ def test_conform(spark):
 def test_months_of_written_rows(spark, path):
     months = {r.order_month for r in schemas.read_table(spark, path, FACTS, "order_month").collect()}
     assert months == {date(2024, 1, 1), date(2024, 2, 1), date(2024, 3, 1)}
+
+
+def files_of(path):
+    return {str(p) for p in Path(path).rglob("part-*.parquet")}
+
+
+def failing(spark, rows):
+    """The rows, and a job that fails on the last of them after the others are written."""
+    return facts(spark, rows).withColumn("total_price", F.expr("if(total_price < 0, raise_error('gone'), total_price)").cast("double"))
+
+
+def test_a_failed_write_changes_nothing(spark, path):
+    args = dict(partition="order_month", ts_column="order_datetime")
+    rows = [("x", "2024-02-10T00:00:00Z", 9.0), ("feb", "2024-02-11T00:00:00Z", -1.0)]
+    for attempt in (
+        lambda: tables.load(spark, failing(spark, rows), path, FACTS, "WRITE_TRUNCATE", **args),
+        lambda: tables.load(spark, failing(spark, rows), path, FACTS, **args),
+        lambda: tables.replace_range(spark, path, FACTS, failing(spark, rows), "order_datetime", *FEBRUARY),
+        lambda: tables.upsert(spark, path, FACTS, failing(spark, rows), ["order_number"], "order_month", "order_datetime"),
+        lambda: tables.replace_table(spark, tables.with_month(failing(spark, rows), "order_datetime", "order_month"), path, FACTS, "order_month"),
+    ):
+        with pytest.raises(Exception, match="gone"):
+            attempt()
+        assert content(spark, path) == START
+    tables.load(spark, facts(spark, rows[:1]), path, FACTS, "WRITE_TRUNCATE", **args)
+    assert versions.purge(spark, path) >= 1 and versions.purge(spark, path) == 0
+    assert content(spark, path) == [("x", 9.0, "2024-02-01")]
+
+
+def test_tables_switch_together(spark, path, tmp_path):
+    other = str(tmp_path / "other")
+    schemas.ensure_table(spark, other, FACTS, "order_month")
+    good, bad = facts(spark, [("new", "2024-02-10T00:00:00Z", 9.0)]), failing(spark, [("bad", "2024-02-10T00:00:00Z", -1.0)])
+    with pytest.raises(Exception, match="gone"):
+        tables.replace_ranges(spark, {path: (FACTS, good), other: (FACTS, bad)}, "order_datetime", *FEBRUARY)
+    assert content(spark, path) == START and content(spark, other) == []
+    tables.replace_ranges(spark, {path: (FACTS, good), other: (FACTS, good)}, "order_datetime", *FEBRUARY)
+    assert content(spark, other) == [("new", 9.0, "2024-02-01")] and ("new", 9.0, "2024-02-01") in content(spark, path)
+
+
+def test_a_rerun_with_rows_outside_the_range_changes_nothing(spark, path):
+    rows = [("in", "2024-02-10T00:00:00Z", 9.0), ("near", "2024-03-20T00:00:00Z", 7.0), ("far", "2024-05-10T00:00:00Z", 8.0), ("none", None, 6.0)]
+    span = ("2024-02-01T00:00:00+09:00", "2024-03-11T00:00:00+09:00")
+    replace(spark, path, rows, span)
+    once = content(spark, path)
+    assert {r[0] for r in once} == {"jan", "in", "near", "late", "far", "none"}
+    for _ in range(2):
+        replace(spark, path, rows, span)
+        assert content(spark, path) == once
+
+
+def test_an_upsert_leaves_other_months_files(spark, path):
+    before = files_of(path)
+    source = facts(spark, [("feb", "2024-02-05T00:00:00Z", 20.0), ("new", "2024-03-05T00:00:00Z", 1.0)])
+    tables.upsert(spark, path, FACTS, source, ["order_number"], "order_month", "order_datetime")
+    assert content(spark, path) == sorted([("feb", 20.0, "2024-02-01"), ("new", 1.0, "2024-03-01")] + [r for r in START if r[0] != "feb"])
+    assert before <= files_of(path)
+    held = versions.parts(spark, path)
+    assert len(held["2024-03-01"]) == 2 and held["2024-01-01"][0] in held["2024-03-01"]

@@ -4,7 +4,8 @@ A window is ``window`` consecutive units (bytes or words) of one document. Windo
 window has an anchor, the smallest hash among the grams inside it, and consecutive windows with the same anchor
 gram form a *run*. Equal windows have equal anchors, so that
 
-1. runs are dealt by anchor, and an anchor that occurs once settles its run: nothing in it repeats;
+1. runs are dealt by anchor, and an anchor that occurs once settles its run: nothing in it repeats. A run that comes
+   again right after itself, as in a line of one word, is one row;
 2. runs alike in all their units are one *segment* with its first place and its number of copies, however many
    documents hold it;
 3. the texts of the remaining segments are dealt by anchor, and a finder decides in each shard which windows occur
@@ -34,7 +35,9 @@ from orderloom.session import stage
 
 HOT_SEGMENTS = 20_000
 CHUNK_BYTES = 1 << 20
-PLACE = 1 << 12  # a run's start and number of windows in one number; the latter is at most ``window``
+# Where runs lie, in one number: start, how often the run comes again at once, and its number of windows
+START, TIMES = 1 << 32, 1 << 12
+MOST_TIMES = START // TIMES - 1
 NO_ID = -(1 << 63)
 
 # (segment texts as lists of units, first documents, first starts, copies) -> (segment, from, to, document, start)
@@ -82,13 +85,14 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(block: Block, units: Units) -> tuple[np.ndarray, ...]:
-    """(row, start in the row, number of windows, anchor, digest) of every run of a block."""
+    """(row, start in the row, number of windows, anchor, digest, times) of every run of a block; a run that repeats at
+    once is there once, with the times."""
     starts, ends, firsts = units.places(block)
     total, width = len(starts), units.window - units.gram + 1
     windows = np.maximum(np.diff(firsts) - units.window + 1, 0)
     at = ranges(firsts[:-1], windows)
     if not len(at):
-        return (np.zeros(0, np.int64),) * 5
+        return (np.zeros(0, np.int64),) * 6
     spans = Spans(units.codes(block, starts, ends))
     every = np.arange(total - units.gram + 1)
     grams = spans.hash(every, every + units.gram)
@@ -102,7 +106,14 @@ def runs_of(block: Block, units: Units) -> tuple[np.ndarray, ...]:
     number = np.diff(np.append(head, len(at)))
     begin = at[head]
     digest = spans.hash(begin, begin + number - 1 + units.window)
-    return row[head], begin - firsts[row[head]], number, grams[anchor_at[head]], digest
+    row, anchor = row[head], grams[anchor_at[head]]
+    new = np.ones(len(head), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1]) | (digest[1:] != digest[:-1]) | (number[1:] != number[:-1])
+    place = np.arange(len(head))
+    first = np.maximum.accumulate(np.where(new, place, 0))
+    head = np.flatnonzero((place - first) % MOST_TIMES == 0)
+    times = np.diff(np.append(head, len(place)))
+    return row[head], begin[head] - firsts[row[head]], number[head], anchor[head], digest[head], times
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -116,8 +127,9 @@ def _runs(texts: DataFrame, units: Units) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for block in blocks(batch.column(1)):
-                row, start, number, anchor, digest = runs_of(block, units)
-                columns = [anchor.view(np.int64), digest.view(np.int64), ids[row + block.first_row], start * PLACE + number]
+                row, start, number, anchor, digest, times = runs_of(block, units)
+                place = start * START + times * TIMES + number
+                columns = [anchor.view(np.int64), digest.view(np.int64), ids[row + block.first_row], place]
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=["anchor", "digest", "id", "place"])
 
     return texts.select("_id", "text").mapInArrow(find, "anchor long, digest long, id long, place long")
@@ -140,7 +152,7 @@ def _segment_texts(texts: DataFrame, places: DataFrame, units: Units, single: bo
                 starts, ends, firsts = units.places(block)
                 mine = np.arange(list_ends[block.first_row], list_ends[block.first_row + block.rows])
                 row = np.searchsorted(list_ends, mine, side="right") - 1 - block.first_row
-                start, number = flat["place"][mine] // PLACE, flat["place"][mine] % PLACE
+                start, number = flat["place"][mine] // START, flat["place"][mine] % TIMES
                 begin = firsts[row] + start
                 # rows that repeat an identifier may hold another text
                 fits = begin + number - 1 + units.window <= firsts[row + 1]
@@ -222,14 +234,15 @@ def repeated_ranges(docs_texts: DataFrame, units: Units, finder: Finder, within:
     """
     spark = docs_texts.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = _runs(docs_texts, units).repartition(parts, "anchor")
-    # both read the same shuffled runs: the plan has one exchange
-    count = F.count(F.lit(1)) > 1 if within else F.min("id") < F.max("id")
+    # an anchor with very many runs is counted inside tasks first, and Spark may split it in the join
+    runs = _runs(docs_texts, units)
+    times = F.shiftright(F.col("place").bitwiseAND(START - 1), TIMES.bit_length() - 1)
+    count = F.sum(times) > 1 if within else F.min("id") < F.max("id")
     recurring = runs.groupBy("anchor").agg(count.alias("_again")).where("_again").select("anchor")
     occurrences = stage(spark, runs.join(recurring, "anchor"), "recurring-runs")
     segments = stage(
         spark,
-        occurrences.groupBy("anchor", "digest").agg(F.min(F.struct("id", "place")).alias("_first"), F.count(F.lit(1)).alias("copies"))
+        occurrences.groupBy("anchor", "digest").agg(F.min(F.struct("id", "place")).alias("_first"), F.sum(times).alias("copies"))
         .select("anchor", "digest", "_first.*", "copies"),
         "segments",
     )
@@ -244,15 +257,20 @@ def repeated_ranges(docs_texts: DataFrame, units: Units, finder: Finder, within:
         "anchor", "digest", F.col("nth").alias("lo"), (F.col("nth") + 1).alias("hi"),
         F.col("_first.id").alias("first_id"), F.col("_first.start").alias("first_start"),
     )
-    start = F.floor(F.col("place") / PLACE)
-    earlier = F.col("first_id") < F.col("id")
-    if within:
-        earlier = earlier | ((F.col("first_id") == F.col("id")) & (F.col("first_start") < start + F.col("lo")))
+    start, number = F.shiftright("place", START.bit_length() - 1), F.col("place").bitwiseAND(TIMES - 1)
+    own = (F.col("first_id") == F.col("id")) & (F.col("first_start") == start + F.col("lo"))
+    if within:  # the first of all keeps itself, and loses what comes again after it
+        gone = F.when(own, 1).otherwise(0)
+    else:
+        gone = F.when(F.col("first_id") < F.col("id"), 0).otherwise(times)
+    # repeats of a run leave no gap: a run has fewer windows than a window has units
+    ends = start + (times - 1) * number + F.col("hi") + (units.window - 1)
     return (
         occurrences.join(found.unionByName(spread), ["anchor", "digest"])
-        .where(earlier)
+        .withColumn("_gone", gone)
+        .where(F.col("_gone") < times)
         .groupBy(F.col("id").alias("_id"))
-        .agg(F.collect_list(F.struct((start + F.col("lo")).alias("a"), (start + F.col("hi") + (units.window - 1)).alias("b"))).alias("ranges"))
+        .agg(F.collect_list(F.struct((start + F.col("_gone") * number + F.col("lo")).alias("a"), ends.alias("b"))).alias("ranges"))
     )
 
 

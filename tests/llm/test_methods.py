@@ -88,8 +88,8 @@ def test_runs_meet_wherever_a_window_repeats():
     rng = random.Random(1)
     shared = "".join(rng.choices("abcdef", k=100))
     texts = ["".join(rng.choices("abcdef", k=rng.randint(0, 90))) + shared + "".join(rng.choices("abcdef", k=50)) for _ in range(20)]
-    row, start, number, anchor, digest = repeats.runs_of(block_of(*texts), repeats.Units(False, 100, 32))
-    assert sum(number) == sum(len(t) - 99 for t in texts)
+    row, start, number, anchor, digest, times = repeats.runs_of(block_of(*texts), repeats.Units(False, 100, 32))
+    assert sum(number * times) == sum(len(t) - 99 for t in texts)
     holding = []
     for k, t in enumerate(texts):
         at = t.index(shared)
@@ -97,6 +97,14 @@ def test_runs_meet_wherever_a_window_repeats():
     assert all(len(h) == 1 for h in holding) and len({h[0] for h in holding}) == 1
 
 
+def test_periodic_text_is_one_run(monkeypatch):
+    block = block_of("word " * 500, "ab" * 300)
+    assert repeats.runs_of(block, repeats.Units(True, 13, 5))[5].tolist() == [488]
+    assert len(repeats.runs_of(block, repeats.Units(False, 100, 32))[0]) < 12
+    monkeypatch.setattr(repeats, "MOST_TIMES", 100)
+    assert repeats.runs_of(block, repeats.Units(True, 13, 5))[5].tolist() == [100, 100, 100, 100, 88]
+
+
 def test_chunks_never_part_an_anchor(monkeypatch):
     monkeypatch.setattr(repeats, "CHUNK_BYTES", 50)
     anchors = sorted(random.Random(2).choices(range(12), k=200))

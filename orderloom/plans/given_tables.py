@@ -181,7 +181,7 @@ def line_documents(spark: SparkSession, sf_dir: str, broken: bool = False) -> Da
     one_item = F.array(item)
     no_list = F.when(F.lit(False), one_item)
     columns = {
-        "orderNumber": F.concat_ws("-", "l_orderkey", "l_linenumber"),
+        "orderNumber": F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")),
         "orderDatetime": iso_local(utc("l_shipdate")),
         "PackageModelList": F.array(package(no_list), package(one_item), package(F.array(item, bare))),
     }

@@ -230,7 +230,7 @@ ORACLE: dict[str, str] = {
         FROM orders""",
     "normalize_order_items": """
         WITH copies AS (SELECT unnest([1, 2]) AS copy)
-        SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_number, CAST(l_suppkey AS VARCHAR) AS basket_id,
+        SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d')) AS order_number, CAST(l_suppkey AS VARCHAR) AS basket_id,
                CAST(l_partkey AS VARCHAR) AS item_id, p_name AS item_name, p_brand AS manage_number,
                CASE WHEN l_linestatus = 'F' THEN CAST(l_partkey AS VARCHAR) END AS variant_id,
                CASE WHEN l_linestatus = 'F' THEN l_linestatus END AS sku_info, p_retailprice AS price,
@@ -243,7 +243,7 @@ ORACLE: dict[str, str] = {
                '2024-02-01 00:00:00' AS inserted_at, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS order_datetime
         FROM lineitem JOIN part ON l_partkey = p_partkey, copies
         UNION ALL
-        SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), CAST(l_suppkey AS VARCHAR),
+        SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d')), CAST(l_suppkey AS VARCHAR),
                'x' || CAST(l_partkey AS VARCHAR), 'bare', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, l_linestatus,
                '2024-02-01 00:00:00', strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
@@ -270,7 +270,7 @@ ORACLE: dict[str, str] = {
                CAST(o_custkey AS VARCHAR) AS user_email, 0 AS packages, CAST(NULL AS VARCHAR) AS item_name
         FROM orders
         UNION ALL
-        SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), NULL, NULL, 3, p_name FROM lineitem JOIN part ON l_partkey = p_partkey""",
+        SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d')), NULL, NULL, 3, p_name FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "order_numbers_dedup": """
         SELECT CAST(l_orderkey AS VARCHAR) AS order_number, CAST(min(l_linenumber) AS BIGINT) AS first_page
         FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_orderkey""",
@@ -299,7 +299,7 @@ ORACLE: dict[str, str] = {
         FROM shop_orders""", "shop_orders"),
     "job_load_span": """
         WITH lines AS (
-            SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_number, CAST(l_partkey AS VARCHAR) AS part,
+            SELECT DISTINCT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d')) AS order_number, CAST(l_partkey AS VARCHAR) AS part,
                    CAST(CAST(date_trunc('month', l_shipdate + INTERVAL 9 HOUR) AS DATE) AS VARCHAR) AS order_month
             FROM lineitem JOIN part ON l_partkey = p_partkey)
         SELECT 'orders' AS table_name, order_number, CAST(NULL AS VARCHAR) AS item_id, order_month FROM lines

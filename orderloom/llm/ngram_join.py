@@ -185,15 +185,11 @@ def signatures(docs: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
 
 def shared_postings(signed: DataFrame) -> DataFrame:
     """(key, node, n, place, holders) of the prefix shingles that two nodes share; holders counts their nodes and copies."""
-    parts = int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    postings = (
-        signed.where("prefix IS NOT NULL")
-        .select("node", "n", F.posexplode("prefix").alias("place", "key"))
-        .repartition(parts, "key")
-    )
-    # both read the same shuffled postings: the plan has one exchange
+    # a shingle that very many nodes hold is counted inside tasks first, and Spark may split it in the join
+    postings = signed.where("prefix IS NOT NULL").select("node", "n", F.posexplode("prefix").alias("place", "key"))
     lists = postings.groupBy("key").agg(F.min("node").alias("_first"), F.max("node").alias("_last"), F.count(F.lit(1)).alias("holders"))
-    return postings.join(lists.where("_first < _last").select("key", "holders"), "key").distinct()
+    shared = postings.join(lists.where("_first < _last").select("key", "holders"), "key")
+    return stage(signed.sparkSession, shared, "postings-of-tasks").distinct()
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -226,7 +222,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int)
                 yield pa.record_batch([pa.array(digests), pa.array(rows, pa.binary())], names=["node", "hashes"])
 
     sets = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi").select("text")
-    sets = stage(spark, sets.mapInArrow(arrays, "node long, hashes binary"), "shingle-arrays").dropDuplicates(["node"])
+    # one row per node, staged: a leader with very many pairs then meets it in a join that Spark can split
+    sets = stage(spark, sets.mapInArrow(arrays, "node long, hashes binary").dropDuplicates(["node"]), "shingle-arrays")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

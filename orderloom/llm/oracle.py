@@ -1,6 +1,52 @@
 """DuckDB SQL for the corpus queries that SQL can express."""
 
 CORPUS_ORACLE = {
+    "op2_phrase_dedup": """
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+        ), windows AS (
+            SELECT doc_id, unnest(range(1, len(words) - 11)) AS start, words FROM split
+        ), phrases AS (
+            SELECT doc_id, start, array_to_string(words[start : start + 12], ' ') AS phrase FROM windows
+        ), repeated AS (
+            SELECT doc_id, start FROM phrases QUALIFY min(doc_id) OVER (PARTITION BY phrase) < doc_id
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(start, start + 13)) AS place FROM repeated
+        ), kept AS (
+            SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.place) AS body, count(*) AS n
+            FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split) w
+            ANTI JOIN gone g ON g.doc_id = w.doc_id AND g.place = w.place
+            GROUP BY w.doc_id
+        )
+        SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(k.body, '')) AS kept_sha256
+        FROM split s LEFT JOIN kept k ON k.doc_id = s.doc_id
+    """,
+    "op4_ngram_join": """
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(words[start : start + 4], ' ') AS shingle
+            FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS start FROM split WHERE len(words) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), links AS (
+            SELECT c.a, c.b
+            FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+                  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL) c
+            JOIN sizes p ON p.doc_id = c.a JOIN sizes q ON q.doc_id = c.b
+            WHERE 100 * common >= 80 * (p.n + q.n - common)
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+        )
+        SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id
+        FROM reached r LEFT JOIN sizes s ON s.doc_id = r.doc_id
+        GROUP BY r.doc_id
+    """,
     "op7_exact_dedup": """
         WITH hashed AS (
             SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesce(text, '') AS body FROM documents

@@ -163,7 +163,7 @@ def test_personal_data_in_long_runs(spark):
     assert found == {k: brute.base_spans(t)[0] for k, t in enumerate(texts) if k} | {0: brute.base_spans("")[0]}
 
 
-def test_exact_duplicates_equal_sql(spark):
+def test_results_equal_sql(spark):
     connection = duckdb.connect()
     for file in Path(SF_DIR).glob("*.parquet"):
         connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")

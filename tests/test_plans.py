@@ -15,7 +15,8 @@ TOTALS = {"month_ranges", "range_order_counts", "chunk_counts", "backfill_plan",
 RANKS_COPIES = {"latest_documents"}
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# a job's result is read back from its tables, so that its own plans are those of the other queries
+@pytest.mark.parametrize("name", sorted(name for name in QUERIES if not name.startswith("job_")))
 def test_plan(name, spark):
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if every table were large

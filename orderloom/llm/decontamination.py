@@ -6,7 +6,8 @@ items whose blocks can still reach the threshold. Most passages cannot reach it
 passages of a block of text says so first: an item's *essential* terms are all but its weakest ones, which
 together weigh less than half the threshold, so a passage must gather the other half from essential postings.
 
-A retrieved item is a leak if the passage holds most word triples of its question and of its answer.
+A retrieved item is a leak if the passage holds most word triples of its question and of its answer. Words are compared
+without the signs around them, in items and documents alike; a word that has only signs stays as it is.
 
 The index is broadcast in shards of at most ``SHARD_BYTES`` of item text; a larger benchmark takes more shards.
 """
@@ -16,7 +17,9 @@ from __future__ import annotations
 import heapq
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,26 +33,65 @@ SHARD_BYTES = 8 << 20
 THRESHOLD = 0.5
 OVERLAP = 0.5
 LEAST_PASSAGE = 32
+LEAST_PART = 8  # words of a question or an answer: one that differs leaves half of the triples
 K1, B = 1.2, 0.75  # the usual BM25 parameters
 BLOCK_ITEMS = 8
 
 MATCHES = "doc_id long, item_id long, start_word long, n_words long, bm25 double, question_overlap double, answer_overlap double"
 
 
+@cache
+def letter_points() -> np.ndarray:
+    """For every code point, whether it is a letter, a mark or a digit."""
+    return np.array([unicodedata.category(chr(c))[0] in "LMN" for c in range(0x110000)])
+
+
+def letter_bytes(data: np.ndarray) -> np.ndarray:
+    """For every byte of UTF-8, whether it belongs to a letter, a mark or a digit."""
+    known = letter_points()
+    out = known[data] & (data < 0x80)
+    heads = np.flatnonzero(data >= 0xC0)
+    head = data[heads].astype(np.int64)
+    size = 2 + (head >= 0xE0) + (head >= 0xF0)
+    whole = heads + size <= len(data)
+    heads, head, size = heads[whole], head[whole], size[whole]
+    point = head & (0x7F >> size)
+    for step in range(1, 4):
+        more = size > step
+        point[more] = point[more] << 6 | (data[heads[more] + step] & 0x3F)
+    letter = known[np.minimum(point, len(known) - 1)]
+    out[ranges(heads[letter], size[letter])] = True
+    return out
+
+
+def bare_words(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words without the signs around them, and the first word of each row."""
+    starts, ends, firsts = block.words()
+    letters = np.flatnonzero(letter_bytes(block.data))
+    low, high = np.searchsorted(letters, starts), np.searchsorted(letters, ends)
+    some = high > low
+    starts[some], ends[some] = letters[low[some]], letters[high[some] - 1] + 1
+    return starts, ends, firsts
+
+
 def hashed_words(text: bytes) -> np.ndarray:
     block = Block(0, LOWER[np.frombuffer(text, dtype=np.uint8)], np.array([0, len(text)]))
-    starts, ends, _ = block.words()
+    starts, ends, _ = bare_words(block)
     return block.span_hash(starts, ends)
 
 
 def question_and_answer(text: str) -> tuple[str, str]:
-    """The last sentence answers; of a single sentence, the last quarter of its words does."""
-    sentences = [s for s in re.split(r"(?<=[.!?])[\x20\x09-\x0D]+", text.strip()) if s]
-    if len(sentences) > 1:
-        return " ".join(sentences[:-1]), sentences[-1]
-    words = text.split()
-    cut = max(1, len(words) - max(1, len(words) // 4))
-    return " ".join(words[:cut]), " ".join(words[cut:]) or " ".join(words)
+    """The last sentences that have ``LEAST_PART`` words answer, or the last quarter of the words if too few are left to ask.
+
+    A text too short for two such parts is both.
+    """
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if len(words) < 2 * LEAST_PART:
+        return text, text
+    cut = max((k for k in range(1, len(words) - LEAST_PART + 1) if words[k - 1][-1] in ".!?"), default=0)
+    if cut < LEAST_PART:
+        cut = len(words) - max(LEAST_PART, len(words) // 4)
+    return " ".join(words[:cut]), " ".join(words[cut:])
 
 
 def word_triples(words: list) -> set:
@@ -166,7 +208,7 @@ def passage_matches(block: Block, index: ItemIndex, half: int, overlap: float) -
 
     Passages are ``2 * half`` words long and start every ``half`` words, so that any ``half`` words lie in one.
     """
-    starts, ends, firsts = block.words()
+    starts, ends, firsts = bare_words(block)
     if not len(starts):
         return {}
     hashes = block.span_hash(starts, ends)
@@ -207,9 +249,7 @@ def benchmark_leaks(
     give an empty result.
     """
     items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).where("item_id IS NOT NULL")
-    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = F.filter(F.split(lower, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    sized = items.withColumn("_words", words).where(F.size("_words") > 0)
+    sized = items.mapInArrow(_add_words, "item_id long, text string, _words array<long>").where(F.size("_words") > 0)
     n_items, n_words, n_bytes, longest = sized.agg(
         F.count(F.lit(1)), F.sum(F.size("_words")), F.sum(F.octet_length("text")), F.max(F.size("_words"))
     ).first()
@@ -226,13 +266,21 @@ def benchmark_leaks(
         frequency = None
         if shards > 1:
             terms = own.select(F.explode("_words").alias("word")).distinct().join(counts, "word").collect()
-            frequency = {int(hashed_words(r["word"].encode())[0]): r["df"] for r in terms}
+            frequency = {r["word"] % (1 << 64): r["df"] for r in terms}
         index = ItemIndex([r["item_id"] for r in rows], [r["text"] for r in rows], n_items, n_words / n_items, frequency, threshold)
         part = _search(docs, index, half, overlap)
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def _add_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The items with the hashes of their words, as signed numbers."""
+    for batch in batches:
+        texts = batch.column(1).cast(pa.large_binary()).to_pylist()
+        lists = pa.array([hashed_words(t).view(np.int64) for t in texts], pa.list_(pa.int64()))
+        yield pa.record_batch([batch.column(0), batch.column(1), lists], names=["item_id", "text", "_words"])
+
+
 def _search(docs: DataFrame, index: ItemIndex, half: int, overlap: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by ``shard_bytes``
 

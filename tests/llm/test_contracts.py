@@ -270,6 +270,23 @@ def test_leaks(spark, awkward, empty):
     assert decontamination.drop_contaminated(awkward, odd).columns == awkward.columns
 
 
+def test_leaks_with_signs_around_words(spark):
+    benchmark = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    items = {r["item_id"]: r["text"] for r in given("benchmark")}
+    items = {i: t for i, t in items.items() if len(t.split()) >= 8}
+    copies = [(i, "### das&&& %%%" + t + "$$$ rehe*** to%%%") for i, t in items.items()]
+    copies += [(i, " ".join(f"\u00ab{w}\u201d\u2026" for w in t.split())) for i, t in items.items()]
+    docs = spark.createDataFrame(copies, "doc_id long, text string")
+    found = Counter((r["doc_id"], r["item_id"]) for r in decontamination.benchmark_leaks(docs, benchmark).collect())
+    assert all(found[i, i] == 2 for i in items)
+    few = decontamination.benchmark_leaks(docs, benchmark, shard_bytes=5000)
+    assert Counter((r["doc_id"], r["item_id"]) for r in few.collect()) == found
+    # a short last sentence is not the answer by itself, and a word of signs alone remains a word
+    odd = spark.createDataFrame([(1, LINE.strip() + ". Certainly."), (2, "+ - * /")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, LINE.strip() + ". Certain1y."), (2, "+ - * /"), (3, "# ## ### ####")], "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.benchmark_leaks(docs, odd).collect()} == {(1, 1), (2, 2)}
+
+
 def test_empty_tables(spark, empty):
     benchmark = spark.createDataFrame([(1, LINE)], "item_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality long, toxic long")

@@ -7,7 +7,8 @@ passages of a block of text says so first: an item's *essential* terms are all b
 together weigh less than half the threshold, so a passage must gather the other half from essential postings.
 
 A retrieved item is a leak if the passage holds most word triples of its question and of its answer. Words are compared
-without the signs around them, in items and documents alike; a word that has only signs stays as it is.
+without the signs around them and without regard to case, in items and documents alike; a word that has only signs stays
+as it is.
 
 The index is broadcast in shards of at most ``SHARD_BYTES`` of item text; a larger benchmark takes more shards.
 """
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.arrow_text import LOWER, Block, blocks, ranges, row_of
+from orderloom.llm.arrow_text import Block, blocks, ranges, row_of
 from orderloom.llm.rows import without
 
 SHARD_BYTES = 8 << 20
@@ -74,8 +75,14 @@ def bare_words(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, ends, firsts
 
 
+def folded(block: Block) -> Block:
+    """The block's texts by the full case folding of Unicode, which also makes two letters of a sharp s."""
+    rows = [block.text(row).decode("utf-8", "replace").casefold().encode() for row in range(block.rows)]
+    return Block(block.first_row, np.frombuffer(b"".join(rows), dtype=np.uint8), np.cumsum([0, *map(len, rows)]))
+
+
 def hashed_words(text: bytes) -> np.ndarray:
-    block = Block(0, LOWER[np.frombuffer(text, dtype=np.uint8)], np.array([0, len(text)]))
+    block = folded(Block(0, np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)])))
     starts, ends, _ = bare_words(block)
     return block.span_hash(starts, ends)
 
@@ -245,7 +252,7 @@ def benchmark_leaks(
     """One row per document and test item that leaked into it, with the best passage.
 
     Items without words, null texts and null identifiers match nothing. Words are compared without regard to
-    the case of A-Z. Repeated documents give a row each; repeated items match each on their own. Empty tables
+    case. Repeated documents give a row each; repeated items match each on their own. Empty tables
     give an empty result.
     """
     items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).where("item_id IS NOT NULL")
@@ -289,8 +296,8 @@ def _search(docs: DataFrame, index: ItemIndex, half: int, overlap: float) -> Dat
         for batch in batches:
             ids = batch.column(0)
             rows = []
-            for block in blocks(batch.column(1), lower=True):
-                for (row, item), found in sorted(passage_matches(block, index, half, overlap).items()):
+            for block in blocks(batch.column(1)):
+                for (row, item), found in sorted(passage_matches(folded(block), index, half, overlap).items()):
                     rows.append((ids[block.first_row + row].as_py(), index.item_ids[item], *found))
             columns = [list(c) for c in zip(*rows)] or [[]] * 7
             types = [pa.int64()] * 4 + [pa.float64()] * 3

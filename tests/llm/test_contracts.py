@@ -287,6 +287,17 @@ def test_leaks_with_signs_around_words(spark):
     assert {(r["doc_id"], r["item_id"]) for r in decontamination.benchmark_leaks(docs, odd).collect()} == {(1, 1), (2, 2)}
 
 
+def test_leaks_in_capitals(spark):
+    items = {r["item_id"]: r["text"] for r in given("benchmark") if len(r["text"].split()) >= 8}
+    items[-1] = "größe straße füße weiß maß spaß gruß fleiß heiß süß außen draußen grüße schließen"  # capitals write ss
+    items[-2] = "η οδός του λόγος φως ήλιος κόσμος άνθρωπος ουρανός θάλασσα δρόμος χρόνος"  # a final sigma
+    assert any(not t.isascii() for i, t in items.items() if i >= 0)
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    docs = spark.createDataFrame([(i, "before " + t.upper() + " after") for i, t in items.items()], "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.benchmark_leaks(docs, benchmark).collect()}
+    assert {(i, i) for i in items} <= found
+
+
 def test_empty_tables(spark, empty):
     benchmark = spark.createDataFrame([(1, LINE)], "item_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality long, toxic long")

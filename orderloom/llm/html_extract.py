@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 # Element names of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title iframe noembed noframes noscript xmp template svg math object select button".split())
+RAW = frozenset("script style textarea title iframe noembed noframes noscript xmp template".split())
+UNREAD = frozenset("button select svg".split())  # their text is not part of a page's text
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span"
     " strike strong sub sup time tt u var wbr".split()
@@ -63,6 +64,9 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_UNREAD_END = {
+    name: re.compile(rf"<(?:(/){name}|{name}|article|main|section|header|footer|nav|aside|form|dialog|body)(?=[\s/>])", re.I) for name in UNREAD
+}
 CONTENT, OTHER = 1, 0
 
 
@@ -94,12 +98,15 @@ def parse(source: str) -> Page:
     page = Page()
     stack = [("html", 0)]  # open elements with their nodes
     open_p = links = 0
+    unread, closed = 0, False  # the depth of an open element of UNREAD, and whether its end was seen ahead
     at, end = 0, len(source)
     tags, parents, cues, chars, link_chars, labels, pieces = (
         page.tags, page.parents, page.cues, page.chars, page.link_chars, page.labels, page.pieces
     )
 
     def text(raw: str) -> None:
+        if unread:
+            return
         node = stack[-1][1]
         if "&" in raw:
             raw = html.unescape(raw)
@@ -110,7 +117,9 @@ def parse(source: str) -> Page:
             link_chars[node] += size
 
     def pop_to(depth: int) -> None:
-        nonlocal open_p, links
+        nonlocal open_p, links, unread
+        if depth <= unread:
+            unread = 0
         while len(stack) > depth:
             name = stack.pop()[0]
             if name == "p":
@@ -152,9 +161,15 @@ def parse(source: str) -> Page:
             if not attributes.rstrip().endswith("/"):
                 at = close.end() if close else end
             continue
-        if name in VOID:
+        if name in VOID or name in UNREAD and attributes.rstrip().endswith("/"):
             continue
-        if open_p and name in CLOSES_P:
+        if unread and not closed and (name in CLOSES_P or name in DIVIDING or name in IMPLIED_ENDS and name != "option" or name == "button"):
+            # nothing that is left open holds blocks
+            pop_to(unread)
+        if name in UNREAD and not unread:
+            unread, ahead = len(stack), _UNREAD_END[name].search(source, at)
+            closed = bool(ahead and ahead[1])
+        if open_p and name in CLOSES_P and not unread:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == "p":
                     pop_to(depth)
@@ -170,7 +185,7 @@ def parse(source: str) -> Page:
         if name in ("html", "body") and any(open_name == name for open_name, _ in stack):
             continue
         node, found = stack[-1][1], _cues(attributes)
-        if block or found:
+        if (block or found) and not unread:
             tags.append(name)
             parents.append(node)
             cues.append(found)

@@ -248,6 +248,22 @@ def test_extraction_cases(source, text):
     assert html_extract.main_text(source, MODEL) == text
 
 
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<body><header><button>no</header><article><p>kept</p></article></body>", "kept"),
+        ("<body><button>no<article><p>kept</p></article></body>", "kept"),
+        ("<body><select><option>no<option>no<article><p>kept</p></article></body>", "kept"),
+        ("<body><header><object data=x></header><article><p>kept</p></article></body>", "kept"),
+        ("<article><p>a <svg><svg><text>no</text></svg><text>no</text></svg> b</p></article>", "a b"),
+        ("<article><p>a <button><div>no</div> no</button> b</p></article>", "a b"),
+        ("<article><p>a <math><mi>x</mi></math> b <object>c</object></p></article>", "a x b c"),
+    ],
+)
+def test_extraction_reads_on_after_elements_left_open(source, text):
+    assert html_extract.main_text(source, MODEL) == text
+
+
 MODEL = html_extract.train()
 
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from orderloom.llm import decontamination, exact_dedup, html_extract, ngram_join, packing, phrase_dedup, pii, quality, sharding, suffix_dedup
+from orderloom.llm import (
+    conversation_trie, decontamination, exact_dedup, html_extract, merkle, ngram_join, packing, phrase_dedup, pii, quality, sharding, simhash,
+    suffix_dedup,
+)
 from orderloom.llm.oracle import CORPUS_ORACLE  # noqa: F401
 
 
@@ -53,10 +56,22 @@ def op10_decontamination(spark, sf_dir):
     return decontamination.benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_conversation_trie(spark, sf_dir):
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.manifest_proofs(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash(spark, sf_dir):
+    return simhash.simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
 CORPUS_QUERIES = {
     build.__name__: build
     for build in (
         op1_suffix_dedup, op2_phrase_dedup, op3_html_extract, op4_ngram_join, op5_packing, op6_pii, op7_exact_dedup,
-        op8_sharding, op9_quality, op10_decontamination,
+        op8_sharding, op9_quality, op10_decontamination, op11_conversation_trie, op12_merkle_manifest, op13_simhash,
     )
 } | {"pipeline": corpus_pipeline.run}

@@ -1,10 +1,14 @@
 """Plain versions of the corpus operators, for small tables held in lists of (doc_id, text)."""
 
 import hashlib
+import math
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 from itertools import combinations
 
+import xxhash
+
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 BASE = {
@@ -101,3 +105,117 @@ def base_spans(text):
     counts = tuple(sum(s[3] == kind for s in spans) for kind in BASE)
     joined = [f"{kind}:{a}:{b}" for a, _, b, kind in sorted(spans)]
     return counts + (hashlib.sha256(",".join(joined).encode()).hexdigest(),), joined
+
+
+def prefix_trie(rows):
+    """Nodes of the trie of rebuilt conversations, from rows (conv_id, turn, role, text)."""
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            turns[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(v)] for c, v in turns.items()}
+    rebuilt = {}
+    for c, v in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        rebuilt[c] = own.get(c - int(math.fmod(c, 5)), [])[:h] + v[h:]  # the remainder has the sign of c, as in SQL
+    members = defaultdict(list)
+    for c in sorted(rebuilt):
+        for d in range(len(rebuilt[c]) + 1):
+            members[tuple(rebuilt[c][:d])].append(c)
+    kids, leaves, saved = Counter(), Counter(), Counter()
+    for p in sorted(members, key=len, reverse=True):
+        leaves[p] += not kids[p]
+        if p:
+            saved[p] += (len(members[p]) - 1) * len(p[-1][1].encode())
+            kids[p[:-1]] += 1
+            leaves[p[:-1]] += leaves[p]
+            saved[p[:-1]] += saved[p]
+    out = []
+    for p, m in members.items():
+        ends = ",".join(str(c) for c in m if len(rebuilt[c]) == len(p))
+        above = members[p[:-1]][0] if p else None
+        out.append((m[0], len(p), above, len(m), kids[p], leaves[p], saved[p], hashlib.sha256(ends.encode()).hexdigest()))
+    return Counter(out)
+
+
+def _hash(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _climb(nodes):
+    levels = []
+    while len(nodes) > 1:
+        levels.append(nodes)
+        nodes = [_hash("".join(nodes[i : i + 16])) for i in range(0, len(nodes), 16)]
+    return levels, nodes[0]
+
+
+def _path(levels, i):
+    out = []
+    for nodes in levels:
+        start = i // 16 * 16
+        out.append(("".join(nodes[start:i]), "".join(nodes[i + 1 : start + 16])))
+        i //= 16
+    return out
+
+
+def merkle_proofs(rows):
+    """Proofs of all rows (doc_id, source, lang, n_chars, text)."""
+
+    def leaf(*values):
+        return _hash("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sources = defaultdict(list)
+    for row in rows:
+        sources[row[1]].append(row)
+    order = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in order:
+        sources[s].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(*r)))
+        trees[s] = _climb([leaf(*r) for r in sources[s]])
+    top, root = _climb([trees[s][1] for s in order]) if order else ([], None)
+    out = []
+    for place, s in enumerate(order):
+        levels, subroot = trees[s]
+        for i, r in enumerate(sources[s]):
+            proof, node = _path(levels, i) + _path(top, place), leaf(*r)
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0:
+                node = leaf(*r[:4], r[4] and r[4].translate(lower))
+            for left, right in proof:
+                node = _hash(left + node + right)
+            out.append((r[0], leaf(*r), subroot, root, _hash("".join(a + b for a, b in proof)), node, node == root))
+    return Counter(out)
+
+
+def fingerprint(text, size=4):
+    words = WORDS.findall((text or "").encode().translate(LOWER))
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + size]), 42) for i in range(max(1, len(words) - size + 1))] if words else []
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def reachable(values, near):
+    """The smallest value that each of some numbers reaches by links."""
+    values = sorted(set(values))
+    group = {v: v for v in values}
+
+    def root(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for a, b in combinations(values, 2):
+        if near(a, b):
+            x, y = sorted((root(a), root(b)))
+            group[y] = x
+    return {v: root(v) for v in values}
+
+
+def simhash_duplicates(docs, radius=4):
+    bits = [(d, fingerprint(t)) for d, t in docs]
+    group = reachable([b for _, b in bits], lambda a, b: (a ^ b).bit_count() <= radius)
+    least = {}
+    for d, b in bits:
+        known = least.setdefault(group[b], d)
+        least[group[b]] = d if known is None or d is not None and d < known else known
+    return Counter((d, f"{b:016x}", least[group[b]]) for d, b in bits)

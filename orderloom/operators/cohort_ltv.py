@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -109,17 +110,33 @@ def _spread(sums: DataFrame, sizes: DataFrame) -> DataFrame:
     return sums.join(sizes, COHORT).withColumn("revenue", F.col("revenue") * F.col("copies")).drop("copies")
 
 
-def _running(sums: DataFrame, sizes: DataFrame) -> DataFrame:
+def _running(rows: DataFrame) -> DataFrame:
     """Running revenue per cohort and offset; all rows of an offset share it.
 
     One row per offset enters the window, however many names a product was sold under.
     """
-    names = sizes.groupBy(*COHORT).agg(F.sum("copies").alias("names"))
-    paid = sums.groupBy(*COHORT, "month_offset").agg(F.sum("revenue").alias("paid")).join(names, COHORT)
-    running = F.sum(F.col("paid") * F.col("names")).over(Window.partitionBy(*COHORT).orderBy("month_offset"))
+    paid = rows.groupBy(*COHORT, "month_offset").agg(F.sum("revenue").alias("paid"))
+    running = F.sum("paid").over(Window.partitionBy(*COHORT).orderBy("month_offset"))
     return paid.select(*COHORT, "month_offset", running.alias("running"))
 
 
+def _shown(rows: DataFrame) -> DataFrame:
+    """The cohort table from its rows with exact revenue. The rows are read twice."""
+    rows = rows.join(_running(rows), [*COHORT, "month_offset"])
+    revenue, cumulative = F.col("revenue").cast("double"), F.col("running").cast("double")
+    return rows.select(
+        *SHOWN,
+        "first_order_month",
+        "month_offset",
+        "cohort_users",
+        "active_buyers",
+        revenue.alias("revenue_in_month"),
+        cumulative.alias("cumulative_revenue"),
+        F.try_divide(cumulative, F.col("cohort_users")).alias("ltv_per_user"),
+        F.try_divide(revenue, F.col("active_buyers")).alias("aov_in_month"),
+    )
+
+
 def ltv_monthly_aggregated(
     first: DataFrame, orders: DataFrame, names: DataFrame, cancelled: Sequence[str] = CANCELLED
 ) -> DataFrame:
@@ -139,21 +156,39 @@ def ltv_by_month_offset(
     members = _members(first, names)
     sums = _sums(members, orders, cancelled).where("active_buyers > 0 or revenue > 0")
     sums = stage(first.sparkSession, sums, "cohort-sums")
-    sizes = _equal_sizes(members)
-    rows = _spread(sums, sizes)
-    rows = _labelled(rows.join(_running(sums, sizes), [*COHORT, "month_offset"]), names)
-    revenue, cumulative = F.col("revenue").cast("double"), F.col("running").cast("double")
-    return rows.select(
-        *SHOWN,
-        "first_order_month",
-        "month_offset",
-        "cohort_users",
-        "active_buyers",
-        revenue.alias("revenue_in_month"),
-        cumulative.alias("cumulative_revenue"),
-        F.try_divide(cumulative, F.col("cohort_users")).alias("ltv_per_user"),
-        F.try_divide(revenue, F.col("active_buyers")).alias("aov_in_month"),
-    )
+    return _shown(_labelled(_spread(sums, _equal_sizes(members)), names))
+
+
+def changed_cohorts(
+    held: DataFrame, first: DataFrame, orders: DataFrame, names: DataFrame, months: Sequence[date], cancelled: Sequence[str] = CANCELLED
+) -> tuple[DataFrame, list[date]]:
+    """What the cohort table holds after the orders or new users of some months changed, and the first months it changes in.
+
+    A month of orders is one offset of a cohort, and the table itself holds the sums of all offsets. So older cohorts get new
+    sums for the offsets of the changed months alone, from the orders of those months; the others are taken over, and only the running
+    revenue is made again. Cohorts that begin in a changed month may have got users, and are summed from there on. First months without
+    a buyer in the changed months are not read or written.
+
+    ``orders`` needs its order_month, by which other months are pruned. Users known before the changed months must be the
+    same as when ``held`` was made, and so must the names; else the table has to be built anew.
+    """
+    spark = held.sparkSession
+    days = [F.lit(str(month)).cast("date") for month in sorted(months)]
+    young = F.col("first_order_month").isin(*days)
+    members = _members(first.where(F.col("first_order_month") <= days[-1]), names)
+    month = F.col("order_month")
+    older = _sums(members.where(~young), orders.where(month.isin(*days)), cancelled)
+    sums = older.unionByName(_sums(members.where(young), orders.where(month >= days[0]), cancelled))
+    sums = stage(spark, sums.where("active_buyers > 0 or revenue > 0"), "changed-sums")
+
+    gone = young | F.add_months("first_order_month", F.col("month_offset").cast("int")).isin(*days)
+    touched = sums.select("first_order_month").unionByName(held.where(gone).select("first_order_month"))
+    touched = sorted(row[0] for row in touched.distinct().collect())  # one per month
+    inside = F.col("first_order_month").isin(*[F.lit(str(m)).cast("date") for m in touched]) if touched else F.lit(False)
+    fresh = _labelled(_spread(sums, _equal_sizes(members.where(inside))), names)
+    kept = held.where(inside & ~gone).withColumn("revenue", money(F.col("revenue_in_month"))).select(*fresh.columns)
+    rows = stage(spark, kept.unionByName(fresh), "changed-cohorts")
+    return _shown(rows), touched
 
 
 def _one_name(first: DataFrame, names: DataFrame) -> DataFrame:

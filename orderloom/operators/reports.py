@@ -29,19 +29,19 @@ def table_freshness(rows: DataFrame, table: str, stamp: str) -> DataFrame:
 def product_sales(items: DataFrame, names: DataFrame) -> DataFrame:
     """Quantity, sales and orders per product, named by the master first.
 
-    Items are read once: sums and the longest name per product and order first, and then per product, where each
-    order is a row. A bestseller crosses the network as a row per order and task, then as a few rows.
+    Sums go per product and order first, where each order is a row, and then per product: a bestseller crosses the
+    network as a row per order and task, then as a few rows. Item names are made distinct on their own before the longest
+    is looked for, so that the sums are hashed and not sorted.
     """
     per_order = items.groupBy("manage_number", "order_number").agg(
-        F.sum("quantity").alias("quantity"), F.sum(money(F.col("subtotal"))).alias("sales"), longest("item_name").alias("item_name")
+        F.sum("quantity").alias("quantity"), F.sum(money(F.col("subtotal"))).alias("sales")
     )
-    sums = per_order.groupBy("manage_number").agg(
-        F.sum("quantity").cast("bigint").alias("quantity"),
-        F.sum("sales").cast("double").alias("sales"),
-        F.count("order_number").alias("orders"),
-        longest("item_name").alias("item_name"),
+    sums = per_order.groupBy(F.col("manage_number").alias("number")).agg(
+        F.sum("quantity").cast("bigint").alias("quantity"), F.sum("sales").cast("double").alias("sales"), F.count("order_number").alias("orders")
     )
-    return sums.join(names, "manage_number", "left").select(
+    carried = items.select("manage_number", "item_name").distinct().groupBy("manage_number").agg(longest("item_name").alias("item_name"))
+    both = sums.join(carried, F.col("number").eqNullSafe(F.col("manage_number")))
+    return both.join(names, "manage_number", "left").select(
         "manage_number",
         F.coalesce("product_name", "item_name").alias("item_name"),
         "category_name",

@@ -1,21 +1,23 @@
-"""Writing the Parquet tables: loads, range replacement, upserts and merges.
+"""Writing the tables: loads, range replacement, upserts and merges.
 
-Monthly tables are partitioned by business month. A write makes new folders for the months that it changes and then
-switches to them at once (see ``versions``): other months keep their files, and a write that fails changes nothing.
+Monthly tables are partitioned by business month. A write makes new folders for the months that it changes, and the
+catalogue then points the months to them (see ``tabled``): other months keep their files, and a write that fails changes
+nothing. Where several tables change together, all of them are written before the first one switches. Rows
+are counted by the writes themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom import versions
+from orderloom import tabled
 from orderloom.functions.calendar import business_month, months_touched
 from orderloom.operators import merges
-from orderloom.schemas import conform, read_table, with_partition
+from orderloom.schemas import conform, ensure_table, read_table, with_partition
 from orderloom.session import stage
 
 
@@ -24,13 +26,19 @@ def with_month(rows: DataFrame, ts_column: str, partition: str) -> DataFrame:
 
 
 def replace_table(
-    spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType, partition: str | None = None, order: Sequence[str] = ()
-) -> None:
-    """``rows`` take the place of all that the table held. A partition column must be among them."""
-    full = with_partition(schema, partition)
-    folder, filled = versions.add_folder(spark, rows.select(*full.names), path, partition, order)
-    emptied = {part: [] for part in versions.parts(spark, path) or {"": []}}
-    versions.commit(spark, {path: emptied | {part: [folder] for part in filled}})
+    spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType, partition: str | None = None, order: Sequence[str] = (),
+    cluster: int | None = None,
+) -> int:
+    """``rows`` take the place of all that the table held; returns their number. A partition column must be among them.
+
+    With ``order`` the files hold ranges of it, ``cluster`` of them where that is given. Such rows are sampled before they are
+    written, so they are best staged.
+    """
+    ensure_table(spark, path, schema, partition)
+    written = tabled.write(spark, rows.select(*with_partition(schema, partition).names), path, partition, order, cluster)
+    emptied = dict.fromkeys(tabled.parts(spark, path)) if partition else {}
+    tabled.switch(spark, path, partition, emptied | tabled.places(written, partition))
+    return written.rows
 
 
 def load(
@@ -42,60 +50,61 @@ def load(
     ignore_if_empty: bool = True,
     partition: str | None = None,
     ts_column: str | None = None,
-    order: Sequence[str] = (),
 ) -> bool:
     """Append to a table, replace it, or fill it only while it is empty. Empty input changes nothing.
 
-    Returns whether anything was written. The rows are computed once: they are written first, and whether there were
-    any is seen from the folder.
+    Returns whether anything was written. The rows are computed once, and counted as they are written.
     """
     if disposition not in ("WRITE_APPEND", "WRITE_TRUNCATE", "WRITE_EMPTY"):
         raise ValueError(f"unknown disposition {disposition!r}")
     rows = conform(rows, schema)
     if partition and ts_column:
         rows = with_month(rows, ts_column, partition)
-    folder, filled = versions.add_folder(spark, rows, path, partition, order)
-    if not filled:
-        if ignore_if_empty:
-            return False
-        raise ValueError("no rows to load")
-    held = versions.parts(spark, path) or {}
+    ensure_table(spark, path, schema, partition)
     if disposition == "WRITE_EMPTY" and not read_table(spark, path, schema, partition).isEmpty():
         raise ValueError(f"the table at {path} already has rows")
     if disposition == "WRITE_TRUNCATE":
-        held = {part: [] for part in held}
-        versions.commit(spark, {path: held | {part: [folder] for part in filled}})
+        written = tabled.write(spark, rows, path, partition)
+        loaded = written.rows
+        if loaded:
+            emptied = dict.fromkeys(tabled.parts(spark, path)) if partition else {}
+            tabled.switch(spark, path, partition, emptied | tabled.places(written, partition))
     else:
-        versions.commit(spark, {path: {part: [*held.get(part, []), folder] for part in filled}})
-    return True
+        loaded = tabled.append(spark, rows, path, partition)
+    if not loaded and not ignore_if_empty:
+        raise ValueError("no rows to load")
+    return loaded > 0
 
 
-def _part(month) -> str:
-    return versions.NO_MONTH if month is None else str(month)
+def _month(partition: str, parts: Sequence[str]):
+    """Rows of some partitions, by their folder names."""
+    known = F.col(partition).isin([part for part in parts if part != tabled.NO_VALUE])
+    return known | F.col(partition).isNull() if tabled.NO_VALUE in parts else known
 
 
 def _range_content(
     spark: SparkSession, path: str, schema: T.StructType, incoming: DataFrame, ts_column: str, start_iso: str, end_iso: str,
     partition: str, keys: Sequence[str],
-) -> versions.Parts:
-    """The new folders of the months that a range replacement changes."""
-    full, partial = months_touched(start_iso, end_iso)
-    fresh = with_month(conform(incoming, schema), ts_column, partition)
-    months = [row[0] for row in fresh.select(partition).distinct().collect()]  # one value per month
-    strays = [m for m in months if m not in {*full, *partial}]
-
-    content = fresh
-    if partial or strays:
+) -> dict[str, str | None]:
+    """The new folders of the months that a range replacement changes.
+
+    The incoming rows are written first, and the folder tells their months. Months that the range does not cover in full are
+    then merged with the rows that stay, from that folder.
+    """
+    full, partial = ([str(month) for month in months] for months in months_touched(start_iso, end_iso))
+    fresh = tabled.write(spark, with_month(conform(incoming, schema), ts_column, partition), path, partition)
+    changes: dict[str, str | None] = dict.fromkeys([*full, *partial]) | tabled.places(fresh, partition)
+    merged = [part for part in {*partial, *fresh.parts} if part not in full]
+    held = [part for part in merged if part in tabled.parts(spark, path)]
+    if held:
         table = read_table(spark, path, schema, partition)
-        known = [m for m in strays if m is not None]
-        read = F.col(partition).isin([*partial, *known])
-        held = table.where(read | F.col(partition).isNull() if None in strays else read)
-        kept = merges.delete_between(held, ts_column, start_iso, end_iso)
-        outside = merges.delete_between(fresh, ts_column, start_iso, end_iso).select(*keys).distinct()
-        content = kept.join(outside, list(keys), "left_anti").select(*fresh.columns).unionByName(fresh)
-    folder, filled = versions.add_folder(spark, content, path, partition)
-    changed = [_part(m) for m in [*full, *partial, *strays]]
-    return {part: [folder] if part in filled else [] for part in changed}
+        landed = spark.read.schema(table.schema).option("basePath", fresh.folder).parquet(fresh.folder)
+        kept = merges.delete_between(table.where(_month(partition, held)), ts_column, start_iso, end_iso)
+        outside = merges.delete_between(landed, ts_column, start_iso, end_iso).select(*keys).distinct()
+        kept = kept.join(outside, list(keys), "left_anti").select(*table.columns)
+        content = kept.unionByName(landed.where(_month(partition, held)))
+        changes |= dict.fromkeys(held) | tabled.places(tabled.write(spark, content, path, partition), partition)
+    return changes
 
 
 def replace_ranges(
@@ -106,20 +115,20 @@ def replace_ranges(
     end_iso: str,
     partition: str = "order_month",
     keys: Sequence[str] = ("order_number",),
-) -> None:
-    """Delete the rows of ``[start, end)`` from some tables, given by path, and add the incoming ones; all switch at once.
+) -> list[str]:
+    """Delete the rows of ``[start, end)`` from some tables, given by path, and add the incoming ones; returns the months that changed.
 
     A month that the range covers in full is replaced without being read; in a month it covers in part, the
     rows outside it are carried over. Incoming rows outside the range take the place of rows outside it that have their
-    keys, so that a second run with the same rows changes nothing.
+    keys, so that a second run with the same rows changes nothing. All tables are written before the first one switches.
     """
-    versions.commit(
-        spark,
-        {
-            path: _range_content(spark, path, schema, incoming, ts_column, start_iso, end_iso, partition, keys)
-            for path, (schema, incoming) in replacements.items()
-        },
-    )
+    changes = {
+        path: _range_content(spark, path, schema, incoming, ts_column, start_iso, end_iso, partition, keys)
+        for path, (schema, incoming) in replacements.items()
+    }
+    for path, changed in changes.items():
+        tabled.switch(spark, path, partition, changed)
+    return sorted({part for changed in changes.values() for part in changed if part != tabled.NO_VALUE})
 
 
 def replace_range(
@@ -132,18 +141,42 @@ def replace_range(
     end_iso: str,
     partition: str = "order_month",
     keys: Sequence[str] = ("order_number",),
-) -> None:
+) -> list[str]:
     """``replace_ranges`` for one table."""
-    replace_ranges(spark, {path: (schema, incoming)}, ts_column, start_iso, end_iso, partition, keys)
+    return replace_ranges(spark, {path: (schema, incoming)}, ts_column, start_iso, end_iso, partition, keys)
 
 
 def delete_range(
     spark: SparkSession, path: str, schema: T.StructType, ts_column: str, start_iso: str, end_iso: str,
     partition: str = "order_month", keys: Sequence[str] = ("order_number",),
-) -> None:
+) -> list[str]:
     """Delete the rows of ``[start, end)``."""
     nothing = spark.createDataFrame([], schema)
-    replace_range(spark, path, schema, nothing, ts_column, start_iso, end_iso, partition, keys)
+    return replace_range(spark, path, schema, nothing, ts_column, start_iso, end_iso, partition, keys)
+
+
+def _hit(target: DataFrame, source: DataFrame, keys: Sequence[str], partition: str) -> list[str]:
+    """The partitions of the target that hold a key of the source."""
+    matched = target.select(partition, *keys).join(source.select(*keys).distinct(), list(keys), "left_semi")
+    months = [row[0] for row in matched.select(partition).distinct().collect()]  # one value per month
+    return [tabled.NO_VALUE if month is None else str(month) for month in months]
+
+
+def _settle(spark: SparkSession, content: DataFrame, path: str, schema: T.StructType, partition: str, hit: Sequence[str]):
+    """Write the new content of the ``hit`` partitions and rows that go to others; returns the step that shows them."""
+    written = tabled.write(spark, content, path, partition)
+    held = tabled.parts(spark, path)
+    changes = dict.fromkeys(hit) | tabled.places(written, partition, [p for p in written.parts if p in hit or p not in held])
+    added = [part for part in written.parts if part in held and part not in hit]
+
+    def show() -> None:
+        if added:  # months that just get rows keep their files
+            table = read_table(spark, path, schema, partition)
+            fresh = spark.read.schema(table.schema).option("basePath", written.folder).parquet(written.folder)
+            tabled.append(spark, fresh.where(_month(partition, added)), path, partition)
+        tabled.switch(spark, path, partition, changes)
+
+    return show
 
 
 def upsert(
@@ -156,52 +189,68 @@ def upsert(
     ts_column: str | None = None,
 ) -> bool:
     """Update or insert ``source`` by its keys. Only months that hold a matching row are read and written anew; months
-    that just get rows get another folder. The source is staged, since the merge reads it more than once."""
+    that just get rows get more files. The source is staged, since the merge reads it more than once."""
     source = stage(spark, source, "source")
     if source.isEmpty():
         return False
-    held = versions.parts(spark, path) or {}
     target = read_table(spark, path, schema, partition)
-    if partition:
-        matched = target.select(partition, *keys).join(source.select(*keys).distinct(), list(keys), "left_semi")
-        months = [row[0] for row in matched.select(partition).distinct().collect()]  # one value per month
-        known = [m for m in months if m is not None]
-        hit = F.col(partition).isin(known)
-        target = target.where(hit | F.col(partition).isNull() if None in months else hit)
-        read = {_part(m) for m in months}
-    else:
-        read = {""}
-    content = conform(merges.upsert_by_keys(target.select(*schema.names), source, keys), schema)
-    if partition and ts_column:
+    if not partition:
+        replace_table(spark, conform(merges.upsert_by_keys(target, source, keys), schema), path, schema)
+        return True
+    hit = _hit(target, source, keys, partition)
+    content = conform(merges.upsert_by_keys(target.where(_month(partition, hit)).select(*schema.names), source, keys), schema)
+    if ts_column:
         content = with_month(content, ts_column, partition)
-    folder, filled = versions.add_folder(spark, content, path, partition)
-    changed = {part: [] for part in read}
-    changed |= {part: [folder] if part in read else [*held.get(part, []), folder] for part in filled}
-    versions.commit(spark, {path: changed})
+    _settle(spark, content, path, schema, partition, hit)()
     return True
 
 
+def replace_keys(
+    spark: SparkSession, replacements: dict[str, tuple[T.StructType, DataFrame]], numbers: DataFrame, keys: Sequence[str],
+    ts_column: str, partition: str = "order_month",
+) -> None:
+    """Delete the rows that have a key of ``numbers`` from some tables and add the incoming ones; all are written before one switches.
+
+    Only months that hold such a row are read and written anew. A second run with the same rows changes nothing.
+    """
+    steps = []
+    for path, (schema, incoming) in replacements.items():
+        target = read_table(spark, path, schema, partition)
+        hit = _hit(target, numbers, keys, partition)
+        kept = target.where(_month(partition, hit)).join(numbers.select(*keys).distinct(), list(keys), "left_anti")
+        fresh = with_month(conform(incoming, schema), ts_column, partition)
+        steps.append(_settle(spark, kept.select(*fresh.columns).unionByName(fresh), path, schema, partition, hit))
+    for show in steps:
+        show()
+
+
 def insert_unmatched(spark: SparkSession, path: str, schema: T.StructType, source: DataFrame, keys: Sequence[str]) -> int:
     """Add the source rows whose keys the table does not hold; returns how many."""
-    held = versions.parts(spark, path) or {}
     fresh = conform(merges.unmatched(source, read_table(spark, path, schema), keys), schema)
-    folder, filled = versions.add_folder(spark, fresh, path, None)
-    if not filled:
-        return 0
-    versions.commit(spark, {path: {"": [*held.get("", []), folder]}})
-    return spark.read.schema(fresh.schema).parquet(f"{path}/load={folder}").count()
+    return tabled.append(spark, fresh, path, None)
+
+
+def rewrite_partitions(
+    spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType, partition: str, parts: Sequence[str], order: Sequence[str] = ()
+) -> int:
+    """``rows`` become the content of some partitions, and those of them without rows go; returns the number of rows."""
+    written = tabled.write(spark, rows.select(*with_partition(schema, partition).names), path, partition, order)
+    strays = set(written.parts) - set(parts)
+    if strays:
+        raise ValueError(f"rows of partitions that were not to change: {sorted(strays)}")
+    tabled.switch(spark, path, partition, dict.fromkeys(parts) | tabled.places(written, partition))
+    return written.rows
 
 
 def rewrite_changed(
-    spark: SparkSession, path: str, rows: DataFrame, flag: str, partition: str, order: Sequence[str] = ()
+    spark: SparkSession, path: str, rows: DataFrame, schema: T.StructType, flag: str, partition: str, order: Sequence[str] = ()
 ) -> int:
     """Write back the partitions that hold a row marked in ``flag``; returns how many rows are marked."""
-    staged = stage(spark, rows, "rewrite")
-    changed = staged.where(flag)
-    count = changed.count()
+    seen = Observation()
+    staged = stage(spark, rows.observe(seen, F.count_if(flag).alias("marked")), "rewrite")
+    count = seen.get["marked"]
     if count:
-        months = changed.select(F.col(partition).alias("changed_month")).distinct()
-        content = staged.join(months, F.col(partition).eqNullSafe(F.col("changed_month")), "left_semi").drop(flag)
-        folder, filled = versions.add_folder(spark, content, path, partition, order)
-        versions.commit(spark, {path: {part: [folder] for part in filled}})
+        months = [row[0] for row in staged.where(flag).select(partition).distinct().collect()]  # one value per month
+        parts = [tabled.NO_VALUE if month is None else str(month) for month in months]
+        rewrite_partitions(spark, staged.where(_month(partition, parts)).drop(flag), path, schema, partition, parts, order)
     return count

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom import schemas
-from orderloom.functions.calendar import business_date, iso_local, month_of
+from orderloom.functions.calendar import DETAIL_BATCH, business_date, iso_instant, iso_local, month_of, shift_month
 from orderloom.operators import (
     cohort_ltv, first_purchase, flatten, merges, product_master, quality, ranges, reports, tables,
 )
@@ -30,7 +30,7 @@ MERGE_MONTH = "1995-06-01"
 KNOWN_UNTIL = "1995-07-01T00:00:00+09:00"
 REPLACED = ("1997-03-01T00:00:00+09:00", "1997-04-11T00:00:00+09:00")
 STRAYS = ("1997-05-01T00:00:00+09:00", "1997-05-03T00:00:00+09:00")
-ALL_TIME = (datetime(1992, 1, 1), datetime(1999, 1, 1))
+ALL_TIME = (datetime(1992, 1, 1), datetime(2003, 1, 1))
 DELETED = ("2024-01-08T00:00:00+09:00", "2024-01-15T12:00:00+09:00")
 INGESTED_AT = datetime(2024, 2, 1)
 
@@ -177,8 +177,9 @@ def missing_orders(spark, sf):
 @query
 def raw_orders_scan(spark, sf):
     path = scratch_path(spark, "raw")
-    for part in (given.header_documents(spark, sf), given.line_documents(spark, sf)):
-        documents.write_order_documents(part, path, INGESTED_AT)
+    # single orders and responses of a hundred, as detail calls return them
+    for part, batch in ((given.header_documents(spark, sf), DETAIL_BATCH), (given.line_documents(spark, sf), 1)):
+        documents.write_order_documents(part, path, INGESTED_AT, batch)
     read = documents.read_order_documents(spark, path)
     return read.select(
         F.col("orderNumber").alias("order_number"),
@@ -194,6 +195,11 @@ def order_numbers_dedup(spark, sf):
     return documents.found_order_numbers(given.search_pages(spark, sf))
 
 
+@query
+def detail_batches(spark, sf):
+    return documents.detail_batches(documents.found_order_numbers(given.search_pages(spark, sf)))
+
+
 @query
 def product_master_clean(spark, sf):
     path = scratch_path(spark, "master")
@@ -223,13 +229,20 @@ def load_files(spark, sf):
     events.write.option("header", True).option("sep", ";").csv(csv_path)
     from_json = files.load_files(spark, json_path, schema=EVENT_FILE)
     from_csv = files.load_files(spark, csv_path, "CSV", schema=EVENT_FILE, field_delimiter=";", skip_leading_rows=1)
-    # a file with notes on top: every task writes one, so the notes open each of them
+    # files with notes on top, written side by side
     line = F.concat_ws(";", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in EVENT_FILE.names])
-    noted = spark.range(1).select(F.explode(F.array(*map(F.lit, NOTES))).alias("line")).unionByName(events.select(line.alias("line")))
-    documents.write_text(noted.coalesce(1), noted_path)
+    n_files = spark.sparkContext.defaultParallelism
+    body = events.select(F.pmod(F.xxhash64("event_id"), F.lit(n_files)).cast("int").alias("file"), F.lit(len(NOTES)).alias("place"), line.alias("line"))
+    notes = spark.range(n_files).select(F.col("id").cast("int").alias("file"), F.posexplode(F.array(*map(F.lit, NOTES))).alias("place", "line"))
+    noted = notes.unionByName(body).repartition("file").sortWithinPartitions("file", "place")
+    noted.select("file", "line").write.partitionBy("file").text(noted_path)
     from_noted = files.load_files(spark, noted_path, "CSV", schema=EVENT_FILE, field_delimiter=";", skip_leading_rows=len(NOTES))
+    detected = files.load_files(spark, noted_path, "CSV", field_delimiter=";", skip_leading_rows=len(NOTES))
+    if [kind for _, kind in detected.dtypes] != ["int", "int", "string", "double", "timestamp"]:
+        raise ValueError(f"detected {detected.dtypes}")
+    from_detected = detected.select(*[F.col(f.name).cast(f.dataType) for f in EVENT_FILE.fields])
     shown = from_json.withColumn("source_format", F.lit("NDJSON"))
-    for name, rows in (("CSV", from_csv), ("CSV with notes", from_noted)):
+    for name, rows in (("CSV", from_csv), ("CSV with notes", from_noted), ("CSV detected", from_detected)):
         shown = shown.unionByName(rows.withColumn("source_format", F.lit(name)))
     return shown
 
@@ -323,8 +336,9 @@ def latest_documents(spark, sf):
     path = scratch_path(spark, "raw")
     headers = given.header_documents(spark, sf)
     documents.write_order_documents(headers.withColumn("orderProgress", F.lit("100")), path, INGESTED_AT)
-    documents.write_order_documents(headers.where("orderProgress <> '300'"), path, datetime(2024, 3, 1))
-    kept = documents.first_documents(documents.read_order_documents(spark, path))
+    # the newer landing, in several files and in responses of several orders
+    documents.write_order_documents(headers.where("orderProgress <> '300'").repartition(5), path, datetime(2024, 2, 20), DETAIL_BATCH)
+    kept = documents.first_documents(stage(spark, documents.read_order_documents(spark, path), "documents"))
     return kept.select(F.col("orderNumber").alias("order_number"), F.col("orderProgress").alias("order_progress"))
 
 
@@ -344,15 +358,18 @@ def job_load_span(spark, sf):
     return orders.unionByName(items)
 
 
+def _facts(spark, sf) -> tuple[DataFrame, DataFrame]:
+    stamp = F.lit(str(INGESTED_AT)).cast("timestamp")
+    orders = given.shop_orders(spark, sf).withColumn("inserted_at", stamp)
+    items = flatten.attach_order_datetime(given.shop_items(spark, sf), orders)
+    return orders, items.withColumn("item_id", F.col("variant_id")).withColumn("inserted_at", stamp)
+
+
 def _house(spark, sf) -> jobs.Warehouse:
     """A warehouse with the shop's orders, items and master."""
     house = jobs.Warehouse(scratch_path(spark, "house"))
     house.create(spark)
-    stamp = F.lit(str(INGESTED_AT)).cast("timestamp")
-    orders = given.shop_orders(spark, sf).withColumn("inserted_at", stamp)
-    items = flatten.attach_order_datetime(given.shop_items(spark, sf), orders)
-    items = items.withColumn("item_id", F.col("variant_id")).withColumn("inserted_at", stamp)
-    for name, rows in (("orders", orders), ("order_items", items)):
+    for name, rows in zip(("orders", "order_items"), _facts(spark, sf)):
         tables.load(spark, rows, house.path(name), house.SCHEMAS[name], partition="order_month", ts_column="order_datetime")
     return house
 
@@ -382,6 +399,55 @@ def job_refresh_names(spark, sf):
     return _cohorts(spark, house).select("entry_manage_number", "entry_item_name", "first_order_month", "month_offset", "cohort_users", "category_name", "brand_name")
 
 
+# the last business months of the given orders, loaded one by one after the others
+LAST_MONTHS = [datetime(2001, month, 1) for month in (6, 7, 8)]
+
+
+@query
+def job_refresh_cohorts(spark, sf):
+    """All history but three months in one load, then each month on its own: new users merged, cohorts kept up to date."""
+    house = jobs.Warehouse(scratch_path(spark, "house"))
+    house.create(spark)
+    jobs.sync_master(spark, house, given.shop_master(spark, sf), required=True)
+    orders, items = _facts(spark, sf)
+    early = F.col("order_datetime") < F.lit(iso_instant(LAST_MONTHS[0])).cast("timestamp")
+    for name, rows in (("orders", orders), ("order_items", items)):
+        tables.load(spark, rows.where(early), house.path(name), house.SCHEMAS[name], partition="order_month", ts_column="order_datetime")
+    jobs.initial_load(spark, house, INGESTED_AT)
+    for start in LAST_MONTHS:
+        end = shift_month(start, 1)
+        inside = merges.in_range("order_datetime", iso_instant(start), iso_instant(end))
+        incoming = {house.path(name): (house.SCHEMAS[name], rows.where(inside)) for name, rows in (("orders", orders), ("order_items", items))}
+        tables.replace_ranges(spark, incoming, "order_datetime", iso_instant(start), iso_instant(end))
+        jobs.merge_first_purchases(spark, house, start, run_at=INGESTED_AT)
+        jobs.refresh_ltv(spark, house, [start.date()], INGESTED_AT)
+    return _cohorts(spark, house)
+
+
+@query
+def job_merge_month(spark, sf):
+    """First purchases of one month, merged into a table that knows nobody, and merged again."""
+    house = _house(spark, sf)
+    jobs.sync_master(spark, house, given.shop_master(spark, sf), required=True)
+    for _ in range(2):
+        jobs.merge_first_purchases(spark, house, datetime.fromisoformat(MERGE_MONTH), run_at=INGESTED_AT)
+    return house.read(spark, "user_first_purchase_info").select(*first_purchase.FIRST_PURCHASE_COLUMNS)
+
+
+RUNS = {"MONTHLY": {}, "HISTORICAL": {}, "CUSTOM": {"start": "1995-01-15", "end": "1995-06-09"}}
+
+
+@query
+def job_dry_run(spark, sf):
+    """The order numbers that a run of each mode would load, range by range."""
+    orders = given.shop_orders(spark, sf)
+    shown = [
+        jobs.dry_run(spark, orders, mode, now=datetime(1997, 3, 15, 12), **span).select(F.lit(mode).alias("mode"), "range_start", "range_end", "order_numbers")
+        for mode, span in RUNS.items()
+    ]
+    return shown[0].unionByName(shown[1]).unionByName(shown[2])
+
+
 # --- calendar, ranges and reports ----------------------------------------------------------------
 @query
 def business_calendar(spark, sf):

@@ -208,7 +208,7 @@ def master_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One search page per order line, so an order number is listed as often as it has lines.
+    """One search page per order line, so an order number is listed as often as it has lines, in the week it was shipped.
 
     Pages of returned lines hold a null list, and each page lists its number twice.
     """
@@ -216,4 +216,5 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given(spark, sf_dir, "lineitem").select(
         F.when(F.col("l_returnflag") != "R", F.array(number, number)).alias("orderNumberList"),
         F.struct(F.col("l_linenumber").cast("bigint").alias("requestPage")).alias("PaginationResponseModel"),
+        F.trunc(F.to_date("l_shipdate"), "week").alias("chunk"),
     )

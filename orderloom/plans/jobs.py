@@ -5,12 +5,12 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom import schemas
+from orderloom import schemas, tabled
 from orderloom.functions.calendar import (
     BUSINESS_TZ, business_month, iso_instant, iso_local, month_start, months_touched, resolve_span, shift_month,
 )
@@ -53,6 +53,10 @@ class Warehouse:
             if schemas.ensure_table(spark, self.path(name), schema, self.PARTITIONS.get(name))
         ]
 
+    def name(self, table: str) -> str:
+        """The table's name in SQL."""
+        return tabled.identifier(self.path(table))
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return schemas.read_table(spark, self.path(table), self.SCHEMAS[table], self.PARTITIONS.get(table))
 
@@ -84,17 +88,17 @@ def load_span(
 ) -> dict:
     """Replace the orders and items placed in ``[start, end)`` (business time) by those of ``documents``.
 
-    The documents are staged once, and both tables switch to the new rows at once. Nothing changes when the documents
+    The documents are read and parsed once, and both tables are written before one of them switches to the new rows. Nothing changes when the documents
     are empty, when one of them fails the checks, or when an order number of ``searched`` was not fetched. With
     ``quarantine``, documents that fail the checks are appended to that folder as JSON and the others are loaded.
-    ``months`` has one row per business month of the range.
+    ``months`` has one row per business month, and ``changed_months`` names those whose rows were replaced.
     """
     pin_utc(spark)
     run_at = _now(run_at)
     start_iso, end_iso = iso_instant(start), iso_instant(end)
     summary: dict = {"range": [start_iso, end_iso], "orders_rows": 0, "order_items_rows": 0}
 
-    staged = stage(spark, first_documents(documents), "documents")
+    staged = first_documents(stage(spark, documents, "documents"))
     if searched is not None:
         fetched = staged.select(F.col("orderNumber").alias("order_number"))
         lost = quality.missing_orders(searched, fetched).count()
@@ -117,7 +121,7 @@ def load_span(
     orders = flatten.normalize_orders(staged, run_at)
     items = flatten.normalize_order_items(staged, run_at, with_order_datetime=True)
     summary["months"] = _month_rows(orders, items)
-    tables.replace_ranges(
+    summary["changed_months"] = tables.replace_ranges(
         spark,
         {
             warehouse.path("orders"): (schemas.ORDERS, orders),
@@ -147,6 +151,7 @@ def merge_first_purchases(
     month: datetime,
     until: datetime | None = None,
     run_at: datetime | None = None,
+    cancelled: Sequence[str] = first_purchase.CANCELLED,
 ) -> dict:
     """Add the users who are new in ``[month, until)``, one month unless ``until`` is given. Users already
     known are never changed.
@@ -163,7 +168,7 @@ def merge_first_purchases(
     orders = warehouse.read(spark, "orders").where(placed < end)
     items = warehouse.read(spark, "order_items").where((placed >= start) & (placed < end))
     known = warehouse.read(spark, "user_first_purchase_info")
-    found = first_purchase.new_first_purchases(orders, items, _names(spark, warehouse), known, start_day, end_day)
+    found = first_purchase.new_first_purchases(orders, items, _names(spark, warehouse), known, start_day, end_day, cancelled)
     inserted = tables.insert_unmatched(
         spark,
         warehouse.path("user_first_purchase_info"),
@@ -184,22 +189,48 @@ def rebuild_first_purchases(
         warehouse.read(spark, "orders"), warehouse.read(spark, "order_items"), _names(spark, warehouse), cancelled
     )
     content = schemas.conform(_stamped(rows, _now(run_at)), schemas.FIRST_PURCHASE)
-    tables.replace_table(spark, content, warehouse.path("user_first_purchase_info"), schemas.FIRST_PURCHASE)
-    return warehouse.read(spark, "user_first_purchase_info").count()
+    return tables.replace_table(spark, content, warehouse.path("user_first_purchase_info"), schemas.FIRST_PURCHASE)
 
 
 @cleared
-def rebuild_ltv(spark: SparkSession, warehouse: Warehouse, run_at: datetime | None = None) -> None:
-    """The cohort table over all history, one folder per first month, sorted by product and offset."""
+def rebuild_ltv(
+    spark: SparkSession, warehouse: Warehouse, run_at: datetime | None = None, cancelled: Sequence[str] = first_purchase.CANCELLED
+) -> None:
+    """The cohort table over all history, one folder per first month, its files in ranges of product and offset."""
     pin_utc(spark)
     rows = cohort_ltv.ltv_by_month_offset(
-        warehouse.read(spark, "user_first_purchase_info"), warehouse.read(spark, "orders"), _names(spark, warehouse)
+        warehouse.read(spark, "user_first_purchase_info"), warehouse.read(spark, "orders"), _names(spark, warehouse), cancelled
     )
-    content = schemas.conform(_stamped(rows, _now(run_at)), schemas.COHORT_LTV)
+    content = stage(spark, schemas.conform(_stamped(rows, _now(run_at)), schemas.COHORT_LTV), "cohorts")
     path = warehouse.path("entry_product_ltv_by_month_offset")
     tables.replace_table(spark, content, path, schemas.COHORT_LTV, "first_order_month", LTV_ORDER)
 
 
+@cleared
+def refresh_ltv(
+    spark: SparkSession, warehouse: Warehouse, months: Sequence[date], run_at: datetime | None = None,
+    cancelled: Sequence[str] = first_purchase.CANCELLED,
+) -> dict:
+    """Bring the cohort table up to date after the orders of some months were loaded and their new users merged.
+
+    Reads the orders of those months, and of later ones for users who are new in them. Only first months with a buyer in the
+    months are written, which ``first_months`` names. The result is that of ``rebuild_ltv``, as long as first purchases were only
+    merged and the master is the same.
+    """
+    pin_utc(spark)
+    if not months:
+        return {"first_months": []}
+    table = "entry_product_ltv_by_month_offset"
+    rows, touched = cohort_ltv.changed_cohorts(
+        warehouse.read(spark, table), warehouse.read(spark, "user_first_purchase_info"), warehouse.read(spark, "orders"),
+        _names(spark, warehouse), months, cancelled,
+    )
+    content = stage(spark, schemas.conform(_stamped(rows, _now(run_at)), schemas.COHORT_LTV), "cohorts")
+    parts = [str(month) for month in touched]
+    tables.rewrite_partitions(spark, content, warehouse.path(table), schemas.COHORT_LTV, "first_order_month", parts, LTV_ORDER)
+    return {"first_months": parts}
+
+
 @cleared
 def refresh_ltv_names(spark: SparkSession, warehouse: Warehouse, run_at: datetime | None = None) -> dict:
     """Bring the cohort table's names up to the master's; returns the number of rows changed."""
@@ -210,7 +241,7 @@ def refresh_ltv_names(spark: SparkSession, warehouse: Warehouse, run_at: datetim
     )
     stamp = F.when(F.col("name_changed"), F.lit(str(_now(run_at))).cast("timestamp")).otherwise(F.col("updated_at"))
     updated = tables.rewrite_changed(
-        spark, warehouse.path(table), rows.withColumn("updated_at", stamp), "name_changed", "first_order_month", LTV_ORDER
+        spark, warehouse.path(table), rows.withColumn("updated_at", stamp), schemas.COHORT_LTV, "name_changed", "first_order_month", LTV_ORDER
     )
     return {"updated_rows": updated}
 
@@ -295,15 +326,23 @@ def process_span(
     skip_ltv: bool = False,
     searched: DataFrame | None = None,
     quarantine: str | None = None,
+    incremental: bool = False,
+    cancelled: Sequence[str] = first_purchase.CANCELLED,
 ) -> dict:
-    """One month or several: orders and items, then first purchases, then the cohort table."""
+    """One month or several: orders and items, then first purchases, then the cohort table.
+
+    ``incremental`` changes only the cohorts with buyers in the months that were loaded.
+    """
     result = load_span(spark, warehouse, documents, start, end, run_at, searched, quarantine)
     if "note" in result:
         return result
     until = month_start(end) if end == month_start(end) else shift_month(end, 1)
-    _apart(result, "first_purchase_update", lambda: merge_first_purchases(spark, warehouse, start, until, run_at))
-    if not skip_ltv:
-        _apart(result, "ltv_update", lambda: rebuild_ltv(spark, warehouse, run_at))
+    _apart(result, "first_purchase_update", lambda: merge_first_purchases(spark, warehouse, start, until, run_at, cancelled))
+    months = [date.fromisoformat(month) for month in result["changed_months"]]
+    if not skip_ltv and incremental:
+        _apart(result, "ltv_update", lambda: refresh_ltv(spark, warehouse, months, run_at, cancelled))
+    elif not skip_ltv:
+        _apart(result, "ltv_update", lambda: rebuild_ltv(spark, warehouse, run_at, cancelled))
     return result
 
 
@@ -318,6 +357,8 @@ def run(
     master: DataFrame | None = None,
     run_at: datetime | None = None,
     skip_ltv: bool = False,
+    incremental: bool = False,
+    cancelled: Sequence[str] = first_purchase.CANCELLED,
 ) -> dict:
     """A whole run: master sync, then every month of the mode's span in one load."""
     first, last = resolve_span(mode, start, end, now)
@@ -325,7 +366,7 @@ def run(
     iso = iso_instant(first), iso_instant(last)
     summary = {"mode": mode.upper(), "ranges_count": sum(len(months) for months in months_touched(*iso))}
     summary["master_sync"] = sync_master(spark, warehouse, master)
-    summary.update(process_span(spark, warehouse, documents, first, last, run_at, skip_ltv))
+    summary.update(process_span(spark, warehouse, documents, first, last, run_at, skip_ltv, incremental=incremental, cancelled=cancelled))
     return summary
 
 
@@ -335,18 +376,22 @@ def backfill(
     documents: DataFrame,
     span: tuple[datetime, datetime],
     run_at: datetime | None = None,
+    cancelled: Sequence[str] = first_purchase.CANCELLED,
 ) -> dict:
-    """Every month of a span in one load, then first purchases and cohorts over the full history."""
+    """Every month of a span in one load, then first purchases and cohorts over the full history. ``months`` has a row for
+    each month that got orders, and ``ranges_count`` is the number of months in the span."""
     result = load_span(spark, warehouse, documents, month_start(span[0]), span[1], run_at)
-    result["months"] = sum(len(part) for part in months_touched(*result["range"]))
-    result.update(initial_load(spark, warehouse, run_at))
+    result["ranges_count"] = sum(len(part) for part in months_touched(*result["range"]))
+    result.update(initial_load(spark, warehouse, run_at, cancelled))
     return result
 
 
-def initial_load(spark: SparkSession, warehouse: Warehouse, run_at: datetime | None = None) -> dict:
+def initial_load(
+    spark: SparkSession, warehouse: Warehouse, run_at: datetime | None = None, cancelled: Sequence[str] = first_purchase.CANCELLED
+) -> dict:
     """First purchases over all history, then the cohort table. Running it again changes nothing."""
-    users = rebuild_first_purchases(spark, warehouse, run_at)
-    rebuild_ltv(spark, warehouse, run_at)
+    users = rebuild_first_purchases(spark, warehouse, run_at, cancelled)
+    rebuild_ltv(spark, warehouse, run_at, cancelled)
     return {"users": users}
 
 

@@ -76,6 +76,13 @@ _CTE: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+_CTE["listings"] = ((), """
+    SELECT CAST(l_orderkey AS VARCHAR) AS order_number, CAST(date_trunc('week', l_shipdate) AS DATE) AS first_chunk,
+           CAST(l_linenumber AS BIGINT) AS first_page, CAST(0 AS BIGINT) AS first_place
+    FROM lineitem WHERE l_returnflag <> 'R'
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY date_trunc('week', l_shipdate), l_linenumber) = 1""")
+
+
 def _cohort_ctes(first: str, names: str, suffix: str = "") -> dict[str, tuple[tuple[str, ...], str]]:
     """The cohort steps over a first-purchase relation and a name relation."""
     return {
@@ -271,9 +278,12 @@ ORACLE: dict[str, str] = {
         FROM orders
         UNION ALL
         SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y%m%d')), NULL, NULL, 3, p_name FROM lineitem JOIN part ON l_partkey = p_partkey""",
-    "order_numbers_dedup": """
-        SELECT CAST(l_orderkey AS VARCHAR) AS order_number, CAST(min(l_linenumber) AS BIGINT) AS first_page
-        FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_orderkey""",
+    "order_numbers_dedup": _with("""
+        SELECT order_number, CAST(first_chunk AS VARCHAR) AS first_chunk, first_page, first_place FROM listings""", "listings"),
+    "detail_batches": _with("""
+        SELECT order_number, n AS position, CAST(n // 100 AS BIGINT) AS batch
+        FROM (SELECT order_number, row_number() OVER (ORDER BY first_chunk, first_page, first_place, order_number) - 1 AS n
+              FROM listings)""", "listings"),
     "product_master_clean": """
         SELECT DISTINCT p_brand AS manage_number, p_name AS product_name,
                CASE WHEN p_type <> 'PROMO' THEN p_type END AS category_name, CAST(NULL AS VARCHAR) AS brand_name
@@ -284,7 +294,7 @@ ORACLE: dict[str, str] = {
         FROM part""",
     "load_files": """
         SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
-               unnest(['NDJSON', 'CSV', 'CSV with notes']) AS source_format
+               unnest(['NDJSON', 'CSV', 'CSV with notes', 'CSV detected']) AS source_format
         FROM events""",
     "upsert_table": _with("""
         SELECT order_number, CASE WHEN order_status = '900' THEN '950' ELSE order_status END AS order_status, total_price,
@@ -306,6 +316,21 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT 'order_items', order_number, unnest([part, part, 'x' || part]), order_month FROM lines""",
     "job_initial_load": _with(_LTV_SHOWN + "ltv", "ltv"),
+    "job_refresh_cohorts": _with(_LTV_SHOWN + "ltv", "ltv"),
+    "job_merge_month": _with("""
+        SELECT * REPLACE (CAST(first_order_date AS VARCHAR) AS first_order_date, CAST(first_order_month AS VARCHAR) AS first_order_month)
+        FROM first_purchase WHERE first_order_month = DATE '1995-06-01'""", "first_purchase"),
+    "job_dry_run": _with("""
+        , spans(mode, s, e) AS (
+            VALUES ('MONTHLY', TIMESTAMP '1997-02-01', TIMESTAMP '1997-03-01'),
+                   ('HISTORICAL', TIMESTAMP '1995-03-16 12:00:00', TIMESTAMP '1997-03-15 12:00:00'),
+                   ('CUSTOM', TIMESTAMP '1995-01-15', TIMESTAMP '1995-06-10')),
+        cut AS (
+            SELECT mode, m AS a, least(m + INTERVAL 1 MONTH, e) AS b
+            FROM (SELECT mode, e, unnest(generate_series(date_trunc('month', s), e - INTERVAL 1 MICROSECOND, INTERVAL 1 MONTH)) AS m FROM spans))
+        SELECT mode, strftime(a, '%Y-%m-%dT%H:%M:%S') || '+0900' AS range_start, strftime(b, '%Y-%m-%dT%H:%M:%S') || '+0900' AS range_end,
+               CAST(count(DISTINCT order_number) AS BIGINT) AS order_numbers
+        FROM cut LEFT JOIN shop_orders ON placed >= a AND placed < b GROUP BY ALL""", "shop_orders"),
     "job_refresh_names": _with("""
         SELECT l.entry_manage_number, CAST(first_order_month AS VARCHAR) AS first_order_month, month_offset, cohort_users,
                coalesce(n.product_name, entry_item_name) AS entry_item_name,

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom import versions
-
+from orderloom import tabled
 
 TEXT, NUMBER, WHOLE, FLAG = T.StringType(), T.DoubleType(), T.LongType(), T.BooleanType()
 DAY, INSTANT = T.DateType(), T.TimestampType()
@@ -156,19 +155,14 @@ def with_partition(schema: T.StructType, partition: str | None) -> T.StructType:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None) -> DataFrame:
-    return versions.read(spark, path, with_partition(schema, partition), partition)
+    return tabled.read(spark, path).select(*with_partition(schema, partition).names)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None) -> bool:
     """Create an empty table unless one is there; True when it was created."""
-    if versions.parts(spark, path) is not None:
-        return False
-    versions.commit(spark, {path: {versions.NO_MONTH if partition else "": []}})
-    return True
+    return tabled.create(spark, path, with_partition(schema, partition), partition)
 
 
-def declare_table(
-    spark: SparkSession, name: str, path: str, schema: T.StructType, partition: str | None = None
-) -> None:
-    """Name a table's newest version in the session, for SQL."""
-    read_table(spark, path, schema, partition).createOrReplaceTempView(name)
+def declare_table(spark: SparkSession, name: str, path: str) -> None:
+    """A short name for a table in the session's SQL; it always shows the newest content."""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW `{name}` AS SELECT * FROM {tabled.identifier(path)}")

@@ -11,8 +11,6 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom.versions import remove
-
 _LOCAL_ROOTS: list[tempfile.TemporaryDirectory] = []
 _JOBS: list[list[str]] = []  # the scratch folders of the jobs that are running, innermost last
 
@@ -43,6 +41,23 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _files(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it lies."""
+    files, target = _files(spark, path)
+    files.delete(target, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder; none if there is no such folder."""
+    files, target = _files(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()] if files.exists(target) else []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``.
 

@@ -4,26 +4,38 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.functions.calendar import DETAIL_BATCH
+from orderloom.operators.numbering import numbered
 from orderloom.schemas import ORDER_DOCUMENT, ORDER_RESPONSE, SEARCH_RESPONSE
 
 RESPONSE_VERSION = 9
 
 
 def _json(spark: SparkSession, schema, paths: str | list[str], multi_line: bool) -> DataFrame:
-    # FAILFAST: a document that is no JSON, or a list that is none, stops the read
-    reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line)
+    # FAILFAST: a document that is no JSON, or a list that is none, stops the read. Folders are read as they are nested
+    reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line).option("recursiveFileLookup", True)
     return reader.json(paths)
 
 
 def _sources() -> list:
-    """Where a row came from: when its file landed, the file, the block and the line."""
+    """Where a row came from: its landing, the file, the block and the line.
+
+    A landing is named by its folder, never by the time of a file: the files of one landing are written one after the other,
+    and a copied folder has new times. Its rank is the ingest time of the folder, or its year and month, as
+    digits from the year to the second; 0 where the folder says neither.
+    """
     path = F.col("_metadata.file_path")
-    folder = F.concat_ws("-", F.regexp_extract(path, r"year=(\d+)", 1), F.regexp_extract(path, r"month=(\d+)", 1))
+
+    def digits(pattern: str) -> Column:
+        return F.regexp_extract(path, pattern, 1)
+
+    month = F.concat(digits(r"year=(\d{4})(?:/|$)"), F.lpad(digits(r"month=(\d{1,2})/"), 2, "0"))
+    landed = F.coalesce(F.nullif(digits(r"landing=(\d{14})/"), F.lit("")), F.when(F.length(month) == 6, F.rpad(month, 14, "0")), F.lit("0"))
     return [
-        F.struct(folder.alias("folder"), F.col("_metadata.file_modification_time").alias("at")).alias("source_landed"),
+        landed.cast("bigint").alias("source_landed"),
         path.alias("source_file"),
         F.col("_metadata.file_block_start").alias("source_block"),
         F.monotonically_increasing_id().alias("source_line"),
@@ -55,28 +67,41 @@ def read_order_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def first_documents(documents: DataFrame) -> DataFrame:
     """One document per order number: of the newest landing, and in it the first by file, line and position.
 
-    A landing is as new as its folder of year and month, and then as its file. Documents without an order number are all
-    kept for the quality checks to find. Only the places of numbers that come up again are ranked; the documents
-    themselves just lose the copies, and are not sorted.
+    ``documents`` are best staged: they are read for the numbers that come up again, and once more without the copies.
+    Documents without an order number are all kept for the quality checks to find. Copies are found by slim keys. The first place of a number
+    is a minimum that is folded before the shuffle, so a number that holds a third of all documents is no task of its own.
     """
-    places = documents.where("orderNumber IS NOT NULL").select("orderNumber", *SOURCE)
-    again = places.groupBy("orderNumber").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("orderNumber")
-    order = Window.partitionBy("orderNumber").orderBy(F.col("source_landed").desc(), *SOURCE[1:])
-    ranked = places.join(again, "orderNumber").withColumn("place", F.row_number().over(order))
-    copies = ranked.where("place > 1").select("orderNumber", *SOURCE[1:])
+    order = F.struct((-F.col("source_landed")).alias("landed"), *SOURCE[1:])
+    places = documents.where("orderNumber IS NOT NULL").select("orderNumber", order.alias("place"))
+    counts = places.groupBy("orderNumber").agg(F.count(F.lit(1)).alias("copies"))
+    again = places.join(counts.where("copies > 1").select("orderNumber"), "orderNumber")
+    first = again.groupBy("orderNumber").agg(F.min("place").alias("first"))
+    copies = again.join(first, "orderNumber").where("place <> first").select("orderNumber", *[F.col(f"place.{c}").alias(c) for c in SOURCE[1:]])
     return documents.join(copies, ["orderNumber", *SOURCE[1:]], "left_anti").select(*documents.columns)
 
 
-def write_order_documents(documents: DataFrame, path: str, ingested_at: datetime) -> None:
-    """Append orders below ``path``, one response object per line, in folders by ingest year and month (UTC)."""
+def write_order_documents(documents: DataFrame, path: str, ingested_at: datetime, batch: int = 1) -> None:
+    """Append orders below ``path``, one response object per line, in folders by ingest year, month and time (UTC).
+
+    A response holds ``batch`` orders. Orders are numbered without gaps before they are gathered, so that no response grows
+    beyond that, however the orders are dealt out.
+    """
     present = [name for name in ORDER_DOCUMENT.names if name in documents.columns]
-    response = documents.select(
-        F.array(F.struct(*present)).alias("OrderModelList"),
+    order = F.struct(*present)
+    if batch > 1:
+        placed = numbered(documents.select(order.alias("order")), [F.col("order.orderNumber")], "documents-in-order")
+        groups = placed.groupBy(F.floor(F.col("position") / batch).alias("batch"))
+        lists = groups.agg(F.collect_list("order").alias("OrderModelList")).select("OrderModelList")
+    else:
+        lists = documents.select(F.array(order).alias("OrderModelList"))
+    response = lists.select(
+        "OrderModelList",
         F.lit(RESPONSE_VERSION).alias("version"),
         F.lit(f"{ingested_at:%Y}").alias("year"),
         F.lit(f"{ingested_at:%m}").alias("month"),
+        F.lit(f"{ingested_at:%Y%m%d%H%M%S}").alias("landing"),
     )
-    response.write.mode("append").partitionBy("year", "month").json(path)
+    response.write.mode("append").partitionBy("year", "month", "landing").json(path)
 
 
 def write_text(lines: DataFrame, path: str) -> None:
@@ -85,13 +110,27 @@ def write_text(lines: DataFrame, path: str) -> None:
 
 
 def read_search_pages(spark: SparkSession, paths: str | list[str], multi_line: bool = False) -> DataFrame:
-    return _json(spark, SEARCH_RESPONSE, paths, multi_line)
+    """Search pages with ``chunk``, the day that the chunk of time they belong to begins with; it is the folder's
+    (``chunk=2024-07-01``), and null where the folder does not say."""
+    pages = _json(spark, SEARCH_RESPONSE, paths, multi_line)
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"chunk=(\d{4}-\d{2}-\d{2})/", 1)
+    return pages.select(*SEARCH_RESPONSE.names, F.nullif(day, F.lit("")).cast("date").alias("chunk"))
 
 
 def found_order_numbers(pages: DataFrame) -> DataFrame:
-    """Each order number once, with the first page that listed it; a page with a null list adds nothing."""
-    listed = pages.select(
-        F.col("PaginationResponseModel.requestPage").alias("page"),
-        F.explode("orderNumberList").alias("order_number"),
+    """Each order number once, with the place that listed it first: chunk, page and place on the page.
+
+    Pages count from 1 in every chunk, so a page alone says nothing of the order. A page with a null list adds nothing.
+    """
+    listed = pages.select("chunk", F.col("PaginationResponseModel.requestPage").alias("page"), F.posexplode("orderNumberList").alias("place", "order_number"))
+    first = listed.groupBy("order_number").agg(F.min(F.struct("chunk", "page", "place")).alias("first"))
+    return first.select(
+        "order_number", F.col("first.chunk").alias("first_chunk"), F.col("first.page").alias("first_page"), F.col("first.place").cast("bigint").alias("first_place")
     )
-    return listed.groupBy("order_number").agg(F.min("page").alias("first_page"))
+
+
+def detail_batches(found: DataFrame, size: int = DETAIL_BATCH) -> DataFrame:
+    """The numbers of ``found_order_numbers`` in the order of their listing: ``position`` from 0, and the ``batch`` of
+    ``size`` numbers that one detail call fetches. Numbers listed in one place stand by themselves."""
+    order = [F.col(c).asc_nulls_first() for c in ("first_chunk", "first_page", "first_place", "order_number")]
+    return numbered(found, order, "found-in-order").select("order_number", "position", F.floor(F.col("position") / size).alias("batch"))

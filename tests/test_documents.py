@@ -1,10 +1,12 @@
 import json
+import os
 from datetime import date, datetime
 
 import pytest
 
 from orderloom.operators import flatten, quality
 from orderloom.schemas import ORDER_DOCUMENT, ORDER_ITEMS, ORDERS
+from orderloom.session import stage
 from orderloom.sources import documents
 
 # A response as the shop's interface documents it
@@ -181,7 +183,7 @@ def test_round_trip_of_landed_documents(spark, tmp_path):
     path = str(tmp_path / "landed")
     documents.write_order_documents(docs, path, datetime(2024, 7, 3))
     documents.write_order_documents(docs, path, datetime(2024, 8, 3))
-    assert (tmp_path / "landed" / "year=2024" / "month=07").is_dir()
+    assert (tmp_path / "landed" / "year=2024" / "month=07" / "landing=20240703000000").is_dir()
     again = documents.read_order_documents(spark, path)
     want = docs.select(*ORDER_DOCUMENT.names).first()
     assert [r for r in again.select(*ORDER_DOCUMENT.names).collect()] == [want, want]
@@ -201,7 +203,28 @@ def test_search_pages(spark, tmp_path):
         {"orderNumberList": None, "MessageModelList": [{"messageType": "ERROR"}], "PaginationResponseModel": None},
     ]
     found = documents.found_order_numbers(documents.read_search_pages(spark, land(tmp_path, *pages, indent=2), multi_line=True))
-    assert sorted(map(tuple, found.collect())) == [("a", 1), ("b", 1), ("c", 2)]
+    assert sorted(map(tuple, found.collect())) == [("a", None, 1, 0), ("b", None, 1, 1), ("c", None, 2, 1)]
+
+
+def test_listings_over_weekly_chunks_and_batches(spark, tmp_path):
+    """Pages count from 1 in every chunk: the later chunk's first page comes after the earlier one's second."""
+    for day, lists in (("2024-07-08", [["x", "c"], ["d"]]), ("2024-07-01", [["a", "b"], ["c", "a"]])):
+        folder = tmp_path / f"chunk={day}"
+        folder.mkdir()
+        land(folder, *[{"orderNumberList": numbers, "PaginationResponseModel": {"requestPage": k + 1}} for k, numbers in enumerate(lists)])
+    found = documents.found_order_numbers(documents.read_search_pages(spark, str(tmp_path)))
+    batches = documents.detail_batches(found, 2)
+    assert sorted(map(tuple, batches.collect()), key=lambda r: r[1]) == [("a", 0, 0), ("b", 1, 0), ("c", 2, 1), ("x", 3, 1), ("d", 4, 2)]
+
+
+def test_documents_of_a_hundred_orders(spark, tmp_path):
+    orders = spark.range(1005).selectExpr("if(id < 700, 'hot', cast(id as string)) as orderNumber", "cast(id as string) as totalPrice")
+    path = str(tmp_path / "raw")
+    documents.write_order_documents(orders, path, datetime(2024, 7, 3), batch=100)
+    lines = [json.loads(r.value)["OrderModelList"] for r in spark.read.text(path).collect()]
+    assert sorted(map(len, lines)) == [5] + [100] * 10
+    again = documents.read_order_documents(spark, path)
+    assert sorted((r.orderNumber, r.totalPrice) for r in again.collect()) == sorted((r.orderNumber, r.totalPrice) for r in orders.collect())
 
 
 def test_text_sink(spark, tmp_path):
@@ -227,12 +250,33 @@ def test_the_newest_landing_counts_and_in_it_the_first_line(spark, tmp_path):
     assert {r.orderNumber: r.orderProgress for r in kept} == {str(n): "100" if n < 15 else "300" for n in range(20)} and len(kept) == 20
 
 
-def test_ranking_copies_sorts_no_documents(spark, tmp_path):
+def test_copies_are_found_without_windows_and_documents_parsed_once(spark, tmp_path):
     path = str(tmp_path / "raw")
     documents.write_order_documents(spark.createDataFrame([("1",)], "orderNumber string"), path, datetime(2024, 7, 3))
-    plan = documents.first_documents(documents.read_order_documents(spark, path))._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window" in line or "row_number" in line]
-    assert windows and not any("PackageModelList" in line for line in windows)
+    staged = stage(spark, documents.read_order_documents(spark, path), "docs")
+    plan = documents.first_documents(staged)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "row_number" not in plan and "FileScan json" not in plan
+
+
+@pytest.mark.parametrize("times", [(1, 2), (2, 1), (1, 1)])
+def test_file_times_do_not_matter(spark, tmp_path, times):
+    """Of files of one landing the first by name counts, whichever was written or copied later."""
+    for name, price, at in (("a.json", 1, times[0]), ("b.json", 3, times[1])):
+        (tmp_path / name).write_text(json.dumps({"OrderModelList": [{"orderNumber": "a", "totalPrice": price}, {"orderNumber": "a", "totalPrice": price + 1}]}))
+        os.utime(tmp_path / name, (1_700_000_000 + at, 1_700_000_000 + at))
+    kept = documents.first_documents(documents.read_order_documents(spark, str(tmp_path))).collect()
+    assert [r.totalPrice for r in kept] == ["1"]
+
+
+def test_landings_of_one_month_go_by_their_ingest_time(spark, tmp_path):
+    def docs(price):
+        return spark.createDataFrame([(str(n), price) for n in range(30)], "orderNumber string, totalPrice string").repartition(4)
+
+    path = str(tmp_path / "raw")
+    for price, day in (("new", 9), ("old", 3)):  # the newer landing is written first
+        documents.write_order_documents(docs(price), path, datetime(2024, 7, day), batch=7)
+    kept = documents.first_documents(documents.read_order_documents(spark, path)).collect()
+    assert len(kept) == 30 and {r.totalPrice for r in kept} == {"new"}
 
 
 @pytest.mark.parametrize("value, flag", [(True, True), (False, False), (1, True), (0, False), ("2", True), ("", None), (None, None)])

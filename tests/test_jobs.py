@@ -109,7 +109,8 @@ def test_known_users_stay_until_the_full_load(shop):
 def test_backfill_equals_month_by_month(shop):
     span = (datetime(2024, 1, 10), datetime(2024, 3, 1))  # the start snaps back to the month
     result = jobs.backfill(shop.spark, shop.house, shop.docs(JANUARY + FEBRUARY), span, RUN)
-    assert (result["months"], result["users"], result["orders_rows"]) == (2, 3, 5)
+    assert (result["ranges_count"], result["users"], result["orders_rows"]) == (2, 3, 5)
+    assert [(m["month"], m["orders_rows"]) for m in result["months"]] == [("2024-01-01", 3), ("2024-02-01", 2)]
     assert shop.ltv() == LTV
 
 
@@ -233,3 +234,61 @@ def test_a_failed_rebuild_keeps_the_tables(shop, monkeypatch):
         with pytest.raises(Exception, match="gone"):
             job(shop.spark, shop.house, RUN)
     assert (shop.ltv(), shop.rows("user_first_purchase_info", "user_email")) == before
+
+
+MARCH = [
+    order("8", "ann", "2024-03-03T10:00:00+0900", 15, ("m2", "pot", 15)),
+    order("9", "dan", "2024-03-04T10:00:00+0900", 25, ("m2", "pot", 25)),
+]
+
+
+def files_by_month(shop):
+    rows = shop.house.read(shop.spark, "entry_product_ltv_by_month_offset").selectExpr("first_order_month", "_metadata.file_path as file")
+    out = {}
+    for month, file in rows.distinct().collect():
+        out.setdefault(str(month), set()).add(file)
+    return out
+
+
+def test_cohorts_kept_up_to_date_equal_a_rebuild(shop):
+    for month, orders in ((1, JANUARY), (2, FEBRUARY), (3, MARCH)):
+        before = files_by_month(shop)
+        result = shop.month(orders, month, incremental=True)
+        found, touched = shop.ltv(), result["ltv_update"]["first_months"]
+        after = files_by_month(shop)
+        # first months without a buyer in the loaded one keep their files
+        assert all(after[m] == before[m] for m in before if m not in touched)
+        jobs.rebuild_ltv(shop.spark, shop.house, RUN)
+        assert found == shop.ltv()
+    assert touched == ["2024-01-01", "2024-03-01"]  # nobody of February bought in March
+    # a month loaded again with fewer orders, and a month before all others
+    for month, orders in ((2, FEBRUARY[:1]), (3, MARCH[:1])):
+        shop.month(orders, month, incremental=True)
+        found = shop.ltv()
+        jobs.rebuild_ltv(shop.spark, shop.house, RUN)
+        assert found == shop.ltv()
+
+
+def test_months_out_of_order_equal_a_rebuild(shop):
+    """A user of an earlier month that is loaded later has orders in months that did not change."""
+    shop.month([order("20", "eve", "2024-02-05T10:00:00+0900", 9, ("", "no key", 9)) | {"PackageModelList": None}, *FEBRUARY], 2, incremental=True)
+    shop.month([order("21", "eve", "2024-01-05T10:00:00+0900", 5, ("m1", "cup", 5)), *JANUARY], 1, incremental=True)
+    found = shop.ltv()
+    jobs.rebuild_ltv(shop.spark, shop.house, RUN)
+    assert found == shop.ltv() and any(r[2] == date(2024, 1, 1) and r[3] == 1 for r in found)
+
+
+def test_cancelled_statuses_reach_every_job(shop):
+    shop.month(JANUARY, 1, cancelled=("300",))
+    assert shop.rows("user_first_purchase_info", "user_email", "first_order_number") == [("ann", "3")]
+    assert [(r[0], r[6]) for r in shop.ltv()] == [("m2", 30.0)]
+    assert jobs.initial_load(shop.spark, shop.house, RUN, cancelled=("300",)) == {"users": 1}
+    assert [(r[0], r[6]) for r in shop.ltv()] == [("m2", 30.0)]
+
+
+def test_tables_are_read_by_sql(shop):
+    shop.month(JANUARY, 1)
+    sql = f"SELECT count(*) FROM {shop.house.name('orders')} o JOIN {shop.house.name('order_items')} i ON o.order_number = i.order_number"
+    assert shop.spark.sql(sql).first()[0] == 4
+    shop.month(JANUARY[:1], 1)
+    assert shop.spark.sql(sql).first()[0] == 2

@@ -102,3 +102,18 @@ def test_csv_names_from_header(spark, tmp_path):
     (tmp_path / "x.csv").write_text("a;b\n1;x\n2;\n")
     got = files.load_files(spark, str(tmp_path), "CSV", field_delimiter=";")
     assert got.dtypes == [("a", "int"), ("b", "string")] and rows_of(got) == [(1, "x"), (2, None)]
+
+
+def test_csv_detection_below_notes(spark, tmp_path):
+    for i in range(2):
+        (tmp_path / f"{i}.csv").write_text(f'a note; with marks\nmore\n"k;1";at;amount\n{i};2024-07-0{i + 1};1.5\n;;"2"\n')
+    got = files.load_files(spark, str(tmp_path), "CSV", field_delimiter=";", skip_leading_rows=3)
+    assert got.dtypes == [("k;1", "int"), ("at", "date"), ("amount", "double")]
+    assert rows_of(got.selectExpr("`k;1`", "cast(at as string)", "amount")) == sorted(
+        [(0, "2024-07-01", 1.5), (1, "2024-07-02", 1.5), (None, None, 2.0), (None, None, 2.0)], key=str
+    )
+    (tmp_path / "2.csv").write_text("x\ny\nother;names;here\n1;2;3\n")
+    with pytest.raises(ValueError, match="different columns"):
+        files.load_files(spark, str(tmp_path), "CSV", field_delimiter=";", skip_leading_rows=3)
+    with pytest.raises(ValueError, match="no columns"):
+        files.load_files(spark, str(tmp_path), "CSV", field_delimiter=";", skip_leading_rows=30)

@@ -4,7 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom import schemas, versions
+from orderloom import schemas, tabled
 from orderloom.operators import merges, tables
 from orderloom.schemas import INSTANT, NUMBER, TEXT, table
 
@@ -111,10 +111,13 @@ def test_write_if_empty(spark, tmp_path):
 
 
 def test_declared_table(spark, path):
-    schemas.declare_table(spark, "facts_declared", path, FACTS, "order_month")
-    schemas.declare_table(spark, "facts_declared", path, FACTS, "order_month")
+    schemas.declare_table(spark, "facts_declared", path)
+    schemas.declare_table(spark, "facts_declared", path)
     try:
         assert spark.table("facts_declared").where("order_month = date'2024-03-01'").count() == 2
+        replace(spark, path, [("new", "2024-02-10T00:00:00Z", 9.0)], FEBRUARY)
+        for name in ("facts_declared", tabled.identifier(path)):  # SQL reads the newest content
+            assert spark.sql(f"SELECT order_number FROM {name} WHERE order_month = date'2024-02-01'").collect() == [("new",)]
     finally:
         spark.catalog.dropTempView("facts_declared")
 
@@ -192,7 +195,7 @@ def test_a_failed_write_changes_nothing(spark, path):
             attempt()
         assert content(spark, path) == START
     tables.load(spark, facts(spark, rows[:1]), path, FACTS, "WRITE_TRUNCATE", **args)
-    assert versions.purge(spark, path) >= 1 and versions.purge(spark, path) == 0
+    assert tabled.purge(spark, path, "order_month") >= 1 and tabled.purge(spark, path, "order_month") == 0
     assert content(spark, path) == [("x", 9.0, "2024-02-01")]
 
 
@@ -224,5 +227,51 @@ def test_an_upsert_leaves_other_months_files(spark, path):
     tables.upsert(spark, path, FACTS, source, ["order_number"], "order_month", "order_datetime")
     assert content(spark, path) == sorted([("feb", 20.0, "2024-02-01"), ("new", 1.0, "2024-03-01")] + [r for r in START if r[0] != "feb"])
     assert before <= files_of(path)
-    held = versions.parts(spark, path)
-    assert len(held["2024-03-01"]) == 2 and held["2024-01-01"][0] in held["2024-03-01"]
+
+    def of(month):
+        return {f.rpartition("/")[2] for f in schemas.read_table(spark, path, FACTS, "order_month").where(f"order_month = date'{month}'").inputFiles()}
+
+    old = {f.rpartition("/")[2] for f in before}
+    assert of("2024-01-01") <= old and len(of("2024-03-01") & old) == 1 and len(of("2024-03-01") - old) == 1
+    assert not of("2024-02-01") & old
+
+
+def test_replaced_keys(spark, path):
+    rows = facts(spark, [("feb", "2024-04-05T00:00:00Z", 20.0), ("feb", "2024-03-05T00:00:00Z", 21.0), ("new", "2024-03-05T00:00:00Z", 1.0)])
+    numbers = rows.select("order_number").unionByName(spark.createDataFrame([("jan",)], "order_number string"))
+    for _ in range(2):
+        tables.replace_keys(spark, {path: (FACTS, rows)}, numbers, ["order_number"], "order_datetime")
+        assert content(spark, path) == sorted([
+            ("feb", 20.0, "2024-04-01"), ("feb", 21.0, "2024-03-01"), ("new", 1.0, "2024-03-01"), *[r for r in START if r[0] not in ("jan", "feb")],
+        ])
+
+
+def test_incoming_rows_are_computed_once(spark, path):
+    """The input of a replacement is expensive: it is written first, and the months are taken from the folder."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = facts(spark, [("in", "2024-02-10T00:00:00Z", 9.0), ("stray", "2024-03-02T00:00:00Z", 8.0)])
+    rows = rows.mapInArrow(counted, rows.schema)
+    tables.replace_range(spark, path, FACTS, rows, "order_datetime", *FEBRUARY)
+    assert seen.value == 2 and {"in", "stray", "mar", "late", "jan"} == {r[0] for r in content(spark, path)}
+
+
+def test_a_range_of_one_product_reads_few_row_groups(spark, tmp_path):
+    """Rows sorted by product within range-partitioned files let Parquet skip by statistics."""
+    import pyarrow.parquet as pq
+
+    path, schema = str(tmp_path / "ltv"), table(entry_manage_number=TEXT, month_offset=schemas.WHOLE)
+    rows = spark.range(40_000).select(
+        F.format_string("m%04d", F.col("id") % 2000).alias("entry_manage_number"), (F.col("id") % 20).alias("month_offset"),
+        F.lit("2024-01-01").cast("date").alias("first_order_month"),
+    )
+    tables.replace_table(spark, rows, path, schema, "first_order_month", ["entry_manage_number", "month_offset"], cluster=4)
+    files = [pq.ParquetFile(f) for f in files_of(path)]
+    assert len(files) == 4
+    stats = [f.metadata.row_group(g).column(0).statistics for f in files for g in range(f.num_row_groups)]
+    assert sum(s.min <= "m0777" <= s.max for s in stats) == 1

@@ -8,10 +8,12 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import wraps
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: list[tempfile.TemporaryDirectory] = []
+_STAGED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 _JOBS: list[list[str]] = []  # the scratch folders of the jobs that are running, innermost last
 
 
@@ -104,4 +106,11 @@ def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    _STAGED[staged] = path
+    return staged
+
+
+def drop_stage(staged: DataFrame) -> None:
+    """Delete the folder of a staged frame before its job ends. Nothing may read it any more."""
+    remove(staged.sparkSession, _STAGED.pop(staged))

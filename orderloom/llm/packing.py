@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,8 @@ from orderloom.session import stage
 
 WINDOW = 2048
 END_ID = 1
-# words whose ids a Python worker remembers; beyond that it starts anew
-KNOWN_WORDS = 2_000_000
+# words whose ids a Python worker remembers over its tasks; beyond that it starts anew
+KNOWN_WORDS = 1_000_000
 WORDS_A_CALL = 2000
 ROWS_A_STEP = 200
 # letters or digits, and then signs to the end; an apostrophe may belong to letters, and is left with them
@@ -55,6 +57,12 @@ def _byte_letters() -> dict[int, str]:
 _BYTE_LETTERS = _byte_letters()
 
 
+@lru_cache(maxsize=100_000)
+def _stays_a_letter(sign: str) -> bool:
+    """Whether a letter or digit ends in one after lower case and composition; else the tokenizer joins it with what follows."""
+    return unicodedata.normalize("NFC", sign.lower())[-1].isalnum()
+
+
 def _is_latin(word: str) -> bool:
     """Letters only, of those whose lower case and composition need no context."""
     return word.isalpha() and max(word) < "\u0250" and "\u0130" not in word
@@ -80,7 +88,7 @@ class WordIds:
         """Words that end in signs are their core and the signs, since the tokenizer cuts there and drops the case."""
         made, parts = {}, set()
         for word in words:
-            if match := _CORE_AND_SIGNS.match(word):
+            if (match := _CORE_AND_SIGNS.match(word)) and _stays_a_letter(match[1][-1]):
                 core, signs = match.groups()
             else:
                 core, signs = word, ""
@@ -135,6 +143,12 @@ class WordIds:
         return ids[ranges(firsts[codes], lengths)], ends[offsets - offsets[0]]
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """The tokenizer of a Python worker, with the words that its earlier tasks have met."""
+    return WordIds(path)
+
+
 def token_pieces(
     docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False
 ) -> DataFrame:
@@ -148,7 +162,7 @@ def token_pieces(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordIds(tokenizer_path)
+        encoder = word_ids(tokenizer_path)
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS_A_STEP):
                 part = batch.slice(first, ROWS_A_STEP)

@@ -65,26 +65,50 @@ AGAINST = r"(?i)(?:sha[0-9]*|md5|commit|hash|checksum|isbn|version|https?:/[^ ]*
 LABELERS = ("strict", "gazetteer", "context", "against")
 BEFORE = 32  # code points before a candidate that labelers see
 
-SPAN = "struct<at:int,spans:array<struct<start:int,end:int,body:string>>>"
+SUMMED = 64  # numbers that are summed up one by one; longer lists are cut into lists of so many
+
+
+def _sums_one_by_one(numbers: Column) -> Column:
+    def step(done: Column, number: Column) -> Column:
+        return F.concat(done, F.array(F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0)) + number))
+
+    return F.aggregate(numbers, F.from_json(F.lit("[]"), "array<int>"), step)
+
+
+def running_sums(numbers: Column, depth: int = 3) -> Column:
+    """The running sums of a list, in time that grows with its length: sums inside short lists, and running sums of their
+    totals on top, ``depth`` times over."""
+    if not depth:
+        return _sums_one_by_one(numbers)
+    cuts = F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / SUMMED).cast("int"))
+    inner = F.transform(cuts, lambda k: _sums_one_by_one(F.slice(numbers, k * SUMMED + 1, F.lit(SUMMED))))
+
+    def on_top(lists: Column) -> Column:
+        above = running_sums(F.transform(lists, lambda sums: F.element_at(sums, -1)), depth - 1)
+        raised = F.zip_with(lists, above, lambda sums, total: F.transform(sums, lambda x: x + total - F.element_at(sums, -1)))
+        return F.flatten(raised)
+
+    # the lists are an element of a list, so that they are made once however often they are used
+    long = F.element_at(F.transform(F.array(inner), on_top), 1)
+    return F.when(F.size(numbers) <= SUMMED, _sums_one_by_one(numbers)).otherwise(long)
 
 
 def located(text: Column, pattern: str) -> Column:
     """The leftmost non-overlapping matches of a pattern as (start, end, body), in code points.
 
-    A regular expression function tells matches or what lies between them, and both together tell the places.
+    A regular expression function tells matches or what lies between them, and both together tell the places: a match
+    ends where all matches and gaps up to it end.
     """
     bodies = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(bodies, F.slice(gaps, F.lit(1), F.size(bodies)), lambda m, g: F.struct(m.alias("m"), F.char_length(g).alias("g")))
 
-    def step(done: Column, pair: Column) -> Column:
-        start = done["at"] + pair["g"]
-        end = start + F.char_length(pair["m"])
-        span = F.struct(start.alias("start"), end.alias("end"), pair["m"].alias("body"))
-        return F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
+    def placed(found: Column) -> Column:
+        steps = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.char_length(m) + F.char_length(g))
+        return F.zip_with(
+            running_sums(steps), found, lambda end, m: F.struct((end - F.char_length(m)).alias("start"), end.alias("end"), m.alias("body"))
+        )
 
-    empty = F.from_json(F.lit('{"at":0,"spans":[]}'), SPAN)
-    return F.aggregate(pairs, empty, step)["spans"]
+    return F.element_at(F.transform(F.array(bodies), placed), 1)
 
 
 def _luhn(digits: Column) -> Column:

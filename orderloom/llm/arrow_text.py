@@ -11,17 +11,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 BLOCK_BYTES = 1 << 20
-# The multipliers of the splitmix64 finaliser, and an odd base for polynomial hashes
+# spans up to so many bytes are hashed side by side, longer ones each on their own
+SHORT_SPAN = 64
+# The multipliers of the splitmix64 finaliser, and an odd base for sequences of hashes
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLDEN = 0x9E3779B97F4A7C15
 _BASE = 0x5851F42D4C957F2D
 _U64 = (1 << 64) - 1
 
-_powers: list[np.ndarray] = []
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit values that spreads every input bit over the output."""
     values = values ^ (values >> np.uint64(30))
@@ -32,44 +32,49 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 _BYTE_CODES = mix((np.arange(1, 257, dtype=np.uint64)) * np.uint64(_GOLDEN))
+# the first n of eight bytes, by n
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, for at least ``n`` positions."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        with np.errstate(over="ignore"):
-            tables = []
-            for factor in (_BASE, pow(_BASE, -1, 1 << 64)):
-                steps = np.full(size, factor, dtype=np.uint64)
-                steps[0] = 1
-                tables.append(np.cumprod(steps, dtype=np.uint64))
-        _powers[:] = tables
-    return _powers[0], _powers[1]
-
-
 class Block:
     """Some consecutive rows as one byte array: row ``i`` is ``data[offsets[i]:offsets[i + 1]]``."""
 
     def __init__(self, first_row: int, data: np.ndarray, offsets: np.ndarray):
         self.first_row, self.data, self.offsets = first_row, data, offsets
         self.rows = len(offsets) - 1
-        self._sums: np.ndarray | None = None
+        self._eights: np.ndarray | None = None
 
     def text(self, row: int) -> bytes:
         return self.data[self.offsets[row] : self.offsets[row + 1]].tobytes()
 
     def span_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """64-bit hashes of byte spans, equal for equal bytes wherever they stand."""
-        powers, inverse = _power_tables(len(self.data) + 1)
-        if self._sums is None:
-            self._sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-            np.cumsum(_BYTE_CODES[self.data] * powers[: len(self.data)], out=self._sums[1:])
-        return mix((self._sums[ends] - self._sums[starts]) * inverse[starts])
+        """64-bit hashes of byte spans, equal for equal bytes wherever they stand.
+
+        Eight bytes at a time go into two sums, which are stirred in different ways and joined at the end, so that no
+        pattern of the bytes makes two spans equal, as it does for polynomials modulo a power of two.
+        """
+        if self._eights is None:
+            padded = np.concatenate((self.data, np.zeros(8, np.uint8)))
+            self._eights = np.ndarray(len(self.data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+        sizes = ends - starts
+        one = mix(sizes.astype(np.uint64) + np.uint64(_GOLDEN))
+        two = mix(one + np.uint64(_GOLDEN))
+        left = np.flatnonzero((sizes > 0) & (sizes <= SHORT_SPAN))
+        for done in range(0, SHORT_SPAN, 8):
+            left = left[sizes[left] > done]
+            if not len(left):
+                break
+            eight = self._eights[starts[left] + done] & _FIRST_BYTES[np.minimum(sizes[left] - done, 8)]
+            one[left] = mix(one[left] ^ eight)
+            two[left] = mix(two[left] * _MIX_1 + eight)
+        for k in np.flatnonzero(sizes > SHORT_SPAN).tolist():
+            whole = self.data[starts[k] : ends[k]].tobytes()
+            one[k], two[k] = xxhash.xxh3_64_intdigest(whole), xxhash.xxh64_intdigest(whole)
+        return mix(one ^ ((two << np.uint64(29)) | (two >> np.uint64(35))))
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts and ends of the words (runs without white space), and the first word of each row."""

@@ -30,7 +30,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.arrow_text import _BYTE_CODES, Block, _power_tables, blocks, mix, ranges
+from orderloom.llm.arrow_text import _BASE, _BYTE_CODES, BLOCK_BYTES, Block, blocks, mix, ranges
 from orderloom.session import stage
 
 HOT_SEGMENTS = 20_000
@@ -63,8 +63,29 @@ class Units:
         return block.span_hash(starts, ends) if self.words else _BYTE_CODES[block.data]
 
 
+_powers: list[np.ndarray] = []
+
+
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, for at least ``n`` positions."""
+    if not _powers or len(_powers[0]) < n:
+        size = max(n, BLOCK_BYTES + 1)
+        with np.errstate(over="ignore"):
+            tables = []
+            for factor in (_BASE, pow(_BASE, -1, 1 << 64)):
+                steps = np.full(size, factor, dtype=np.uint64)
+                steps[0] = 1
+                tables.append(np.cumprod(steps, dtype=np.uint64))
+        _powers[:] = tables
+    return _powers[0], _powers[1]
+
+
 class Spans:
-    """Hashes of spans of units, equal for equal units wherever they stand."""
+    """Hashes of spans of units, equal for equal units wherever they stand.
+
+    They are polynomials modulo 2^64, under which a pattern of two units and its swapped copy are equal from 1024 units
+    on. The spans hashed here are runs of windows round one anchor, which have less than two windows' units.
+    """
 
     def __init__(self, codes: np.ndarray):
         powers, self.inverse = _power_tables(len(codes) + 1)

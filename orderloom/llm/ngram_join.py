@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from orderloom.llm.arrow_text import Block, blocks, mix, ranges, sequence_hash
 from orderloom.llm.components import components
 from orderloom.llm.rows import without
-from orderloom.session import stage
+from orderloom.session import drop_stage, stage
 
 SHINGLE = 5
 PERCENT = 80
@@ -189,7 +189,10 @@ def shared_postings(signed: DataFrame) -> DataFrame:
     postings = signed.where("prefix IS NOT NULL").select("node", "n", F.posexplode("prefix").alias("place", "key"))
     lists = postings.groupBy("key").agg(F.min("node").alias("_first"), F.max("node").alias("_last"), F.count(F.lit(1)).alias("holders"))
     shared = postings.join(lists.where("_first < _last").select("key", "holders"), "key")
-    return stage(signed.sparkSession, shared, "postings-of-tasks").distinct()
+    held = stage(signed.sparkSession, shared, "postings-of-tasks")
+    made = stage(signed.sparkSession, held.distinct(), "shared-postings")
+    drop_stage(held)
+    return made
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -236,7 +239,9 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int)
 
     for side in "ab":
         likely = likely.join(sets.select(F.col("node").alias(side), F.col("hashes").alias(f"hashes_{side}")), side)
-    return stage(spark, likely.mapInArrow(exact, "a long, b long"), "links")
+    links = stage(spark, likely.mapInArrow(exact, "a long, b long"), "links")
+    drop_stage(sets)
+    return links
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -252,7 +257,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     firsts = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
     marks = signed.where("bitmap IS NOT NULL").select("node", "bitmap").dropDuplicates(["node"])
     nodes = stage(spark, firsts.join(marks, "node"), "nodes")
-    postings = stage(spark, shared_postings(signed), "shared-postings")
+    postings = shared_postings(signed)
+    # from here on documents need their node alone
+    named_nodes = stage(spark, signed.select("doc_id", "node", "n"), "document-nodes")
+    drop_stage(signed)
 
     weights = postings.groupBy("node").agg(F.sum("holders").alias("weight"))
     weighted = postings.select("key", "node").join(weights, "node")
@@ -280,12 +288,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     pairs = one.join(two, fitting).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     links = links.unionByName(verified(pairs, nodes, docs, percent))
+    for done in (postings, open_lists):
+        drop_stage(done)
 
     joined = components(links).withColumnRenamed("component", "_component")
     grouped = nodes.select("node", "doc_id").join(joined, "node", "left").withColumn("_component", F.coalesce("_component", "node"))
     smallest = grouped.groupBy("_component").agg(F.min("doc_id").alias("component_id"))
     named = grouped.join(smallest, "_component").select("node", "component_id")
-    return signed.join(named, "node", "left").select(
+    return named_nodes.join(named, "node", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),

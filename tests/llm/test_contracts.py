@@ -159,8 +159,61 @@ def test_personal_data_in_long_runs(spark):
     """Texts on which naive patterns take quadratic time or exhaust the stack."""
     texts = ["a" * 200_000 + "@", "1" * 200_000, "1." * 100_000, "+1 " * 50_000, "1 " * 100_000, "a@b" + ".c" * 100_000]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pii.find_personal_data(docs).collect()
+    # known without a naive pattern, which takes minutes: 25,000 addresses of four ones, and one mail address
+    places = {2: [f"ip:{8 * k}:{8 * k + 7}" for k in range(25_000)], 5: ["email:0:200003"]}
+    expected = {k: (int(k == 5), 25_000 * int(k == 2), 0, 0, hashlib.sha256(",".join(places.get(k, [])).encode()).hexdigest()) for k in range(len(texts))}
+    assert by_id(rows, "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == expected
+
+
+def test_many_mails_in_one_text(spark):
+    text = "".join(f"user{k}@host{k % 7}.example.org ß😀 " for k in range(16_000))
+    docs = spark.createDataFrame([(1, text), (2, text[:2000]), (3, "no mail")], "doc_id long, text string")
     found = by_id(pii.find_personal_data(docs).collect(), "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
-    assert found == {k: brute.base_spans(t)[0] for k, t in enumerate(texts) if k} | {0: brute.base_spans("")[0]}
+    assert found == {d: brute.base_spans(t)[0] for d, t in ((1, text), (2, text[:2000]), (3, "no mail"))} and found[1][0] == 16_000
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 4096, 4097, 5000])
+def test_running_sums(spark, n):
+    from pyspark.sql import functions as F
+
+    row = spark.range(1).select(pii.running_sums(F.transform(F.slice(F.sequence(F.lit(1), F.lit(max(n, 1))), 1, n), lambda x: x.cast("int"))).alias("s")).first()
+    assert row.s == np.cumsum(np.arange(1, n + 1)).tolist()
+
+
+def thue_morse(letters, doublings=10):
+    """A word and the same with its two letters swapped: equal under any polynomial hash modulo 2^64."""
+    one, two = letters
+    for _ in range(doublings):
+        one, two = one + two, two + one
+    return one, two
+
+
+def test_words_of_a_pattern_are_told_apart(spark):
+    words = list(thue_morse("ab")) + list(thue_morse(("ab", "ba"), 11)) + [w[:64] for w in thue_morse("ab")] + [w[:40] for w in thue_morse("ab")]
+    docs = [(k, f"{w} " + " ".join(f"w{i}" for i in range(3))) for k, w in enumerate(words)]
+    docs += [(100 + k, f"{w} " + " ".join(f"v{i}" for i in range(12))) for k, w in enumerate(words)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    assert by_id(ngram_join.near_duplicates(rows).collect(), "n_shingles", "component_id") == brute.near_duplicates(docs)
+    assert by_id(phrase_dedup.remove_repeated_phrases(rows).collect(), "n_words", "n_removed", "kept_sha256") == brute.repeated_phrases(docs)
+    one, two = thue_morse("ab")
+    items = spark.createDataFrame([(1, one), (2, LINE)], "item_id long, text string")
+    leaks = decontamination.benchmark_leaks(spark.createDataFrame([(1, one), (2, two)], "doc_id long, text string"), items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in leaks} == {(1, 1)}
+
+
+def test_ids_of_words_whose_letters_end_in_marks():
+    """Every code point before signs, as it is and after a letter, against the tokenizer itself."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder = Tokenizer.from_file(TOKENIZER), packing.WordIds(TOKENIZER)
+    points = [c for c in map(chr, range(0x21, 0x30000)) if not 0xD800 <= ord(c) < 0xE000]
+    texts = ["BİRLİĞİ, TBMM'nin TEKLİFİ. EĞİTİMİ:"]
+    texts += [" ".join(f"{c}{signs} a{c}{signs} {c.upper()}{c}{signs}x" for c in points[k : k + 500]) for k in range(0, len(points), 500) for signs in (",", ".)")]
+    ids, firsts = encoder.encode(pa.array(texts))
+    for k, text in enumerate(texts):
+        assert ids[firsts[k] : firsts[k + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, k
 
 
 def test_results_equal_sql(spark):

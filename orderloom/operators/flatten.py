@@ -113,8 +113,8 @@ def normalize_order_items(
 
 
 def normalize_all(documents: DataFrame, inserted_at: datetime | str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Both frames with one ingest time."""
-    return normalize_orders(documents, inserted_at), normalize_order_items(documents, inserted_at)
+    """Both frames with one ingest time; items carry the time of their order."""
+    return normalize_orders(documents, inserted_at), normalize_order_items(documents, inserted_at, with_order_datetime=True)
 
 
 def attach_order_datetime(items: DataFrame, orders: DataFrame) -> DataFrame:

@@ -21,13 +21,6 @@ def delete_between(rows: DataFrame, ts_column: str, start_iso: str, end_iso: str
     return rows.where(~F.coalesce(in_range(ts_column, start_iso, end_iso), F.lit(False)))
 
 
-def replace_range(
-    rows: DataFrame, incoming: DataFrame, ts_column: str, start_iso: str, end_iso: str
-) -> DataFrame:
-    """``rows`` without those of ``[start, end)``, and all of ``incoming``."""
-    return delete_between(rows, ts_column, start_iso, end_iso).unionByName(incoming, allowMissingColumns=True)
-
-
 def _all(conditions: list[Column]) -> Column:
     return reduce(lambda left, right: left & right, conditions)
 

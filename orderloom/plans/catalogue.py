@@ -21,6 +21,7 @@ from orderloom.plans import given_tables as given
 from orderloom.plans import jobs
 from orderloom.session import pin_utc, scratch_path, stage
 from orderloom.sources import documents, files, master_files
+from orderloom.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -424,6 +425,19 @@ def job_refresh_cohorts(spark, sf):
     return _cohorts(spark, house)
 
 
+@query
+def job_follow_landings(spark, sf):
+    """Documents that land in two steps, responses of a hundred orders, brought into the tables by a stream after each."""
+    raw, checkpoint, house = scratch_path(spark, "raw"), scratch_path(spark, "checkpoint"), jobs.Warehouse(scratch_path(spark, "house"))
+    house.create(spark)
+    headers = given.header_documents(spark, sf)
+    steps = (headers.withColumn("orderProgress", F.lit("100")), INGESTED_AT), (headers.where("orderProgress <> '300'"), datetime(2024, 3, 1))
+    for rows, day in steps:
+        documents.write_order_documents(rows, raw, day, DETAIL_BATCH)
+        landing.follow_landings(spark, house, raw, checkpoint, run_at=INGESTED_AT).awaitTermination()
+    return house.read(spark, "orders").select("order_number", "order_status", "total_price", "order_month")
+
+
 @query
 def job_merge_month(spark, sf):
     """First purchases of one month, merged into a table that knows nobody, and merged again."""

@@ -317,6 +317,10 @@ ORACLE: dict[str, str] = {
         SELECT 'order_items', order_number, unnest([part, part, 'x' || part]), order_month FROM lines""",
     "job_initial_load": _with(_LTV_SHOWN + "ltv", "ltv"),
     "job_refresh_cohorts": _with(_LTV_SHOWN + "ltv", "ltv"),
+    "job_follow_landings": _with("""
+        SELECT order_number, CASE WHEN order_status = '300' THEN '100' ELSE order_status END AS order_status, total_price,
+               CAST(CAST(date_trunc('month', placed) AS DATE) AS VARCHAR) AS order_month
+        FROM shop_orders""", "shop_orders"),
     "job_merge_month": _with("""
         SELECT * REPLACE (CAST(first_order_date AS VARCHAR) AS first_order_date, CAST(first_order_month AS VARCHAR) AS first_order_month)
         FROM first_purchase WHERE first_order_month = DATE '1995-06-01'""", "first_purchase"),

@@ -14,14 +14,22 @@ from orderloom.schemas import ORDER_DOCUMENT, ORDER_RESPONSE, SEARCH_RESPONSE
 RESPONSE_VERSION = 9
 
 
-def _json(spark: SparkSession, schema, paths: str | list[str], multi_line: bool) -> DataFrame:
+def _options(reader, multi_line: bool = False):
     # FAILFAST: a document that is no JSON, or a list that is none, stops the read. Folders are read as they are nested
-    reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi_line).option("recursiveFileLookup", True)
-    return reader.json(paths)
+    return reader.option("mode", "FAILFAST").option("multiLine", multi_line).option("recursiveFileLookup", True)
+
+
+def _json(spark: SparkSession, schema, paths: str | list[str], multi_line: bool) -> DataFrame:
+    return _options(spark.read.schema(schema), multi_line).json(paths)
 
 
-def _sources() -> list:
-    """Where a row came from: its landing, the file, the block and the line.
+def response_reader(reader):
+    """A reader, of a folder or of a stream, for response objects, one per line."""
+    return _options(reader.schema(ORDER_RESPONSE))
+
+
+def _sources(monotonic: bool = True) -> list:
+    """Where a row came from: its landing, the file, the block and the line (which a stream has to number later).
 
     A landing is named by its folder, never by the time of a file: the files of one landing are written one after the other,
     and a copied folder has new times. Its rank is the ingest time of the folder, or its year and month, as
@@ -38,7 +46,7 @@ def _sources() -> list:
         landed.cast("bigint").alias("source_landed"),
         path.alias("source_file"),
         F.col("_metadata.file_block_start").alias("source_block"),
-        F.monotonically_increasing_id().alias("source_line"),
+        (F.monotonically_increasing_id() if monotonic else F.lit(None).cast("bigint")).alias("source_line"),
     ]
 
 
@@ -53,8 +61,13 @@ def read_order_documents(
     ``multi_line`` reads one pretty-printed object per file; without it there is one object per line
     and a large file is split over many tasks. The ``source_`` columns say where an order came from.
     """
-    responses = _json(spark, ORDER_RESPONSE, paths, multi_line).select("OrderModelList", *_sources())
-    orders = responses.select(*SOURCE[:-1], F.posexplode("OrderModelList").alias("source_position", "doc"))
+    return landed_orders(_json(spark, ORDER_RESPONSE, paths, multi_line))
+
+
+def landed_orders(responses: DataFrame, monotonic: bool = True) -> DataFrame:
+    """One row per order of the responses, with its source."""
+    listed = responses.select("OrderModelList", *_sources(monotonic))
+    orders = listed.select(*SOURCE[:-1], F.posexplode("OrderModelList").alias("source_position", "doc"))
     return orders.select("doc.*", *SOURCE)
 
 

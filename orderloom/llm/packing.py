@@ -9,7 +9,6 @@ length from a distributed count, look their place up in the plan, and never meet
 
 from __future__ import annotations
 
-import re
 import struct
 import unicodedata
 import zlib
@@ -34,7 +33,9 @@ KNOWN_WORDS = 1_000_000
 WORDS_A_CALL = 2000
 ROWS_A_STEP = 200
 # letters or digits, and then signs to the end; an apostrophe may belong to letters, and is left with them
-_CORE_AND_SIGNS = re.compile(r"([^\W_]+)([!-&(-/:-@\[-`{-~]+)\Z")
+_CORE_AND_SIGNS = r"^(?P<core>[\pL\pN]+)(?P<signs>[!-&(-/:-@\[-`{-~]+)$"
+# letters only, of those whose lower case and composition need no context: below U+0250, without U+0130
+_LATIN = r"^[A-Za-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]+$"
 
 PIECES = T.StructType(
     [
@@ -84,22 +85,16 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
 
-    def learn(self, words: list[str]) -> None:
-        """Words that end in signs are their core and the signs, since the tokenizer cuts there and drops the case."""
-        made, parts = {}, set()
-        for word in words:
-            if (match := _CORE_AND_SIGNS.match(word)) and _stays_a_letter(match[1][-1]):
-                core, signs = match.groups()
-            else:
-                core, signs = word, ""
-            if _is_latin(core):
-                core = core.lower()
-            if core != word:
-                made[word] = core, signs
-            parts.update((core, signs))
-        self.tokenise(sorted(parts - self.known.keys()))
-        for word, (core, signs) in made.items():
-            self.known[word] = self.known[core] + self.known[signs]
+    def cut(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Words as their cores and the signs behind them, since the tokenizer cuts there and drops the case; where it does
+        not, the core is the whole word."""
+        found = pc.extract_regex(words, _CORE_AND_SIGNS)
+        cores, signs = found.field("core"), found.field("signs")
+        last = pc.utf8_slice_codeunits(cores, -1).dictionary_encode()
+        stay = pa.array([bool(c) and _stays_a_letter(c) for c in last.dictionary.to_pylist()] or [False], pa.bool_())
+        apart = pc.and_(found.is_valid(), pc.fill_null(stay.take(pc.fill_null(last.indices, 0)), False))
+        cores, signs = pc.if_else(apart, cores, words), pc.if_else(apart, signs, "")
+        return pc.if_else(pc.match_substring_regex(cores, _LATIN), pc.utf8_lower(cores), cores), signs
 
     def tokenise(self, words: list[str]) -> None:
         """Latin letters in lower case go to the tokenizer's model as they are, without its normaliser and splitter."""
@@ -126,21 +121,24 @@ class WordIds:
         """The ids of some texts one after another, and the place of each text's first one."""
         split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
-        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        parts = pa.concat_arrays(list(self.cut(coded.dictionary.cast(pa.large_string())))).dictionary_encode()
+        words, part = parts.dictionary.to_pylist(), parts.indices.to_numpy()
         known = self.known
         if new := [w for w in words if w not in known]:
             if len(known) + len(new) > KNOWN_WORDS:  # what this call needs must be known at its end
                 self.known, new = {"": b""}, words
-            self.learn(new)
+            self.tokenise(new)
             known = self.known
         bodies = [known[w] for w in words]
-        sizes = np.array([len(b) for b in bodies], dtype=np.int64) // 4
+        sizes = np.fromiter(map(len, bodies), dtype=np.int64, count=len(bodies)) // 4
         firsts = np.cumsum(sizes) - sizes
         ids = np.frombuffer(b"".join(bodies), dtype="<u4")
-        lengths = sizes[codes]
+        # a word is its core and its signs, side by side
+        pairs = part.reshape(2, -1).T[coded.indices.to_numpy()].ravel()
+        lengths = sizes[pairs]
         ends = np.concatenate(([0], np.cumsum(lengths)))
         offsets = split.offsets.to_numpy()
-        return ids[ranges(firsts[codes], lengths)], ends[offsets - offsets[0]]
+        return ids[ranges(firsts[pairs], lengths)], ends[2 * (offsets - offsets[0])]
 
 
 @lru_cache(maxsize=1)

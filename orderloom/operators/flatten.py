@@ -112,9 +112,12 @@ def normalize_order_items(
     return item_entries(documents).select(*columns)
 
 
-def normalize_all(documents: DataFrame, inserted_at: datetime | str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Both frames with one ingest time; items carry the time of their order."""
-    return normalize_orders(documents, inserted_at), normalize_order_items(documents, inserted_at, with_order_datetime=True)
+def normalize_all(
+    documents: DataFrame, inserted_at: datetime | str | None = None, with_order_datetime: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Both frames with one ingest time."""
+    items = normalize_order_items(documents, inserted_at, with_order_datetime=with_order_datetime)
+    return normalize_orders(documents, inserted_at), items
 
 
 def attach_order_datetime(items: DataFrame, orders: DataFrame) -> DataFrame:

@@ -118,7 +118,7 @@ def load_span(
     if summary["orders_rows"] == 0:
         return {**summary, "note": "no_orders_skip"}
 
-    orders, items = flatten.normalize_all(staged, run_at)
+    orders, items = flatten.normalize_all(staged, run_at, with_order_datetime=True)
     summary["months"] = _month_rows(orders, items)
     summary["changed_months"] = tables.replace_ranges(
         spark,

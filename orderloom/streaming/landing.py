@@ -43,7 +43,7 @@ def apply_batch(
             # a folder of its own for every batch, so that a batch that comes again writes the same
             bad.write.mode("overwrite").json(f"{quarantine}/{stream}-batch={batch}")
         fit = stage(spark, fit, "fit")
-        orders, items = flatten.normalize_all(fit, run_at)
+        orders, items = flatten.normalize_all(fit, run_at, with_order_datetime=True)
         numbers = fit.select(F.col("orderNumber").alias("order_number"))
         content = {orders_path: (schemas.ORDERS, orders), items_path: (schemas.ORDER_ITEMS, items)}
         tables.replace_keys(spark, content, numbers, ["order_number"], "order_datetime")

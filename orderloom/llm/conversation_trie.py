@@ -217,11 +217,11 @@ def split_locally(conv: np.ndarray, depth: np.ndarray, parent_conv: np.ndarray,
     return sums
 
 
-LOCAL = "conv_id long, depth long, n_leaves long, saved_tokens long"
+LOCAL = "depth long, node binary, n_leaves long, saved_tokens long"
 
 
 def _local_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (component, conv_id, depth, parent_conv_id, n_leaves, saved_tokens), components side by side, with their sums."""
+    """Rows (component, conv_id, depth, node, parent_conv_id, n_leaves, saved_tokens), components side by side, with their sums."""
     held: list[pa.Table] = []
     rows = 0
 
@@ -229,7 +229,8 @@ def _local_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, component = np.unique(np.array(table.column("component").to_pylist(), dtype=object).astype("S64"), return_inverse=True)
         conv, depth, parent, leaves, saved = (table.column(c).to_numpy() for c in ("conv_id", "depth", "parent_conv_id", *VALUES))
         sums = split_locally(conv, depth, parent, component, np.stack([leaves, saved], axis=1))
-        return pa.record_batch([pa.array(conv), pa.array(depth), pa.array(sums[:, 0]), pa.array(sums[:, 1])], names=["conv_id", "depth", *VALUES])
+        node = table.column("node").combine_chunks()
+        return pa.record_batch([pa.array(depth), node, pa.array(sums[:, 0]), pa.array(sums[:, 1])], names=["depth", "node", *VALUES])
 
     for batch in batches:
         if not batch.num_rows:
@@ -252,8 +253,8 @@ def _local_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _split_by_joins(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One round over large components.
 
-    ``rows`` (conv_id, depth, node, own, component, values) are the paths of the owning conversations inside
-    them. Returns the rows with their next component, the centroids' left out, and what nodes (conv_id, depth, node) get.
+    ``rows`` (conv_id, depth, node, parent_conv_id, own, component, values) are the paths of the owning conversations inside
+    them. Returns the rows with their next component, the centroids' left out, and what nodes (depth, node) get.
     """
     # a path lies in a component as one stretch, and its own nodes are the end of that
     runs = rows.groupBy("conv_id", "component").agg(F.max("depth").alias("end"), F.min(F.when(F.col("own"), F.col("depth"))).alias("own_from"))
@@ -280,7 +281,7 @@ def _split_by_joins(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, Da
     owners = moved.where("own AND is_centroid").select("component", "conv_id")
     path = moved.where("depth <= at").join(owners, ["component", "conv_id"]).select("component", "depth", "node")
     gains = path.join(added, "component").select("depth", "node", *[F.col(f"add_{v}").alias(v) for v in VALUES])
-    left = moved.where("NOT is_centroid").select("conv_id", "depth", "node", "own", F.col("part").alias("component"), *VALUES)
+    left = moved.where("NOT is_centroid").select("conv_id", "depth", "node", "parent_conv_id", "own", F.col("part").alias("component"), *VALUES)
     return left, stage(spark, gains, "trie-gains")
 
 
@@ -288,41 +289,65 @@ def _component_sizes(rows: DataFrame) -> DataFrame:
     return rows.where("own").groupBy("component").agg(F.count(F.lit(1)).alias("nodes"))
 
 
-def subtree_sums(nodes: DataFrame, paths: DataFrame, local_nodes: int = LOCAL_NODES) -> DataFrame:
-    """(conv_id, depth, n_leaves, saved_tokens) summed over each node's subtree.
+def subtree_sums(nodes: DataFrame, above: DataFrame, local_nodes: int = LOCAL_NODES) -> DataFrame:
+    """Rows (depth, node, n_leaves, saved_tokens) whose sums by node are those over its subtree.
 
-    ``nodes`` has conv_id, depth, node, parent_conv_id and the values of each node, and ``paths`` (conv_id, depth, node) the
-    path from the root of every conversation that owns a node.
+    ``nodes`` has conv_id, depth, node, parent_conv_id and the values of each node, and ``above`` (conv_id, depth, node) what
+    the path of every conversation that owns a node has above its own nodes.
     """
     spark = nodes.sparkSession
-    known = nodes.select("conv_id", "depth", F.lit(True).alias("own"), *VALUES)
-    rows = paths.join(known, ["conv_id", "depth"], "left").fillna(0, VALUES).fillna(False, ["own"])
+    of_others = above.select(
+        "conv_id", "depth", "node", F.lit(None).cast("long").alias("parent_conv_id"), *[F.lit(0).cast("long").alias(v) for v in VALUES], F.lit(False).alias("own")
+    )
+    rows = nodes.select("conv_id", "depth", "node", "parent_conv_id", *VALUES, F.lit(True).alias("own")).unionByName(of_others)
     rows = rows.withColumn("component", F.lit(bytearray(ROOT)))
-    rows = stage(spark, rows, "trie-paths")
-    small, gains = None, None
-    while True:
-        large = stage(spark, _component_sizes(rows).where(F.col("nodes") > local_nodes).select("component"), "trie-large")
+    # the whole tree is the first component; rows are those of large ones from here on
+    some_large = nodes.count() > local_nodes
+    small, gains = None if some_large else rows.where("own"), []
+    while some_large:
+        left, gained = _split_by_joins(spark, rows)
+        left = stage(spark, left, "trie-left")
+        gains.append(gained)
+        large = stage(spark, _component_sizes(left).where(F.col("nodes") > local_nodes).select("component"), "trie-large")
         some_large = not large.isEmpty()
-        rest = rows.where("own").select("component", "conv_id", "depth")
+        rest = left.where("own")
         rest = rest.join(large, "component", "left_anti") if some_large else rest
         small = rest if small is None else small.unionByName(rest)
-        if not some_large:
-            break
-        rows, gained = _split_by_joins(spark, rows.join(large, "component", "left_semi"))
-        rows = stage(spark, rows, "trie-left")
-        gains = gained if gains is None else gains.unionByName(gained)
-
-    local = small.join(nodes.select("conv_id", "depth", "parent_conv_id", *VALUES), ["conv_id", "depth"])
-    local = local.withColumn("parent_conv_id", F.coalesce("parent_conv_id", F.lit(-1).cast("long")))
-    local = local.select("component", "conv_id", "depth", "parent_conv_id", *VALUES)
+        rows = left.join(large, "component", "left_semi")
+
+    local = small.withColumn("parent_conv_id", F.coalesce("parent_conv_id", F.lit(-1).cast("long")))
+    local = local.select("component", "conv_id", "depth", "node", "parent_conv_id", *VALUES)
     sums = local.repartition("component").sortWithinPartitions("component").mapInArrow(_local_sums, LOCAL)
-    if gains is not None:
-        gains = gains.groupBy("depth", "node").agg(*[F.sum(v).alias(v) for v in VALUES])
-        sums = sums.unionByName(nodes.select("conv_id", "depth", "node").join(gains, ["depth", "node"]).select("conv_id", "depth", *VALUES))
-        sums = sums.groupBy("conv_id", "depth").agg(*[F.sum(v).alias(v) for v in VALUES])
+    for gained in gains:
+        sums = sums.unionByName(gained)
     return sums
 
 
+def _hung_up(nodes: DataFrame, tops: DataFrame) -> DataFrame:
+    """``nodes`` with parent_conv_id, n_children and their values.
+
+    ``tops`` (conv_id, depth, over_conv) says whose node the stretch of a conversation hangs on. A node counts as a child one
+    place up, in its own conversation, and a top in the other one too; where a conversation has no node of its own, such a count
+    stands alone and goes.
+    """
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    nobody, no_node = F.lit(None).cast("long"), F.lit(None).cast("struct<node:binary,n_convs:bigint,n_bytes:bigint>")
+
+    def said(conv: str, up: int, node: Column, over: Column, child: Column) -> Column:
+        return F.struct(F.col(conv).alias("conv_id"), (F.col("depth") - up).alias("depth"), node.alias("own"), over.alias("over_conv"), child.alias("child"))
+
+    of_node = F.array(said("conv_id", 0, F.struct("node", "n_convs", "n_bytes"), nobody, zero), said("conv_id", 1, no_node, nobody, one))
+    of_top = F.array(said("conv_id", 0, no_node, F.col("over_conv"), zero), said("over_conv", 1, no_node, nobody, one))
+    rows = nodes.select(F.explode(of_node).alias("r")).unionByName(tops.select(F.explode(of_top).alias("r"))).select("r.*")
+    whole = rows.groupBy("conv_id", "depth").agg(
+        F.first("own", True).alias("own"), F.max("over_conv").alias("over_conv"), F.sum("child").alias("n_children")
+    ).where("own IS NOT NULL")
+    return whole.select(
+        "conv_id", "depth", "own.node", F.when(F.col("depth") > 0, F.coalesce("over_conv", "conv_id")).alias("parent_conv_id"), "own.n_convs", "n_children",
+        (F.col("n_children") == 0).cast("long").alias("n_leaves"), ((F.col("own.n_convs") - 1) * F.col("own.n_bytes")).alias("saved_tokens"),
+    )
+
+
 def prefix_trie(conversations: DataFrame, local_nodes: int = LOCAL_NODES) -> DataFrame:
     """One row per node of the trie of rebuilt conversations: conv_id (smallest member), depth, parent_conv_id, n_convs,
     n_children, n_leaves, saved_tokens, ends_sha256.
@@ -340,23 +365,24 @@ def prefix_trie(conversations: DataFrame, local_nodes: int = LOCAL_NODES) -> Dat
 
     # a conversation owns the end of its path; the node above that is the only one of another's that it hangs on
     owned = nodes.groupBy("conv_id").agg(F.min("depth").alias("from"))
-    own_paths = stage(spark, paths.select("conv_id", "depth", "node").join(owned, "conv_id"), "own-paths")
-    hangs = own_paths.where("depth = from - 1").select("conv_id", F.col("from").alias("depth"), F.col("node").alias("above"))
+    above = paths.select("conv_id", "depth", "node").join(owned, "conv_id").where(F.col("depth") < F.col("from"))
+    above = stage(spark, above, "paths-above")
+    hangs = above.where("depth = from - 1").select("conv_id", F.col("from").alias("depth"), F.col("node").alias("above"))
     over = nodes.select(F.col("depth").alias("over"), F.col("node").alias("above"), F.col("conv_id").alias("over_conv"))
-    tops = stage(spark, hangs.join(over, (hangs["depth"] - 1 == over["over"]) & (hangs["above"] == over["above"]), "left").select("conv_id", "depth", "over_conv"), "stretch-tops")
-    parent = F.when(F.col("depth") > 0, F.coalesce("over_conv", "conv_id")).alias("parent_conv_id")
-    nodes = nodes.join(tops, ["conv_id", "depth"], "left").select("conv_id", "depth", "node", "n_convs", "n_bytes", parent)
-    nodes = stage(spark, nodes, "trie-parents")
-    children = nodes.where("depth > 0").groupBy(F.col("parent_conv_id").alias("conv_id"), (F.col("depth") - 1).alias("depth")).agg(F.count(F.lit(1)).alias("n_children"))
-    nodes = nodes.join(children, ["conv_id", "depth"], "left").select(
-        "conv_id", "depth", "node", "parent_conv_id", "n_convs", F.coalesce("n_children", F.lit(0)).alias("n_children"),
-        F.col("n_children").isNull().cast("long").alias("n_leaves"), ((F.col("n_convs") - 1) * F.col("n_bytes")).alias("saved_tokens"),
-    )
-    nodes = stage(spark, nodes, "trie-values")
-    sums = subtree_sums(nodes, own_paths.select("conv_id", "depth", "node"), local_nodes)
-    ends = ends_hashes(paths.join(lengths.withColumnRenamed("length", "depth"), ["conv_id", "depth"]))
+    tops = hangs.join(over, (hangs["depth"] - 1 == over["over"]) & (hangs["above"] == over["above"])).select("conv_id", "depth", "over_conv")
+    nodes = stage(spark, _hung_up(nodes, tops), "trie-values")
+    sums = subtree_sums(nodes, above, local_nodes)
+
+    last = F.max(F.struct("depth", "node")).alias("last")
+    ends = ends_hashes(paths.groupBy("conv_id").agg(last).select("conv_id", "last.depth", "last.node"))
+    # what is known of a node meets in one shuffle
+    key, own = ["depth", "node"], F.struct("conv_id", "parent_conv_id", "n_convs", "n_children").alias("own")
+    known = nodes.select(*key, own)
+    for more in (sums, ends):
+        known = known.unionByName(more, allowMissingColumns=True)
     none = F.lit(hashlib.sha256(b"").hexdigest())
     return (
-        nodes.drop(*VALUES).join(sums, ["conv_id", "depth"]).join(ends, ["depth", "node"], "left")
-        .select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", *VALUES, F.coalesce("ends_sha256", none).alias("ends_sha256"))
+        known.groupBy(*key)
+        .agg(F.first("own", True).alias("own"), *[F.sum(v).alias(v) for v in VALUES], F.max("ends_sha256").alias("ends"))
+        .select("own.conv_id", "depth", "own.parent_conv_id", "own.n_convs", "own.n_children", *VALUES, F.coalesce("ends", none).alias("ends_sha256"))
     )

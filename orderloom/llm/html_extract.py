@@ -13,6 +13,7 @@ import html
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 # Element names of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes noscript xmp template".split())
+UNCLOSED = frozenset("noscript template".split())  # of RAW, those that are ordinary elements where their end is missing
 UNREAD = frozenset("button select svg".split())  # their text is not part of a page's text
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span"
@@ -97,7 +99,9 @@ def parse(source: str) -> Page:
     """The nodes and text of a page. Unclosed and stray tags are taken as browsers do for the common cases."""
     page = Page()
     stack = [("html", 0)]  # open elements with their nodes
+    opened = Counter()  # their names, so that an end without a start is not looked for
     open_p = links = 0
+    endless: set[str] = set()  # names of UNCLOSED whose end does not come any more
     unread, closed = 0, False  # the depth of an open element of UNREAD, and whether its end was seen ahead
     at, end = 0, len(source)
     tags, parents, cues, chars, link_chars, labels, pieces = (
@@ -122,6 +126,7 @@ def parse(source: str) -> Page:
             unread = 0
         while len(stack) > depth:
             name = stack.pop()[0]
+            opened[name] -= 1
             if name == "p":
                 open_p -= 1
             elif name == "a":
@@ -151,16 +156,20 @@ def parse(source: str) -> Page:
         if block:
             pieces.append((-1, " "))
         if closing:
+            if not opened[name]:
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == name:
                     pop_to(depth)
                     break
             continue
-        if name in RAW:
+        if name in RAW and not (name in UNCLOSED and name in endless):
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(source, at)
-            if not attributes.rstrip().endswith("/"):
-                at = close.end() if close else end
-            continue
+            if close or name not in UNCLOSED:
+                if not attributes.rstrip().endswith("/"):
+                    at = close.end() if close else end
+                continue
+            endless.add(name)
         if name in VOID or name in UNREAD and attributes.rstrip().endswith("/"):
             continue
         if unread and not closed and (name in CLOSES_P or name in DIVIDING or name in IMPLIED_ENDS and name != "option" or name == "button"):
@@ -176,13 +185,13 @@ def parse(source: str) -> Page:
                     break
         if name in IMPLIED_ENDS:
             ended, limits = IMPLIED_ENDS[name]
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if any(opened[e] for e in ended) else ():
                 if stack[depth][0] in limits:
                     break
                 if stack[depth][0] in ended:
                     pop_to(depth)
                     break
-        if name in ("html", "body") and any(open_name == name for open_name, _ in stack):
+        if name in ("html", "body") and (name == "html" or opened[name]):
             continue
         node, found = stack[-1][1], _cues(attributes)
         if (block or found) and not unread:
@@ -194,6 +203,7 @@ def parse(source: str) -> Page:
             labels.append(CONTENT if 'data-main="1"' in attributes else OTHER)
             node = len(tags) - 1
         stack.append((name, node))
+        opened[name] += 1
         if name == "p":
             open_p += 1
         elif name == "a":

@@ -1,9 +1,11 @@
 """Exact deduplication by a tree merge of sorted digest runs; DataFrame functions only.
 
-Every row gets a slim record: its digest, and a second hash and the length that verify it. Records are dealt into
-runs. A run holds one record per digest, sorted, with the identifier that stays and the number of copies. In each
-round ``FAN_IN`` neighbouring runs merge into one, until one run is left, spread over all tasks by digest. A digest
-that holds a third of all rows is therefore folded first inside tasks, then inside runs, and never meets as rows.
+Every row gets a slim record: its digest, and a second hash and the length that verify it. What a task reads becomes
+a run: one record per digest, with the identifier that stays and the number of copies. A digest that holds a third of all
+rows is one record per run from there on. Runs are then exchanged once, by ranges of digests, and each task sorts
+its piece of all runs by digest and run. In each binomial round the runs that differ in their last bit merge into one: the
+bit goes, and as the rest is in order already, a round is a pass over neighbouring records, without a shuffle or a sort. After the last
+round one run is left, spread over all tasks by digest.
 
 The digest is never trusted alone: a record merges only with records whose second hash and length agree too, at
 every level. Texts are not shuffled, only the records.
@@ -19,7 +21,6 @@ from pyspark.sql import functions as F
 from orderloom.llm.rows import without
 from orderloom.session import stage
 
-FAN_IN = 16
 VERIFIED = ["digest", "check", "n_bytes"]
 
 
@@ -35,20 +36,24 @@ def digest_records(docs: DataFrame, id_column: str = "doc_id", text: Column | No
 
 
 def merge_runs(records: DataFrame, runs: int, largest: bool = True) -> DataFrame:
-    """One row per distinct text: its verified digest, the identifier that stays and the number of rows."""
+    """One row per distinct text: its verified digest, the identifier that stays and the number of rows.
+
+    Tasks share ``runs`` runs, rounded up to a power of two, so a task of the exchange gets at most that many records of a digest.
+    """
     stays = F.max if largest else F.min
-    rounds = max(1, math.ceil(math.log(max(runs, 2), FAN_IN)))
-    run = F.pmod(F.xxhash64("doc_id"), F.lit(FAN_IN**rounds))
-    level = records.withColumn("run", run).groupBy("run", *VERIFIED).agg(
-        stays("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
-    )
-    for _ in range(rounds):
-        level = (
-            level.sortWithinPartitions("run", "digest")
-            .groupBy(F.floor(F.col("run") / FAN_IN).alias("run"), *VERIFIED)
-            .agg(stays("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-        )
-    return level.drop("run")
+    rounds = max(1, math.ceil(math.log2(max(runs, 2))))
+    bits = [f"bit{k}" for k in reversed(range(rounds))]
+    task = F.spark_partition_id()
+    of_run = [F.shiftright(task, k).bitwiseAND(1).alias(f"bit{k}") for k in reversed(range(rounds))]
+    level = records.select("*", *of_run).groupBy(*VERIFIED, *bits).agg(stays("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # a struct is folded along the order of its keys, not in a hash table; no identifier, no struct
+    stay = F.when(F.col("keep_id").isNotNull(), F.struct("keep_id")).alias("stays")
+    level = level.select(*VERIFIED, *bits, stay, "group_size")
+    level = level.repartitionByRange(runs, "digest").sortWithinPartitions(*VERIFIED, *bits)
+    while bits:
+        bits = bits[:-1]
+        level = level.groupBy(*VERIFIED, *bits).agg(stays("stays").alias("stays"), F.sum("group_size").alias("group_size"))
+    return level.select(*VERIFIED, "stays.keep_id", "group_size")
 
 
 def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text: Column | None = None, largest: bool = True) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from orderloom.llm import decontamination, html_extract, ngram_join, packing, phrase_dedup, pii, repeats, suffix_dedup
+from orderloom.llm import decontamination, exact_dedup, html_extract, ngram_join, packing, phrase_dedup, pii, repeats, suffix_dedup
 from orderloom.llm.arrow_text import Block, blocks, sequence_hash
 from orderloom.llm.components import components
 
@@ -258,6 +258,9 @@ def test_extraction_cases(source, text):
         ("<article><p>a <svg><svg><text>no</text></svg><text>no</text></svg> b</p></article>", "a b"),
         ("<article><p>a <button><div>no</div> no</button> b</p></article>", "a b"),
         ("<article><p>a <math><mi>x</mi></math> b <object>c</object></p></article>", "a x b c"),
+        ("<article><p>one</p><noscript><p>two</p></article>", "one two"),
+        ("<article><p>one</p><noscript><p>no</p></noscript><p>two</p></article>", "one two"),
+        ("<body><template><nav>no</nav><article><p>kept</p></article></body>", "kept"),
     ],
 )
 def test_extraction_reads_on_after_elements_left_open(source, text):
@@ -267,6 +270,21 @@ def test_extraction_reads_on_after_elements_left_open(source, text):
 MODEL = html_extract.train()
 
 
+@pytest.mark.parametrize("start, end", [("<div>", "</span>"), ("<b>", "</i>"), ("<span>", "<td>"), ("<noscript>", "</template>")])
+def test_ends_without_a_start_cost_no_search(start, end):
+    assert html_extract.parse(start * 30_000 + end * 30_000 + "text").pieces[-1][1] == "text"
+
+
+@pytest.mark.parametrize("largest", [True, False])
+def test_rounds_of_runs_neither_shuffle_nor_sort(spark, largest):
+    docs = spark.range(0, 500, 1, 8).selectExpr("IF(id = 3, NULL, id) AS doc_id", "string(id % 7) AS text")
+    merged = exact_dedup.merge_runs(exact_dedup.digest_records(docs), 8, largest)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert [plan.count(x) for x in ("Exchange ", "Sort [", "SortAggregate(")] == [2, 1, 6]
+    stays = {k: (max if largest else min)(i for i in range(k, 500, 7) if i != 3) for k in range(7)}
+    assert {(r["keep_id"], r["group_size"]) for r in merged.collect()} == {(i, len(range(k, 500, 7))) for k, i in stays.items()}
+
+
 def test_labeler_reliability_is_estimated():
     """Votes drawn from known reliabilities: the posterior puts the right patterns above one half."""
     rng = random.Random(5)

@@ -13,7 +13,7 @@ import html
 import math
 import random
 import re
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -99,7 +99,7 @@ def parse(source: str) -> Page:
     """The nodes and text of a page. Unclosed and stray tags are taken as browsers do for the common cases."""
     page = Page()
     stack = [("html", 0)]  # open elements with their nodes
-    opened = Counter()  # their names, so that an end without a start is not looked for
+    opened: dict[str, int] = defaultdict(int)  # their names, so that an end without a start is not looked for
     open_p = links = 0
     endless: set[str] = set()  # names of UNCLOSED whose end does not come any more
     unread, closed = 0, False  # the depth of an open element of UNREAD, and whether its end was seen ahead
@@ -185,7 +185,7 @@ def parse(source: str) -> Page:
                     break
         if name in IMPLIED_ENDS:
             ended, limits = IMPLIED_ENDS[name]
-            for depth in range(len(stack) - 1, 0, -1) if any(opened[e] for e in ended) else ():
+            for depth in range(len(stack) - 1, 0, -1) if any(map(opened.get, ended)) else ():
                 if stack[depth][0] in limits:
                     break
                 if stack[depth][0] in ended:

@@ -19,6 +19,8 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.session import stage
+
 # The base kinds in the order in which they are listed, and their patterns. Groups that need no second
 # try are possessive, and starts inside a run that has failed are passed over, so that long texts take linear time.
 BASE = {
@@ -174,11 +176,13 @@ def candidates(text: Column, base: Column, kind: str) -> Column:
 
 
 def _span_rows(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, base spans by kind, and all candidates."""
+    """Per row of ``docs``: doc_id, the number of base spans by kind, all of them, and all candidates; no texts."""
     rows = docs.select(F.col("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("*", *[base_spans(F.col("text"), kind).alias(f"_{kind}") for kind in BASE])
     rows = rows.withColumn("_base", F.concat(*[_listed(kind, F.col(f"_{kind}")) for kind in BASE]))
-    return rows.withColumn("_voted", F.concat(*[candidates(F.col("text"), F.col("_base"), kind) for kind in VOTED])).drop("text")
+    sizes = [F.size(f"_{kind}").cast("long").alias(f"n_{kind}") for kind in BASE]
+    voted = F.concat(*[candidates(F.col("text"), F.col("_base"), kind) for kind in VOTED]).alias("_voted")
+    return rows.select("doc_id", *sizes, "_base", voted)
 
 
 def expectation_maximisation(patterns: dict[str, float], rounds: int = 60) -> dict[str, float]:
@@ -245,7 +249,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     Starts and ends count code points, ends are exclusive. Null texts are empty: no spans, and the digest of
     nothing. Repeated rows are treated alike, null identifiers stay null. Other columns are not looked at. An empty table gives an empty result.
     """
-    rows = _span_rows(docs)
+    # texts are searched once: the votes are counted and judged on the staged spans
+    rows = stage(docs.sparkSession, _span_rows(docs), "spans")
     counts = rows.select(F.explode("_voted").alias("s")).groupBy("s.kind", "s.votes", "s.look").count().collect()
     weights = fit_classifier(sorted((r["kind"], r["votes"], r["look"], r["count"]) for r in counts))
     if weights:
@@ -270,7 +275,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("_added", added)
     return rows.select(
         "doc_id",
-        *[F.size(f"_{kind}").cast("long").alias(f"n_{kind}") for kind in BASE],
+        *[f"n_{kind}" for kind in BASE],
         F.sha2(_joined(F.col("_base")), 256).alias("base_sha256"),
         _joined(F.concat("_base", "_added")).alias("spans"),
         F.size("_added").cast("long").alias("n_added"),

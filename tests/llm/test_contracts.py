@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+import xxhash
 
 import __spark_entry__ as driver
 import corpus_pipeline
@@ -255,6 +256,24 @@ def test_shards(spark, awkward, shards):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_shards_equal_a_plain_walk(spark):
+    from pyspark.sql import functions as F
+
+    def walk(key, shards):
+        seed = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42)
+        shard, following, step = -1, 0, 0
+        while following < shards:
+            step += 1
+            drawn = xxhash.xxh64_intdigest(step.to_bytes(4, "little"), seed) >> 33
+            shard, following = following, int((following + 1) / ((drawn + 1) / 2**31))
+        return shard
+
+    counts = (1, 2, 16, 17, 1000)
+    keys = spark.createDataFrame([(k,) for k in [*range(500), -1, -(2**63), 2**63 - 1]], "k long")
+    for r in keys.select("k", *[sharding.jump_shard(F.col("k"), n).alias(str(n)) for n in counts]).collect():
+        assert [r[str(n)] for n in counts] == [walk(r["k"], n) for n in counts]
+
+
 def test_shards_are_even_and_move_little(spark):
     from pyspark.sql import functions as F
 

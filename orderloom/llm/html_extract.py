@@ -424,7 +424,8 @@ def main_text(source: str | None, model: TreeModel) -> str:
 def extract_pages(pages: DataFrame, model: TreeModel | None = None) -> DataFrame:
     """One row per page: page_id, url, text (empty if there is none), n_chars (its code points).
 
-    A null or empty page has no text. Other columns are not looked at.
+    A null or empty page has no text. Repeated pages give a row each, and null ids and urls stay null. Markup that cannot be read is
+    taken as text, and a page that is text alone is all content. An empty table gives an empty result. Other columns are not looked at.
     """
     model = model or train()
 

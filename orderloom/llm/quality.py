@@ -319,7 +319,13 @@ def combine(by_text: np.ndarray, by_meta: np.ndarray) -> np.ndarray:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, **bounds: int) -> DataFrame:
-    """Train on the labels and score every document."""
+    """Train on the labels and score every document: one row per row of ``docs``, see ``score``.
+
+    Null and empty texts are scored by their metadata and what little the text view has; missing metadata
+    are a value of their own. Repeated rows are scored alike, each with a row; a null doc_id stays null and is never trained on. No
+    documents give no rows. Without labels of both kinds for a target every document is good, or not toxic. Ties at one half
+    count as good, and as toxic. Other columns are not looked at.
+    """
     return score(docs, train(docs, labels, **bounds))
 
 

@@ -54,7 +54,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over the documents of ``sf_dir``; every stage is written and read again."""
+    """The rows of the last stage over the documents of ``sf_dir``; every stage is written and read again.
+
+    Documents without an identifier pass every filter. Null texts count as empty, and of equal ones a single document goes on.
+    Rows that repeat an identifier with the same text are kept or dropped together. Stages up to the last return the columns of
+    documents, whatever else stands in them. No documents give no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
         docs = stage(spark, step(spark, docs, sf_dir), f"corpus-{name}")

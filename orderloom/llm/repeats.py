@@ -14,7 +14,10 @@ gram form a *run*. Equal windows have equal anchors, so that
    is cut out of the documents.
 
 An anchor with more than ``HOT_SEGMENTS`` different segments (a widespread passage, at whose edges every document goes on
-in its own way) is not gathered: its windows are dealt one by one and aggregated.
+in its own way) is not gathered. Its segments are cut into parts by where the anchor stands in the window, in the first
+or the second half of the places it can stand at, and a part is dealt by a longer gram: the units that all windows with
+such a place share. What is still crowded is halved again, up to parts of one window, whose gram is the window itself, so
+that one part is left of each. Parts meet the finder as segments do.
 
 Anchors and segments are told apart by two 64-bit hashes, of the gram and of the whole run.
 """
@@ -30,7 +33,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.arrow_text import _BASE, _BYTE_CODES, BLOCK_BYTES, Block, blocks, mix, ranges
+from orderloom.llm.arrow_text import _BASE, _BYTE_CODES, _GOLDEN, BLOCK_BYTES, Block, blocks, mix, ranges
 from orderloom.session import stage
 
 HOT_SEGMENTS = 20_000
@@ -52,6 +55,11 @@ class Units:
     window: int
     gram: int
 
+    @property
+    def halvings(self) -> int:
+        """How often the places of an anchor in a window are halved until single ones are left."""
+        return (self.window - self.gram).bit_length()
+
     def places(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and end byte of every unit, and the first unit of every row."""
         if self.words:
@@ -105,21 +113,27 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
+def _anchors(spans: Spans, units: Units) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of the gram at every unit, and for the window at every unit where its anchor stands."""
+    every = np.arange(len(spans.sums) - units.gram)
+    grams = spans.hash(every, every + units.gram)
+    # the leftmost smallest gram: a hash's upper half, then the place
+    keyed = (grams & np.uint64(0xFFFFFFFF00000000)) | every.astype(np.uint64)
+    least = _sliding_least(keyed, units.window - units.gram + 1)
+    return grams, (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
 def runs_of(block: Block, units: Units) -> tuple[np.ndarray, ...]:
     """(row, start in the row, number of windows, anchor, digest, times) of every run of a block; a run that repeats at
     once is there once, with the times."""
     starts, ends, firsts = units.places(block)
-    total, width = len(starts), units.window - units.gram + 1
     windows = np.maximum(np.diff(firsts) - units.window + 1, 0)
     at = ranges(firsts[:-1], windows)
     if not len(at):
         return (np.zeros(0, np.int64),) * 6
     spans = Spans(units.codes(block, starts, ends))
-    every = np.arange(total - units.gram + 1)
-    grams = spans.hash(every, every + units.gram)
-    # the leftmost smallest gram: a hash's upper half, then the place
-    keyed = (grams & np.uint64(0xFFFFFFFF00000000)) | every.astype(np.uint64)
-    anchor_at = (_sliding_least(keyed, width)[at] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    grams, anchor_at = _anchors(spans, units)
+    anchor_at = anchor_at[at]
     row = np.repeat(np.arange(block.rows), windows)
     new = np.ones(len(at), dtype=bool)
     new[1:] = (anchor_at[1:] != anchor_at[:-1]) | (row[1:] != row[:-1])
@@ -156,56 +170,101 @@ def _runs(texts: DataFrame, units: Units) -> DataFrame:
     return texts.select("_id", "text").mapInArrow(find, "anchor long, digest long, id long, place long")
 
 
-def _segment_texts(texts: DataFrame, places: DataFrame, units: Units, single: bool) -> DataFrame:
-    """The texts of segments at their first places; ``single``: a row per window instead, with its hash."""
-    listed = places.groupBy(F.col("id").alias("_id")).agg(
-        F.collect_list(F.struct("anchor", "digest", "place", "copies")).alias("places")  # as long as the document at most
+@dataclass
+class Cut:
+    """Listed segments that were found again in a block: which ones, and the units where each begins."""
+
+    block: Block
+    spans: Spans
+    starts: np.ndarray
+    ends: np.ndarray
+    listed: dict[str, np.ndarray]
+    begin: np.ndarray
+
+    @property
+    def number(self) -> np.ndarray:
+        return self.listed["place"] % TIMES
+
+
+def _cut(texts: DataFrame, segments: DataFrame, units: Units, make: Callable[[Cut], pa.RecordBatch], schema: str) -> DataFrame:
+    """What ``make`` gives for segments (digest, id, place, ...) at their places in the texts."""
+    fields = [c for c in segments.columns if c != "id"]
+    listed = segments.groupBy(F.col("id").alias("_id")).agg(
+        F.collect_list(F.struct(*fields)).alias("places")  # as long as the document at most, once per offset of an anchor
     )
-    schema = "anchor long, digest long, id long, start long, copies long, body binary, nth long, window_hash long"
-    names = ["anchor", "digest", "id", "start", "copies", "body", "nth", "window_hash"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, lists = batch.column("_id").to_numpy(), batch.column("places")
             list_ends = lists.offsets.to_numpy() if len(lists) else np.zeros(1, np.int64)
-            flat = {n: lists.values.field(n).to_numpy(zero_copy_only=False) for n in ("anchor", "digest", "place", "copies")}
+            flat = {n: lists.values.field(n).to_numpy(zero_copy_only=False) for n in fields}
             for block in blocks(batch.column("text")):
                 starts, ends, firsts = units.places(block)
                 mine = np.arange(list_ends[block.first_row], list_ends[block.first_row + block.rows])
                 row = np.searchsorted(list_ends, mine, side="right") - 1 - block.first_row
-                start, number = flat["place"][mine] // START, flat["place"][mine] % TIMES
-                begin = firsts[row] + start
+                number = flat["place"][mine] % TIMES
+                begin = firsts[row] + flat["place"][mine] // START
                 # rows that repeat an identifier may hold another text
                 fits = begin + number - 1 + units.window <= firsts[row + 1]
-                mine, row, start, number, begin = mine[fits], row[fits], start[fits], number[fits], begin[fits]
+                mine, row, number, begin = mine[fits], row[fits], number[fits], begin[fits]
                 spans = Spans(units.codes(block, starts, ends))
                 same = spans.hash(begin, begin + number - 1 + units.window).view(np.int64) == flat["digest"][mine]
-                mine, row, start, number, begin = mine[same], row[same], start[same], number[same], begin[same]
-                nth, hashes = np.zeros(len(mine), np.int64), np.zeros(len(mine), np.int64)
-                if single:
-                    nth = ranges(np.zeros(len(mine), np.int64), number)
-                    mine, row, start, begin = (np.repeat(x, number) for x in (mine, row, start, begin))
-                    hashes = spans.hash(begin + nth, begin + nth + units.window).view(np.int64)
-                    bodies = pa.nulls(len(mine), pa.binary())
-                elif units.words:
-                    bodies = pa.array(
-                        [
-                            b" ".join([block.data[s:e].tobytes() for s, e in zip(starts[b : b + k], ends[b : b + k])])
-                            for b, k in zip(begin.tolist(), (number - 1 + units.window).tolist())
-                        ],
-                        pa.binary(),
-                    )
-                else:
-                    data = block.data.tobytes()
-                    lasts = (begin + number - 1 + units.window).tolist()
-                    bodies = pa.array([data[b:e] for b, e in zip(begin.tolist(), lasts)], pa.binary())
-                numbers = [flat["anchor"][mine], flat["digest"][mine], ids[row + block.first_row], start, flat["copies"][mine]]
-                columns = [pa.array(c, pa.int64()) for c in numbers] + [bodies, pa.array(nth), pa.array(hashes)]
-                yield pa.record_batch(columns, names=names)
+                mine, row, begin = mine[same], row[same], begin[same]
+                if len(mine):
+                    found = {n: values[mine] for n, values in flat.items()} | {"id": ids[row + block.first_row]}
+                    yield make(Cut(block, spans, starts, ends, found, begin))
 
     return texts.join(listed, "_id").select("_id", "text", "places").mapInArrow(cut, schema)
 
 
+def _segment_texts(texts: DataFrame, segments: DataFrame, units: Units) -> DataFrame:
+    """The texts of segments at their first places."""
+
+    def make(cut: Cut) -> pa.RecordBatch:
+        block, first, last = cut.block, cut.begin.tolist(), (cut.begin + cut.number - 1 + units.window).tolist()
+        if units.words:
+            pairs = (zip(cut.starts[a:b], cut.ends[a:b]) for a, b in zip(first, last))
+            bodies = [b" ".join([block.data[s:e].tobytes() for s, e in pair]) for pair in pairs]
+        else:
+            data = block.data.tobytes()
+            bodies = [data[a:b] for a, b in zip(first, last)]
+        numbers = {n: cut.listed[n] for n in ("anchor", "digest", "id")} | {"start": cut.listed["place"] // START, "copies": cut.listed["copies"]}
+        columns = [pa.array(c, pa.int64()) for c in numbers.values()] + [pa.array(bodies, pa.binary())]
+        return pa.record_batch(columns, names=[*numbers, "body"])
+
+    return _cut(texts, segments, units, make, "anchor long, digest long, id long, start long, copies long, body binary")
+
+
+PARTS = ["anchor", "digest", "nth", "key", "part", "id", "place", "copies"]
+
+
+def _halves(texts: DataFrame, rows: DataFrame, units: Units, halving: int) -> DataFrame:
+    """Rows (anchor, segment, nth, digest, id, place, copies) of windows from the ``nth`` of a segment on, cut where the anchor
+    changes its half; each part has a key that equal windows share."""
+    shift, last_place = units.halvings - halving, units.window - units.gram
+
+    def make(cut: Cut) -> pa.RecordBatch:
+        _, anchor_at = _anchors(cut.spans, units)
+        at = anchor_at[cut.begin]
+        most, least = at - cut.begin, at - cut.begin - cut.number + 1  # units before the anchor, in the first and the last window
+        halves = (most >> shift) - (least >> shift) + 1
+        of = np.repeat(np.arange(len(at)), halves)
+        half = (most >> shift)[of] - ranges(np.zeros(len(at), np.int64), halves)
+        at, low, high = at[of], half << shift, np.minimum(((half + 1) << shift) - 1, last_place)
+        shared = cut.spans.hash(at - low, at - high + units.window)
+        key = mix(shared + (half + 1).astype(np.uint64) * np.uint64(_GOLDEN))
+        begin = at - np.minimum(high, most[of])
+        number = at - np.maximum(low, least[of]) - begin + 1
+        part = cut.spans.hash(begin, begin + number - 1 + units.window)
+        moved = begin - cut.begin[of]
+        listed = {n: values[of] for n, values in cut.listed.items()}
+        place = (listed["place"] // START + moved) * START + TIMES + number
+        columns = [listed["anchor"], listed["segment"], listed["nth"] + moved, key.view(np.int64), part.view(np.int64), listed["id"], place, listed["copies"]]
+        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=PARTS)
+
+    return _cut(texts, rows, units, make, ", ".join(f"{c} long" for c in PARTS))
+
+
 FIRSTS = "anchor long, digest long, lo long, hi long, first_id long, first_start long"
 
 
@@ -224,6 +283,44 @@ def _first_places(segments: DataFrame, finder: Finder, parts: int) -> DataFrame:
     return dealt.sortWithinPartitions("anchor").mapInArrow(find, FIRSTS)
 
 
+def _crowded(segments: DataFrame) -> DataFrame:
+    return segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_SEGMENTS).select("anchor")
+
+
+def _window_places(texts: DataFrame, segments: DataFrame, units: Units, finder: Finder, parts: int) -> DataFrame:
+    """First places of the windows of all segments, of crowded anchors by parts of their segments."""
+    spark = texts.sparkSession
+    crowded = stage(spark, _crowded(segments), "crowded-anchors")
+    found = _first_places(_segment_texts(texts, segments.join(crowded, "anchor", "left_anti"), units), finder, parts)
+    rows = segments.join(crowded, "anchor", "left_semi").withColumn("segment", F.col("digest")).withColumn("nth", F.lit(0).cast("long"))
+    for halving in range(1, units.halvings + 1):
+        if crowded.isEmpty():
+            break
+        halves = stage(spark, _halves(texts, rows, units, halving), "halves")
+        pieces = stage(
+            spark,
+            halves.groupBy(F.col("key").alias("anchor"), F.col("part").alias("digest"))
+            .agg(F.min(F.struct("id", "place")).alias("_first"), F.sum("copies").alias("copies"))
+            .select("anchor", "digest", "_first.*", "copies"),
+            "pieces",
+        )
+        settled = pieces
+        if halving < units.halvings:
+            crowded = stage(spark, _crowded(pieces), "crowded-keys")
+            settled = pieces.join(crowded, "anchor", "left_anti")
+        places = _first_places(_segment_texts(texts, settled, units), finder, parts)
+        places = places.withColumnsRenamed({"anchor": "key", "digest": "part"})
+        found = found.unionByName(
+            halves.join(places, ["key", "part"]).select(
+                "anchor", "digest", (F.col("nth") + F.col("lo")).alias("lo"), (F.col("nth") + F.col("hi")).alias("hi"), "first_id", "first_start"
+            )
+        )
+        rows = halves.join(crowded.withColumnRenamed("anchor", "key"), "key", "left_semi").select(
+            "anchor", F.col("digest").alias("segment"), "nth", F.col("part").alias("digest"), "id", "place", "copies"
+        )
+    return found
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Rows sorted by anchor in tables of about CHUNK_BYTES of text that never part an anchor."""
     held: list[pa.RecordBatch] = []
@@ -267,17 +364,8 @@ def repeated_ranges(docs_texts: DataFrame, units: Units, finder: Finder, within:
         .select("anchor", "digest", "_first.*", "copies"),
         "segments",
     )
-    hot = segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_SEGMENTS).select("anchor")
     texts = docs_texts.select("_id", "text").repartition(parts, "_id")
-
-    found = _first_places(_segment_texts(texts, segments.join(hot, "anchor", "left_anti"), units, False), finder, parts)
-    spread = _segment_texts(texts, segments.join(hot, "anchor", "left_semi"), units, True)
-    spread = spread.select("anchor", "digest", "nth", "window_hash", "id", (F.col("start") + F.col("nth")).alias("start"))
-    earliest = spread.groupBy("anchor", "window_hash").agg(F.min(F.struct("id", "start")).alias("_first"))
-    spread = spread.join(earliest, ["anchor", "window_hash"]).select(
-        "anchor", "digest", F.col("nth").alias("lo"), (F.col("nth") + 1).alias("hi"),
-        F.col("_first.id").alias("first_id"), F.col("_first.start").alias("first_start"),
-    )
+    found = _window_places(texts, segments, units, finder, parts)
     start, number = F.shiftright("place", START.bit_length() - 1), F.col("place").bitwiseAND(TIMES - 1)
     own = (F.col("first_id") == F.col("id")) & (F.col("first_start") == start + F.col("lo"))
     if within:  # the first of all keeps itself, and loses what comes again after it
@@ -287,7 +375,7 @@ def repeated_ranges(docs_texts: DataFrame, units: Units, finder: Finder, within:
     # repeats of a run leave no gap: a run has fewer windows than a window has units
     ends = start + (times - 1) * number + F.col("hi") + (units.window - 1)
     return (
-        occurrences.join(found.unionByName(spread), ["anchor", "digest"])
+        occurrences.join(found, ["anchor", "digest"])
         .withColumn("_gone", gone)
         .where(F.col("_gone") < times)
         .groupBy(F.col("id").alias("_id"))

@@ -2,6 +2,7 @@
 
 import binascii
 import hashlib
+import random
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -11,6 +12,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import corpus_pipeline
@@ -85,6 +87,31 @@ def test_repeats_on_awkward_rows(spark, awkward, monkeypatch, hot):
     assert len(phrase_dedup.remove_repeated_phrases(awkward).collect()) == len(AWKWARD)
 
 
+def test_crowded_anchors_are_halved(spark, monkeypatch):
+    draw = random.Random(4)
+    passage = " ".join(f"passage{k}" for k in range(24))
+    pairs = []
+    for doc in range(90):
+        before, after = (" ".join(draw.choice("abcdefgh") * draw.randint(1, 3) for _ in range(draw.randint(0, 16))) for _ in range(2))
+        pairs.append((doc, f"{before} {passage} {after} {passage if doc % 7 == 0 else ''}"))
+    sizes, first_places = [], repeats._first_places
+
+    def recorded(segments, finder, parts):
+        sizes.append(segments.groupBy("anchor").count().agg(F.max("count")).first()[0] or 0)
+        return first_places(segments, finder, parts)
+
+    monkeypatch.setattr(repeats, "HOT_SEGMENTS", 4)
+    monkeypatch.setattr(repeats, "_first_places", recorded)
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    found = suffix_dedup.remove_repeated_bytes(docs).collect()
+    assert by_id(found, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeated_bytes(pairs)
+    assert len(sizes) > 2 and max(sizes) <= 4
+    sizes.clear()
+    found = phrase_dedup.remove_repeated_phrases(docs).collect()
+    assert by_id(found, "n_words", "n_removed", "kept_sha256") == brute.repeated_phrases(pairs)
+    assert len(sizes) > 2 and max(sizes) <= 4
+
+
 def test_near_duplicates(spark):
     assert by_id(run("op4_ngram_join", spark), "n_shingles", "component_id") == brute.near_duplicates(documents())
 

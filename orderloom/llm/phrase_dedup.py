@@ -1,9 +1,9 @@
 """Removal of repeated phrases by Aho-Corasick automata.
 
 Segments that can hold a repeated window of words (see ``repeats``) are dealt into shards by their anchor. A shard
-confirms which windows occur more than once, compiles them into an automaton whose matches tell the first document, and
-streams all its segments through it. A segment stands for all documents that hold it. Inside a shard every distinct
-word is one character, so that a window of 13 words is a pattern of 13 characters and matches only whole words.
+confirms which windows occur more than once, compiles them into an automaton, and streams all its segments through it;
+the matches tell the first document. A segment stands for all documents that hold it. Inside a shard every distinct
+word is two characters, so that a window of 13 words is a pattern of 26 characters and matches only whole words.
 """
 
 from __future__ import annotations
@@ -21,42 +21,48 @@ from orderloom.llm.repeats import Units, _texts, covered, joined_windows, repeat
 
 WINDOW = 13
 GRAM = 5
+# first characters of words; with them a shard has room for 3.5 million words, more than its 1 MB and one anchor hold
+BASE = 64
 
 
 class Letters(dict):
-    """A character for every distinct word, outside of the surrogates."""
+    """Two characters for every distinct word: one of ``BASE``, and one of others.
+
+    A node of the automaton looks through its children one after another, so that few characters matter more than short
+    patterns. No second character is a first one, and thus no match begins or ends inside a word.
+    """
 
     def __missing__(self, word: bytes) -> str:
-        number = len(self) + 1
-        letter = self[word] = chr(number if number < 0xD800 else number + 0x800)
-        return letter
+        rest, low = divmod(len(self), BASE)
+        letters = self[word] = chr(low) + chr(BASE + rest)
+        return letters
 
 
 def first_phrases(bodies: list[bytes], ids: np.ndarray, starts: np.ndarray, copies: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, ...]:
     """Where the windows of some segments occur first, as ranges; windows that occur once are left out."""
     letters = Letters()
-    coded = ["".join([letters[w] for w in body.split(b" ")]) for body in bodies]
-    # confirm: how often every phrase occurs, and in which document first
-    first: dict[str, int] = {}
+    texts = ["".join([letters[w] for w in body.split(b" ")]) for body in bodies]
+    length = 2 * window
+    # confirm: which phrases recur
     times: dict[str, int] = {}
-    for text, doc, number in zip(coded, ids.tolist(), copies.tolist()):
-        for k in range(len(text) - window + 1):
-            phrase = text[k : k + window]
+    for text, number in zip(texts, copies.tolist()):
+        for k in range(0, len(text) - length + 1, 2):
+            phrase = text[k : k + length]
             times[phrase] = times.get(phrase, 0) + number
-            if first.setdefault(phrase, doc) > doc:
-                first[phrase] = doc
     automaton = ahocorasick.Automaton()
     for phrase, number in times.items():
         if number > 1:
-            automaton.add_word(phrase, first[phrase])
+            automaton.add_word(phrase, len(automaton))
     found: list[tuple[int, int, int]] = []
     if len(automaton):
         automaton.make_automaton()
-        for k, text in enumerate(coded):
-            found += [(k, end - window + 1, doc) for end, doc in automaton.iter(text)]
-    segment, nth, doc = (np.array(c, dtype=np.int64) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+        for k, text in enumerate(texts):
+            found += [(k, (end + 1 - length) // 2, pattern) for end, pattern in automaton.iter(text)]
+    segment, nth, pattern = (np.array(c, dtype=np.int64) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+    first = np.full(len(automaton), np.iinfo(np.int64).max)
+    np.minimum.at(first, pattern, ids[segment])
     # only the document counts as earlier; the start just lets neighbouring windows join
-    return joined_windows(segment, nth, doc, nth)
+    return joined_windows(segment, nth, first[pattern], nth)
 
 
 def remove_repeated_phrases(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, with_text: bool = False) -> DataFrame:

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -170,99 +171,83 @@ def _runs(texts: DataFrame, units: Units) -> DataFrame:
     return texts.select("_id", "text").mapInArrow(find, "anchor long, digest long, id long, place long")
 
 
-@dataclass
-class Cut:
-    """Listed segments that were found again in a block: which ones, and the units where each begins."""
-
-    block: Block
-    spans: Spans
-    starts: np.ndarray
-    ends: np.ndarray
-    listed: dict[str, np.ndarray]
-    begin: np.ndarray
-
-    @property
-    def number(self) -> np.ndarray:
-        return self.listed["place"] % TIMES
-
-
-def _cut(texts: DataFrame, segments: DataFrame, units: Units, make: Callable[[Cut], pa.RecordBatch], schema: str) -> DataFrame:
-    """What ``make`` gives for segments (digest, id, place, ...) at their places in the texts."""
-    fields = [c for c in segments.columns if c != "id"]
-    listed = segments.groupBy(F.col("id").alias("_id")).agg(
-        F.collect_list(F.struct(*fields)).alias("places")  # as long as the document at most, once per offset of an anchor
+def _segment_texts(texts: DataFrame, places: DataFrame, units: Units) -> DataFrame:
+    """The texts of segments at their first places."""
+    listed = places.groupBy(F.col("id").alias("_id")).agg(
+        F.collect_list(F.struct("anchor", "digest", "place", "copies")).alias("places")  # as long as the document at most
     )
+    schema = "anchor long, digest long, id long, start long, copies long, body binary"
+    names = ["anchor", "digest", "id", "start", "copies", "body"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, lists = batch.column("_id").to_numpy(), batch.column("places")
             list_ends = lists.offsets.to_numpy() if len(lists) else np.zeros(1, np.int64)
-            flat = {n: lists.values.field(n).to_numpy(zero_copy_only=False) for n in fields}
+            flat = {n: lists.values.field(n).to_numpy(zero_copy_only=False) for n in ("anchor", "digest", "place", "copies")}
             for block in blocks(batch.column("text")):
                 starts, ends, firsts = units.places(block)
                 mine = np.arange(list_ends[block.first_row], list_ends[block.first_row + block.rows])
                 row = np.searchsorted(list_ends, mine, side="right") - 1 - block.first_row
-                number = flat["place"][mine] % TIMES
-                begin = firsts[row] + flat["place"][mine] // START
+                start, number = flat["place"][mine] // START, flat["place"][mine] % TIMES
+                begin = firsts[row] + start
                 # rows that repeat an identifier may hold another text
                 fits = begin + number - 1 + units.window <= firsts[row + 1]
-                mine, row, number, begin = mine[fits], row[fits], number[fits], begin[fits]
+                mine, row, start, number, begin = mine[fits], row[fits], start[fits], number[fits], begin[fits]
                 spans = Spans(units.codes(block, starts, ends))
                 same = spans.hash(begin, begin + number - 1 + units.window).view(np.int64) == flat["digest"][mine]
-                mine, row, begin = mine[same], row[same], begin[same]
-                if len(mine):
-                    found = {n: values[mine] for n, values in flat.items()} | {"id": ids[row + block.first_row]}
-                    yield make(Cut(block, spans, starts, ends, found, begin))
+                mine, row, start, number, begin = mine[same], row[same], start[same], number[same], begin[same]
+                if units.words:
+                    bodies = pa.array(
+                        [
+                            b" ".join([block.data[s:e].tobytes() for s, e in zip(starts[b : b + k], ends[b : b + k])])
+                            for b, k in zip(begin.tolist(), (number - 1 + units.window).tolist())
+                        ],
+                        pa.binary(),
+                    )
+                else:
+                    data = block.data.tobytes()
+                    lasts = (begin + number - 1 + units.window).tolist()
+                    bodies = pa.array([data[b:e] for b, e in zip(begin.tolist(), lasts)], pa.binary())
+                numbers = [flat["anchor"][mine], flat["digest"][mine], ids[row + block.first_row], start, flat["copies"][mine]]
+                columns = [pa.array(c, pa.int64()) for c in numbers] + [bodies]
+                yield pa.record_batch(columns, names=names)
 
     return texts.join(listed, "_id").select("_id", "text", "places").mapInArrow(cut, schema)
 
 
-def _segment_texts(texts: DataFrame, segments: DataFrame, units: Units) -> DataFrame:
-    """The texts of segments at their first places."""
-
-    def make(cut: Cut) -> pa.RecordBatch:
-        block, first, last = cut.block, cut.begin.tolist(), (cut.begin + cut.number - 1 + units.window).tolist()
-        if units.words:
-            pairs = (zip(cut.starts[a:b], cut.ends[a:b]) for a, b in zip(first, last))
-            bodies = [b" ".join([block.data[s:e].tobytes() for s, e in pair]) for pair in pairs]
-        else:
-            data = block.data.tobytes()
-            bodies = [data[a:b] for a, b in zip(first, last)]
-        numbers = {n: cut.listed[n] for n in ("anchor", "digest", "id")} | {"start": cut.listed["place"] // START, "copies": cut.listed["copies"]}
-        columns = [pa.array(c, pa.int64()) for c in numbers.values()] + [pa.array(bodies, pa.binary())]
-        return pa.record_batch(columns, names=[*numbers, "body"])
-
-    return _cut(texts, segments, units, make, "anchor long, digest long, id long, start long, copies long, body binary")
-
-
-PARTS = ["anchor", "digest", "nth", "key", "part", "id", "place", "copies"]
+PARTS = ["anchor", "segment", "nth", "key", "part", "id", "start", "copies"]
 
 
-def _halves(texts: DataFrame, rows: DataFrame, units: Units, halving: int) -> DataFrame:
-    """Rows (anchor, segment, nth, digest, id, place, copies) of windows from the ``nth`` of a segment on, cut where the anchor
-    changes its half; each part has a key that equal windows share."""
+def _halves(rows: DataFrame, units: Units, halving: int) -> DataFrame:
+    """Texts of a segment's windows from the ``nth`` on, cut where the anchor changes its half; each part has a key that equal
+    windows share."""
     shift, last_place = units.halvings - halving, units.window - units.gram
 
-    def make(cut: Cut) -> pa.RecordBatch:
-        _, anchor_at = _anchors(cut.spans, units)
-        at = anchor_at[cut.begin]
-        most, least = at - cut.begin, at - cut.begin - cut.number + 1  # units before the anchor, in the first and the last window
-        halves = (most >> shift) - (least >> shift) + 1
-        of = np.repeat(np.arange(len(at)), halves)
-        half = (most >> shift)[of] - ranges(np.zeros(len(at), np.int64), halves)
-        at, low, high = at[of], half << shift, np.minimum(((half + 1) << shift) - 1, last_place)
-        shared = cut.spans.hash(at - low, at - high + units.window)
-        key = mix(shared + (half + 1).astype(np.uint64) * np.uint64(_GOLDEN))
-        begin = at - np.minimum(high, most[of])
-        number = at - np.maximum(low, least[of]) - begin + 1
-        part = cut.spans.hash(begin, begin + number - 1 + units.window)
-        moved = begin - cut.begin[of]
-        listed = {n: values[of] for n, values in cut.listed.items()}
-        place = (listed["place"] // START + moved) * START + TIMES + number
-        columns = [listed["anchor"], listed["segment"], listed["nth"] + moved, key.view(np.int64), part.view(np.int64), listed["id"], place, listed["copies"]]
-        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=PARTS)
-
-    return _cut(texts, rows, units, make, ", ".join(f"{c} long" for c in PARTS))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = {n: batch.column(n).to_numpy() for n in ("anchor", "segment", "nth", "id", "start", "copies")}
+            for block in blocks(batch.column("body")):
+                starts, ends, firsts = units.places(block)
+                spans = Spans(units.codes(block, starts, ends))
+                first, at = firsts[:-1], _anchors(spans, units)[1][firsts[:-1]]
+                # units before the anchor, in the first and in the last window
+                most, least = at - first, at - (firsts[1:] - units.window)
+                halves = (most >> shift) - (least >> shift) + 1
+                of = np.repeat(np.arange(block.rows), halves)
+                half = (most >> shift)[of] - ranges(np.zeros(block.rows, np.int64), halves)
+                at, low, high = at[of], half << shift, np.minimum(((half + 1) << shift) - 1, last_place)
+                shared = spans.hash(at - low, at - high + units.window)
+                key = mix(shared + (half + 1 + (halving << 8)).astype(np.uint64) * np.uint64(_GOLDEN)).view(np.int64)
+                begin, end = at - np.minimum(high, most[of]), at - np.maximum(low, least[of]) + units.window
+                part, moved = spans.hash(begin, end).view(np.int64), begin - first[of]
+                data = block.data.tobytes()
+                bodies = [data[a:b] for a, b in zip(starts[begin].tolist(), ends[end - 1].tolist())]
+                mine = {n: values[block.first_row + of] for n, values in flat.items()}
+                columns = [mine["anchor"], mine["segment"], mine["nth"] + moved, key, part, mine["id"], mine["start"] + moved, mine["copies"]]
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in columns] + [pa.array(bodies, pa.binary())], names=[*PARTS, "body"])
+
+    rows = rows.select("anchor", "segment", "nth", "id", "start", "copies", "body")
+    return rows.mapInArrow(cut, ", ".join(f"{c} long" for c in PARTS) + ", body binary")
 
 
 FIRSTS = "anchor long, digest long, lo long, hi long, first_id long, first_start long"
@@ -287,38 +272,42 @@ def _crowded(segments: DataFrame) -> DataFrame:
     return segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_SEGMENTS).select("anchor")
 
 
-def _window_places(texts: DataFrame, segments: DataFrame, units: Units, finder: Finder, parts: int) -> DataFrame:
+def _window_places(docs_texts: DataFrame, segments: DataFrame, units: Units, finder: Finder, parts: int) -> DataFrame:
     """First places of the windows of all segments, of crowded anchors by parts of their segments."""
-    spark = texts.sparkSession
+    spark = docs_texts.sparkSession
+    texts = docs_texts.select("_id", "text")
     crowded = stage(spark, _crowded(segments), "crowded-anchors")
-    found = _first_places(_segment_texts(texts, segments.join(crowded, "anchor", "left_anti"), units), finder, parts)
-    rows = segments.join(crowded, "anchor", "left_semi").withColumn("segment", F.col("digest")).withColumn("nth", F.lit(0).cast("long"))
+    even = segments.join(crowded, "anchor", "left_anti")
+    found = _first_places(_segment_texts(texts.repartition(parts, "_id"), even, units), finder, parts)
+    if crowded.isEmpty():
+        return found
+    # the texts of crowded segments are cut out of the documents once, and halved from there on
+    rows = _segment_texts(texts, segments.join(crowded, "anchor", "left_semi"), units)
+    rows = rows.withColumn("segment", F.col("digest")).withColumn("nth", F.lit(0).cast("long"))
+    settled = []
     for halving in range(1, units.halvings + 1):
+        halves = stage(spark, _halves(rows, units, halving), "halves")
+        crowded = _crowded(halves.select(F.col("key").alias("anchor"), "part").distinct()).withColumnRenamed("anchor", "key")
+        if halving == units.halvings:
+            settled.append(halves)  # parts of one window under the hash of that window
+            break
+        crowded = stage(spark, crowded, "crowded-keys")
+        settled.append(halves.join(crowded, "key", "left_anti"))
         if crowded.isEmpty():
             break
-        halves = stage(spark, _halves(texts, rows, units, halving), "halves")
-        pieces = stage(
-            spark,
-            halves.groupBy(F.col("key").alias("anchor"), F.col("part").alias("digest"))
-            .agg(F.min(F.struct("id", "place")).alias("_first"), F.sum("copies").alias("copies"))
-            .select("anchor", "digest", "_first.*", "copies"),
-            "pieces",
-        )
-        settled = pieces
-        if halving < units.halvings:
-            crowded = stage(spark, _crowded(pieces), "crowded-keys")
-            settled = pieces.join(crowded, "anchor", "left_anti")
-        places = _first_places(_segment_texts(texts, settled, units), finder, parts)
-        places = places.withColumnsRenamed({"anchor": "key", "digest": "part"})
-        found = found.unionByName(
-            halves.join(places, ["key", "part"]).select(
-                "anchor", "digest", (F.col("nth") + F.col("lo")).alias("lo"), (F.col("nth") + F.col("hi")).alias("hi"), "first_id", "first_start"
-            )
-        )
-        rows = halves.join(crowded.withColumnRenamed("anchor", "key"), "key", "left_semi").select(
-            "anchor", F.col("digest").alias("segment"), "nth", F.col("part").alias("digest"), "id", "place", "copies"
+        rows = halves.join(crowded, "key", "left_semi")
+    pieces = reduce(DataFrame.unionByName, settled)
+    firsts = pieces.groupBy(F.col("key").alias("anchor"), F.col("part").alias("digest")).agg(
+        F.min(F.struct("id", "start", "body")).alias("_first"), F.sum("copies").alias("copies")
+    )
+    places = _first_places(firsts.select("anchor", "digest", "_first.*", "copies"), finder, parts)
+    places = places.withColumnsRenamed({"anchor": "key", "digest": "part"})
+    return found.unionByName(
+        pieces.join(places, ["key", "part"]).select(
+            "anchor", F.col("segment").alias("digest"), (F.col("nth") + F.col("lo")).alias("lo"), (F.col("nth") + F.col("hi")).alias("hi"),
+            "first_id", "first_start",
         )
-    return found
+    )
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -364,8 +353,7 @@ def repeated_ranges(docs_texts: DataFrame, units: Units, finder: Finder, within:
         .select("anchor", "digest", "_first.*", "copies"),
         "segments",
     )
-    texts = docs_texts.select("_id", "text").repartition(parts, "_id")
-    found = _window_places(texts, segments, units, finder, parts)
+    found = _window_places(docs_texts, segments, units, finder, parts)
     start, number = F.shiftright("place", START.bit_length() - 1), F.col("place").bitwiseAND(TIMES - 1)
     own = (F.col("first_id") == F.col("id")) & (F.col("first_start") == start + F.col("lo"))
     if within:  # the first of all keeps itself, and loses what comes again after it

@@ -12,6 +12,7 @@ from orderloom.operators.numbering import numbered
 from orderloom.schemas import ORDER_DOCUMENT, ORDER_RESPONSE, SEARCH_RESPONSE
 
 RESPONSE_VERSION = 9
+FILE_ORDERS = 100_000  # the most orders of one landed file, which is one task's work to read
 
 
 def _options(reader, multi_line: bool = False):
@@ -97,7 +98,8 @@ def write_order_documents(documents: DataFrame, path: str, ingested_at: datetime
     """Append orders below ``path``, one response object per line, in folders by ingest year, month and time (UTC).
 
     A response holds ``batch`` orders. Orders are numbered without gaps before they are gathered, so that no response grows
-    beyond that, however the orders are dealt out.
+    beyond that, however the orders are dealt out. Files are compressed, which leaves a fifteenth of the text; since gzip does not
+    split over tasks, a file holds ``FILE_ORDERS`` orders at most.
     """
     present = [name for name in ORDER_DOCUMENT.names if name in documents.columns]
     order = F.struct(*present)
@@ -114,7 +116,8 @@ def write_order_documents(documents: DataFrame, path: str, ingested_at: datetime
         F.lit(f"{ingested_at:%m}").alias("month"),
         F.lit(f"{ingested_at:%Y%m%d%H%M%S}").alias("landing"),
     )
-    response.write.mode("append").partitionBy("year", "month", "landing").json(path)
+    writer = response.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", max(FILE_ORDERS // batch, 1))
+    writer.partitionBy("year", "month", "landing").json(path)
 
 
 def write_text(lines: DataFrame, path: str) -> None:

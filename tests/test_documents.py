@@ -227,6 +227,20 @@ def test_documents_of_a_hundred_orders(spark, tmp_path):
     assert sorted((r.orderNumber, r.totalPrice) for r in again.collect()) == sorted((r.orderNumber, r.totalPrice) for r in orders.collect())
 
 
+def test_landed_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    """gzip does not split, so no file may hold more than one task should read."""
+    monkeypatch.setattr(documents, "FILE_ORDERS", 200)
+    orders = spark.range(1005).coalesce(1).selectExpr("cast(id as string) as orderNumber", "cast(id as string) as totalPrice")
+    for batch in (1, 100):
+        path = tmp_path / f"raw-{batch}"
+        documents.write_order_documents(orders, str(path), datetime(2024, 7, 3), batch=batch)
+        files = [f for f in path.rglob("part-*")]
+        assert all(f.name.endswith(".json.gz") for f in files)
+        held = [spark.read.json(str(f)).selectExpr("sum(size(OrderModelList))").first()[0] for f in files]
+        assert sum(held) == 1005 and max(held) <= 200
+        assert documents.read_order_documents(spark, str(path)).select("orderNumber").distinct().count() == 1005
+
+
 def test_text_sink(spark, tmp_path):
     lines = spark.createDataFrame([("one",), ("two",)], "value string")
     documents.write_text(lines, str(tmp_path / "logs"))

@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from orderloom import schemas, tabled
 from orderloom.operators import flatten, quality, tables
 from orderloom.plans.jobs import Warehouse
-from orderloom.session import pin_utc, scratch, stage
-from orderloom.sources.documents import first_documents, landed_orders, response_reader
+from orderloom.session import pin_utc, scratch
+from orderloom.sources.documents import landed_orders, response_reader, staged_once
 
 
 def apply_batch(
@@ -34,7 +34,7 @@ def apply_batch(
     if known is not None and int(known) >= batch:
         return False
     with scratch(spark):
-        staged = first_documents(stage(spark, documents, "batch"))
+        staged = staged_once(documents, "batch")
         fit, bad = quality.split_documents(staged)
         if not bad.isEmpty():
             if quarantine is None:
@@ -42,7 +42,6 @@ def apply_batch(
                 raise ValueError(f"documents rejected in batch {batch}: {rules}")
             # a folder of its own for every batch, so that a batch that comes again writes the same
             bad.write.mode("overwrite").json(f"{quarantine}/{stream}-batch={batch}")
-        fit = stage(spark, fit, "fit")
         orders, items = flatten.normalize_all(fit, run_at, with_order_datetime=True)
         numbers = fit.select(F.col("orderNumber").alias("order_number"))
         content = {orders_path: (schemas.ORDERS, orders), items_path: (schemas.ORDER_ITEMS, items)}

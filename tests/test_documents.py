@@ -241,6 +241,33 @@ def test_landed_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
         assert documents.read_order_documents(spark, str(path)).select("orderNumber").distinct().count() == 1005
 
 
+def test_documents_without_copies_are_not_joined(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    numbers = spark.createDataFrame([("1",), ("2",), (None,), (None,)], "orderNumber string")
+    documents.write_order_documents(numbers, path, datetime(2024, 7, 3))
+    staged = stage(spark, documents.read_order_documents(spark, path), "docs")
+    kept = documents.first_documents(staged)
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(str(r.orderNumber) for r in kept.collect()) == ["1", "2", "None", "None"]
+
+
+@pytest.mark.parametrize("newer", [range(6), range(3), range(4, 9)])
+def test_files_that_came_again_as_a_whole_are_not_shuffled(spark, tmp_path, newer):
+    """An older landing goes as a whole, in part, or has numbers of its own; documents without a number all stay."""
+    path = str(tmp_path / "raw")
+    for numbers, day, price in ((range(6), 3, "old"), (newer, 9, "new")):
+        rows = spark.createDataFrame([(str(n), price) for n in numbers] + [(None, price)], "orderNumber string, totalPrice string").coalesce(1)
+        documents.write_order_documents(rows, path, datetime(2024, 7, day))
+    staged = stage(spark, documents.read_order_documents(spark, path), "docs")
+    kept = documents.first_documents(staged)
+    wanted = {str(n): "old" for n in range(6)} | {str(n): "new" for n in newer}
+    assert sorted((r.orderNumber, r.totalPrice) for r in kept.collect() if r.orderNumber) == sorted(wanted.items())
+    assert sorted(r.totalPrice for r in kept.collect() if not r.orderNumber) == ["new", "old"]
+    if list(newer) == list(range(6)):
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
 def test_text_sink(spark, tmp_path):
     lines = spark.createDataFrame([("one",), ("two",)], "value string")
     documents.write_text(lines, str(tmp_path / "logs"))

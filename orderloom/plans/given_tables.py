@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.functions.calendar import iso_local
+from orderloom.operators.flatten import attach_order_datetime
 from orderloom.schemas import NUMBER, ORDER_DOCUMENT, TEXT, WHOLE, table
 
 # These products are left out of the master, so that sold products without one exist.
@@ -70,10 +71,23 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shop_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).select(F.col("l_orderkey").cast("string").alias("order_number"), *_item_columns())
+
+
+def timed_items(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """``shop_items`` with the times of their orders. The lines meet the orders before they get the texts of their product, so
+    that what is shuffled for it is narrow."""
+    lines = given(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("order_number"), "l_partkey", "l_suppkey", F.col("l_quantity").cast("bigint").alias("l_quantity")
+    )
+    timed = attach_order_datetime(lines, orders).join(given(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return timed.select("order_number", *_item_columns(), "order_datetime")
+
+
+def _item_columns() -> list[Column]:
     quantity = F.col("l_quantity").cast("bigint")
     subtotal = F.col("p_retailprice").cast("decimal(12,2)") * quantity.cast("decimal(12,0)")
-    return _lines(spark, sf_dir).select(
-        F.col("l_orderkey").cast("string").alias("order_number"),
+    return [
         F.col("l_suppkey").cast("string").alias("basket_id"),
         F.col("p_brand").alias("manage_number"),
         F.col("p_name").alias("item_name"),
@@ -81,7 +95,7 @@ def shop_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         quantity.alias("quantity"),
         F.col("p_retailprice").alias("price_tax_incl"),
         subtotal.cast("double").alias("subtotal"),
-    )
+    ]
 
 
 def shop_master(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,10 @@ import re
 
 import pytest
 
+from orderloom.operators import flatten
+from orderloom.plans import catalogue, given_tables
 from orderloom.plans.catalogue import QUERIES
+from orderloom.session import stage
 
 SF_DIR = "/root/testdata/sf0.001"
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas", "MapInArrow", "collect_list", "collect_set"]
@@ -33,3 +36,36 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string>" in plan
     plan = QUERIES["product_master_best"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Not(In(p_brand" in plan.replace("IsNotNull(p_brand), ", "")
+
+
+def test_items_meet_their_orders_before_they_get_texts(spark):
+    """What is shuffled to find an item's time has no product text in it, and the rows are those of the plain join."""
+    sf_dir = "/root/testdata/sf0.001"
+    orders = given_tables.shop_orders(spark, sf_dir)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        timed = given_tables.timed_items(spark, sf_dir, orders)
+        plan = timed._jdf.queryExecution().optimizedPlan().toString()
+        # the join with the product is above the join with the order: its tree starts with fewer marks
+        joins = [line for line in plan.splitlines() if "Join" in line]
+        assert len(joins) == 2 and "order_number" in joins[1] and "l_partkey" in joins[0]
+        plain = flatten.attach_order_datetime(given_tables.shop_items(spark, sf_dir), orders)
+        assert sorted(map(str, timed.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_refreshed_cohorts_join_their_items_once(spark, monkeypatch):
+    seen = []
+
+    def staged(session, rows, label, **options):
+        seen.append(label)
+        if label == "timed-items":
+            raise InterruptedError(label)  # what follows is tested with the query
+        return stage(session, rows, label, **options)
+
+    monkeypatch.setattr(catalogue, "stage", staged)
+    with pytest.raises(InterruptedError):
+        catalogue.QUERIES["job_refresh_cohorts"](spark, "/root/testdata/sf0.001")
+    assert seen == ["timed-items"]

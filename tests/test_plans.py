@@ -4,7 +4,10 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from orderloom.operators import flatten
+from orderloom.operators.numbering import numbered, numbered_as_they_lie
 from orderloom.plans import catalogue, given_tables
 from orderloom.plans.catalogue import QUERIES
 from orderloom.session import stage
@@ -69,3 +72,15 @@ def test_refreshed_cohorts_join_their_items_once(spark, monkeypatch):
     with pytest.raises(InterruptedError):
         catalogue.QUERIES["job_refresh_cohorts"](spark, "/root/testdata/sf0.001")
     assert seen == ["timed-items"]
+
+
+@pytest.mark.parametrize("n", [0, 1, 1003])
+def test_numbers_are_gapless_without_a_join(spark, n):
+    rows = spark.range(0, 2 * n, 2, 7).withColumn("text", F.concat(F.lit("t"), "id")).where("id % 3 <> 1 or id < 500")
+    wanted = rows.count()
+    for placed in (numbered(rows, [F.col("id").desc()], "test"), numbered_as_they_lie(rows, "test")):
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
+        assert sorted(r.position for r in placed.collect()) == list(range(wanted))
+    ordered = [r.id for r in numbered(rows, [F.col("id").desc()], "test").orderBy("position").collect()]
+    assert ordered == sorted(ordered, reverse=True)

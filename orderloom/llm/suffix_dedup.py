@@ -36,7 +36,8 @@ def smaller_than_successor(text: np.ndarray) -> np.ndarray:
 def two_stage_order(text: np.ndarray, real: np.ndarray, depth: int) -> np.ndarray:
     """The suffixes at the places ``real`` in order. Type B suffixes are compared over ``depth`` bytes.
 
-    ``text`` holds bytes above 0, and at least ``depth`` zeros after every segment; the first of them is in ``real``.
+    ``text`` holds bytes above 0, and at least ``depth`` zeros after every segment. ``real`` has the first places of every segment,
+    as far as some suffix of type B; the first of the zeros is one.
     Two suffixes that share more than ``depth`` bytes may stand in any order, next to each other.
     """
     kind = smaller_than_successor(text)
@@ -70,6 +71,15 @@ def two_stage_order(text: np.ndarray, real: np.ndarray, depth: int) -> np.ndarra
     return np.array(out, dtype=np.int64)
 
 
+def holding_windows(text: np.ndarray, base: np.ndarray, lengths: np.ndarray, window: int) -> np.ndarray:
+    """The places that have to be sorted: those where a whole window fits into a segment, and behind the last of them those up to
+    a suffix of type B, which puts it in order. The others neither hold a window nor induce one that does."""
+    held = np.flatnonzero(smaller_than_successor(text) | (text == 0))
+    last = base + lengths - window
+    ends = np.where(lengths < window, base, held[np.searchsorted(held, np.maximum(last, base))] + 1)
+    return ranges(base, ends - base)
+
+
 def common_prefix_reaches(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """Whether each suffix shares its first ``length`` bytes with the one before it in the order."""
     rows = np.lib.stride_tricks.sliding_window_view(text, length)
@@ -86,21 +96,22 @@ def first_windows(bodies: list[bytes], ids: np.ndarray, starts: np.ndarray, copi
     depth = window + 4
     base = np.concatenate(([0], np.cumsum(lengths + depth)[:-1]))
     text = np.zeros(int((lengths + depth).sum()), dtype=np.uint8)
-    inside = ranges(base, lengths)
     # no byte of UTF-8 is 255, so that one more than the byte fits
-    text[inside] = np.minimum(np.frombuffer(b"".join(bodies), dtype=np.uint8), 254) + 1
-    order = two_stage_order(text, np.sort(np.concatenate([inside, base + lengths])), depth)
+    text[ranges(base, lengths)] = np.minimum(np.frombuffer(b"".join(bodies), dtype=np.uint8), 254) + 1
+    order = two_stage_order(text, holding_windows(text, base, lengths, window), depth)
 
     segment_of = np.searchsorted(base, order, side="right") - 1
     nth = order - base[segment_of]
     whole = nth <= lengths[segment_of] - window
     order, segment_of, nth = order[whole], segment_of[whole], nth[whole]
-    group = np.cumsum(~common_prefix_reaches(text, order, window)) - 1 if len(order) else order
+    if not len(order):
+        return joined_windows(*(np.zeros(0, np.int64),) * 4)
+    new = ~common_prefix_reaches(text, order, window)
+    group, heads = np.cumsum(new) - 1, np.flatnonzero(new)
     doc, start = ids[segment_of], starts[segment_of] + nth
-    ranked = np.lexsort((start, doc, group))
-    heads = np.flatnonzero(np.append(True, np.diff(group[ranked]) > 0)) if len(group) else ranked
-    first_doc, first_start = doc[ranked][heads][group], start[ranked][heads][group]
-    again = np.bincount(group, weights=copies[segment_of])[group] > 1 if len(group) else np.zeros(0, bool)
+    first_doc = np.minimum.reduceat(doc, heads)[group]
+    first_start = np.minimum.reduceat(np.where(doc == first_doc, start, np.iinfo(np.int64).max), heads)[group]
+    again = np.add.reduceat(copies[segment_of], heads)[group] > 1
     return joined_windows(segment_of[again], nth[again], first_doc[again], first_start[again])
 
 

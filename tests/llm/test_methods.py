@@ -56,6 +56,24 @@ def test_two_stage_order_is_the_suffix_order(bodies):
     assert [suffixes[p] for p in order.tolist()] == sorted(suffixes.values())
 
 
+def test_suffix_finder_sorts_only_what_holds_a_window(monkeypatch):
+    sorted_places = []
+
+    def spy(text, real, depth, order=suffix_dedup.two_stage_order):
+        sorted_places.append(len(real))
+        return order(text, real, depth)
+
+    monkeypatch.setattr(suffix_dedup, "two_stage_order", spy)
+    draw = np.random.default_rng(7)
+    bodies = [bytes(draw.integers(97, 123, 150).astype(np.uint8)) for _ in range(50)] + [b"z" * 150, b"short"]
+    bodies += [bodies[3][:140]]
+    numbers = np.arange(len(bodies))
+    found = suffix_dedup.first_windows(bodies, numbers, numbers * 0, numbers * 0 + 1)
+    # 51 places of each long body hold 100 bytes, and few follow until one is smaller than its successor; a run of z ends with the body
+    assert sorted_places[0] < 51 * 60 + 100
+    assert sorted(zip(*(c.tolist() for c in found))) == [(3, 0, 41, 3, 0), *[(50, k, k + 1, 50, 0) for k in range(51)], (52, 0, 41, 3, 0)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="ab", min_size=6, max_size=20), min_size=1, max_size=6), st.booleans())
 def test_finders_tell_first_places(texts, words):

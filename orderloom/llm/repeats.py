@@ -171,11 +171,15 @@ def _runs(texts: DataFrame, units: Units) -> DataFrame:
     return texts.select("_id", "text").mapInArrow(find, "anchor long, digest long, id long, place long")
 
 
-def _segment_texts(texts: DataFrame, places: DataFrame, units: Units) -> DataFrame:
-    """The texts of segments at their first places."""
-    listed = places.groupBy(F.col("id").alias("_id")).agg(
+def _listed(places: DataFrame) -> DataFrame:
+    """The segments that have their first place in a document, one row for each document."""
+    return places.groupBy(F.col("id").alias("_id")).agg(
         F.collect_list(F.struct("anchor", "digest", "place", "copies")).alias("places")  # as long as the document at most
     )
+
+
+def _segment_texts(texts: DataFrame, listed: DataFrame, units: Units) -> DataFrame:
+    """The texts of segments at their first places."""
     schema = "anchor long, digest long, id long, start long, copies long, body binary"
     names = ["anchor", "digest", "id", "start", "copies", "body"]
 
@@ -278,11 +282,13 @@ def _window_places(docs_texts: DataFrame, segments: DataFrame, units: Units, fin
     texts = docs_texts.select("_id", "text")
     crowded = stage(spark, _crowded(segments), "crowded-anchors")
     even = segments.join(crowded, "anchor", "left_anti")
-    found = _first_places(_segment_texts(texts.repartition(parts, "_id"), even, units), finder, parts)
+    found = _first_places(_segment_texts(texts.repartition(parts, "_id"), _listed(even), units), finder, parts)
     if crowded.isEmpty():
         return found
-    # the texts of crowded segments are cut out of the documents once, and halved from there on
-    rows = _segment_texts(texts, segments.join(crowded, "anchor", "left_semi"), units)
+    # the texts of crowded segments are cut out of the documents once, and halved from there on. Staged, the list of a few
+    # crowded segments has a known size, so that Spark broadcasts it and leaves the documents where they are
+    listed = stage(spark, _listed(segments.join(crowded, "anchor", "left_semi")), "crowded-places")
+    rows = _segment_texts(texts, listed, units)
     rows = rows.withColumn("segment", F.col("digest")).withColumn("nth", F.lit(0).cast("long"))
     settled = []
     for halving in range(1, units.halvings + 1):

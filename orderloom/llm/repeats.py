@@ -68,6 +68,14 @@ class Units:
         every = np.arange(len(block.data))
         return every, every + 1, block.offsets
 
+    def bodies(self, block: Block, starts: np.ndarray, ends: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+        """The units [begin, end), words joined by one space."""
+        pairs = zip(begin.tolist(), end.tolist())
+        if self.words:
+            return pa.array([b" ".join([block.data[s:e].tobytes() for s, e in zip(starts[a:b], ends[a:b])]) for a, b in pairs], pa.binary())
+        data = block.data.tobytes()
+        return pa.array([data[a:b] for a, b in pairs], pa.binary())
+
     def codes(self, block: Block, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return block.span_hash(starts, ends) if self.words else _BYTE_CODES[block.data]
 
@@ -171,15 +179,11 @@ def _runs(texts: DataFrame, units: Units) -> DataFrame:
     return texts.select("_id", "text").mapInArrow(find, "anchor long, digest long, id long, place long")
 
 
-def _listed(places: DataFrame) -> DataFrame:
-    """The segments that have their first place in a document, one row for each document."""
-    return places.groupBy(F.col("id").alias("_id")).agg(
+def _segment_texts(texts: DataFrame, places: DataFrame, units: Units) -> DataFrame:
+    """The texts of segments at their first places."""
+    listed = places.groupBy(F.col("id").alias("_id")).agg(
         F.collect_list(F.struct("anchor", "digest", "place", "copies")).alias("places")  # as long as the document at most
     )
-
-
-def _segment_texts(texts: DataFrame, listed: DataFrame, units: Units) -> DataFrame:
-    """The texts of segments at their first places."""
     schema = "anchor long, digest long, id long, start long, copies long, body binary"
     names = ["anchor", "digest", "id", "start", "copies", "body"]
 
@@ -200,18 +204,7 @@ def _segment_texts(texts: DataFrame, listed: DataFrame, units: Units) -> DataFra
                 spans = Spans(units.codes(block, starts, ends))
                 same = spans.hash(begin, begin + number - 1 + units.window).view(np.int64) == flat["digest"][mine]
                 mine, row, start, number, begin = mine[same], row[same], start[same], number[same], begin[same]
-                if units.words:
-                    bodies = pa.array(
-                        [
-                            b" ".join([block.data[s:e].tobytes() for s, e in zip(starts[b : b + k], ends[b : b + k])])
-                            for b, k in zip(begin.tolist(), (number - 1 + units.window).tolist())
-                        ],
-                        pa.binary(),
-                    )
-                else:
-                    data = block.data.tobytes()
-                    lasts = (begin + number - 1 + units.window).tolist()
-                    bodies = pa.array([data[b:e] for b, e in zip(begin.tolist(), lasts)], pa.binary())
+                bodies = units.bodies(block, starts, ends, begin, begin + number - 1 + units.window)
                 numbers = [flat["anchor"][mine], flat["digest"][mine], ids[row + block.first_row], start, flat["copies"][mine]]
                 columns = [pa.array(c, pa.int64()) for c in numbers] + [bodies]
                 yield pa.record_batch(columns, names=names)
@@ -219,6 +212,29 @@ def _segment_texts(texts: DataFrame, listed: DataFrame, units: Units) -> DataFra
     return texts.join(listed, "_id").select("_id", "text", "places").mapInArrow(cut, schema)
 
 
+def _crowded_texts(texts: DataFrame, places: DataFrame, crowded: np.ndarray, units: Units) -> DataFrame:
+    """The texts of crowded segments at their first places. Their runs are found again in the documents, which stay where they are:
+    only what is crowded is shuffled."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for block in blocks(batch.column(1)):
+                row, start, number, anchor, digest, times = runs_of(block, units)
+                mine = np.flatnonzero(np.isin(anchor.view(np.int64), crowded))
+                row, start, number, anchor, digest, times = (c[mine] for c in (row, start, number, anchor, digest, times))
+                starts, ends, firsts = units.places(block)
+                begin = firsts[row] + start
+                bodies = units.bodies(block, starts, ends, begin, begin + number - 1 + units.window)
+                place = start * START + times * TIMES + number
+                columns = [anchor.view(np.int64), digest.view(np.int64), ids[row + block.first_row], place, start]
+                names = ["anchor", "digest", "id", "place", "start", "body"]
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in columns] + [bodies], names=names)
+
+    found = texts.mapInArrow(find, "anchor long, digest long, id long, place long, start long, body binary")
+    return found.join(places, ["anchor", "digest", "id", "place"]).select("anchor", "digest", "id", "start", "copies", "body")
+
+
 PARTS = ["anchor", "segment", "nth", "key", "part", "id", "start", "copies"]
 
 
@@ -282,13 +298,13 @@ def _window_places(docs_texts: DataFrame, segments: DataFrame, units: Units, fin
     texts = docs_texts.select("_id", "text")
     crowded = stage(spark, _crowded(segments), "crowded-anchors")
     even = segments.join(crowded, "anchor", "left_anti")
-    found = _first_places(_segment_texts(texts.repartition(parts, "_id"), _listed(even), units), finder, parts)
-    if crowded.isEmpty():
+    found = _first_places(_segment_texts(texts.repartition(parts, "_id"), even, units), finder, parts)
+    # one anchor for every HOT_SEGMENTS segments at most
+    anchors = np.array([row[0] for row in crowded.collect()], dtype=np.int64)
+    if not len(anchors):
         return found
-    # the texts of crowded segments are cut out of the documents once, and halved from there on. Staged, the list of a few
-    # crowded segments has a known size, so that Spark broadcasts it and leaves the documents where they are
-    listed = stage(spark, _listed(segments.join(crowded, "anchor", "left_semi")), "crowded-places")
-    rows = _segment_texts(texts, listed, units)
+    # the texts of crowded segments are cut out of the documents once, and halved from there on
+    rows = _crowded_texts(texts, segments.join(crowded, "anchor", "left_semi"), anchors, units)
     rows = rows.withColumn("segment", F.col("digest")).withColumn("nth", F.lit(0).cast("long"))
     settled = []
     for halving in range(1, units.halvings + 1):

@@ -12,6 +12,8 @@ from orderloom.operators.merges import unmatched
 
 CANCELLED = ("900",)  # fixed value: cancellation confirmed; a pending one still counts as a sale
 
+MARKS = 1 << 26  # bits that tell items of first orders from most others: a million words of 64 at most
+
 FIRST_PURCHASE_COLUMNS = [
     "user_email", "first_order_number", "first_order_date", "first_order_month",
     "entry_manage_number", "entry_item_name",
@@ -81,14 +83,28 @@ def entry_items(items: DataFrame) -> DataFrame:
     return best.select("order_number", "best.manage_number", "best.item_name")
 
 
+def _marked_items(items: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The items of ``numbers`` and few others: those whose order number falls on one of the bits that the numbers set.
+
+    Words of 64 bits are broadcast, never more than ``MARKS`` bits, however many numbers there are.
+    """
+    place = F.pmod(F.xxhash64("order_number"), F.lit(MARKS))
+    bit = place.bitwiseAND(63).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    marks = numbers.groupBy(F.shiftright(place, 6).alias("_word")).agg(F.bit_or(one).alias("_marks"))
+    placed = items.withColumn("_word", F.shiftright(place, 6)).join(F.broadcast(marks), "_word")
+    return placed.where(F.getbit("_marks", bit) == 1).select(*items.columns)
+
+
 def entry_products(first: DataFrame, items: DataFrame, names: DataFrame) -> DataFrame:
     """First orders with their entry product, named by the master where it has a name.
 
-    Users whose first order has no item with a manage_number drop out. Items of other orders leave before the best
-    one is chosen: a user has one first order, and the history holds many more items than first orders have.
+    Users whose first order has no item with a manage_number drop out. Most items of other orders leave by their marks before
+    the best one is chosen: a user has one first order, and the history holds many more items than first orders have. The others
+    leave with the join. A semi join in its place would be pushed below the marks, and shuffle all items.
     """
     numbers = first.select(F.col("first_order_number").alias("order_number"))
-    best = entry_items(items.join(numbers, "order_number", "left_semi")).withColumnRenamed("order_number", "first_order_number")
+    best = entry_items(_marked_items(items, numbers)).withColumnRenamed("order_number", "first_order_number")
     entered = first.join(best, "first_order_number")
     named = entered.join(names, "manage_number", "left")
     return named.select(

@@ -63,6 +63,33 @@ def test_names_fall_back_to_the_item(spark):
     assert fp.first_purchases(orders, items, names).columns == fp.FIRST_PURCHASE_COLUMNS
 
 
+def test_items_of_later_orders_are_not_shuffled(spark, monkeypatch):
+    """A user's first order is one of a hundred here; also with so few marks that all are set, the result is the same."""
+    orders = spark.range(2000).select(
+        F.col("id").cast("string").alias("order_number"), (F.col("id") % 20).cast("string").alias("user_email"),
+        F.timestamp_seconds(F.col("id") * 60).alias("order_datetime"), F.lit("300").alias("order_status"), F.lit(1.0).alias("total_price"),
+    )
+    items = spark.range(6000).select(
+        (F.col("id") % 2000).cast("string").alias("order_number"), F.concat(F.lit("m"), "id").alias("manage_number"),
+        F.lit("x").alias("item_name"), F.col("id").cast("double").alias("subtotal"),
+    ).unionByName(items_of(spark, [(None, "m", "x", 1.0)]))
+    names = names_of(spark, [("m4000", "Master", None, None)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for marks in (fp.MARKS, 64):
+            monkeypatch.setattr(fp, "MARKS", marks)
+            first = fp.entry_products(fp.first_orders(orders), items, names)
+            plan = first._jdf.queryExecution().optimizedPlan().toString()
+            assert "LeftSemi" not in plan and plan.index("Aggregate [order_number") < plan.index("getbit(")  # looked up below the shuffle
+            assert sorted((int(r.user_email), r.entry_manage_number) for r in first.collect()) == [(n, f"m{4000 + n}") for n in range(20)]
+        monkeypatch.undo()
+        numbers = fp.first_orders(orders).select(F.col("first_order_number").alias("order_number"))
+        assert 60 <= fp._marked_items(items, numbers).count() < 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_merge_takes_new_users_of_the_month_once(spark):
     orders = orders_of(spark, [
         ("1", "old", "2024-01-05T00:00:00Z", "300", 1.0), ("2", "old", "2024-02-05T00:00:00Z", "300", 1.0),

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,27 +50,36 @@ def load(
     ignore_if_empty: bool = True,
     partition: str | None = None,
     ts_column: str | None = None,
+    derived: dict[str, Column] | None = None,
 ) -> bool:
     """Append to a table, replace it, or fill it only while it is empty. Empty input changes nothing.
 
-    Returns whether anything was written. The rows are computed once, and counted as they are written.
+    Returns whether anything was written. The rows are computed once, and counted as they are written. They are dealt out by month as
+    they come, and take the table's columns after that. ``derived`` has columns that follow from others of their row and are added then, so
+    that these are not shuffled either.
     """
     if disposition not in ("WRITE_APPEND", "WRITE_TRUNCATE", "WRITE_EMPTY"):
         raise ValueError(f"unknown disposition {disposition!r}")
-    rows = conform(rows, schema)
+    keep: tuple[str, ...] = ()
     if partition and ts_column:
-        rows = with_month(rows, ts_column, partition)
+        placed = F.col(ts_column) if ts_column in rows.columns else F.lit(None)
+        rows = rows.withColumn(partition, business_month(placed.cast(schema[ts_column].dataType)))
+        keep = () if partition in schema.names else (partition,)
+
+    def finish(dealt: DataFrame) -> DataFrame:
+        return conform(dealt.withColumns(derived or {}), schema, keep)
+
     ensure_table(spark, path, schema, partition)
     if disposition == "WRITE_EMPTY" and not read_table(spark, path, schema, partition).isEmpty():
         raise ValueError(f"the table at {path} already has rows")
     if disposition == "WRITE_TRUNCATE":
-        written = tabled.write(spark, rows, path, partition)
+        written = tabled.write(spark, rows, path, partition, finish=finish)
         loaded = written.rows
         if loaded:
             emptied = dict.fromkeys(tabled.parts(spark, path)) if partition else {}
             tabled.switch(spark, path, partition, emptied | tabled.places(written, partition))
     else:
-        loaded = tabled.append(spark, rows, path, partition)
+        loaded = tabled.append(spark, rows, path, partition, finish)
     if not loaded and not ignore_if_empty:
         raise ValueError("no rows to load")
     return loaded > 0

@@ -359,19 +359,25 @@ def job_load_span(spark, sf):
     return orders.unionByName(items)
 
 
-def _facts(spark, sf) -> tuple[DataFrame, DataFrame]:
-    stamp = F.lit(str(INGESTED_AT)).cast("timestamp")
-    orders = given.shop_orders(spark, sf).withColumn("inserted_at", stamp)
-    items = given.timed_items(spark, sf, orders)
-    return orders, items.withColumn("item_id", F.col("variant_id")).withColumn("inserted_at", stamp)
+def _facts(spark, sf) -> dict[str, tuple[DataFrame, dict]]:
+    """Orders and order lines with their times, and the columns that their tables make of them."""
+    stamp = {"inserted_at": F.lit(str(INGESTED_AT)).cast("timestamp")}
+    orders = given.shop_orders(spark, sf)
+    items = given.item_columns()
+    return {
+        "orders": (orders, stamp),
+        "order_items": (given.timed_lines(spark, sf, orders), {**items, "item_id": items["variant_id"], **stamp}),
+    }
 
 
 def _house(spark, sf) -> jobs.Warehouse:
     """A warehouse with the shop's orders, items and master."""
     house = jobs.Warehouse(scratch_path(spark, "house"))
     house.create(spark)
-    for name, rows in zip(("orders", "order_items"), _facts(spark, sf)):
-        tables.load(spark, rows, house.path(name), house.SCHEMAS[name], partition="order_month", ts_column="order_datetime")
+    for name, (rows, derived) in _facts(spark, sf).items():
+        tables.load(
+            spark, rows, house.path(name), house.SCHEMAS[name], partition="order_month", ts_column="order_datetime", derived=derived
+        )
     return house
 
 
@@ -410,17 +416,19 @@ def job_refresh_cohorts(spark, sf):
     house = jobs.Warehouse(scratch_path(spark, "house"))
     house.create(spark)
     jobs.sync_master(spark, house, given.shop_master(spark, sf), required=True)
-    orders, items = _facts(spark, sf)
+    facts = _facts(spark, sf)
     # every load reads the items, which are joined once
-    items = stage(spark, items, "timed-items", codec="zstd")
+    facts["order_items"] = stage(spark, facts["order_items"][0], "timed-items", codec="zstd"), facts["order_items"][1]
     early = F.col("order_datetime") < F.lit(iso_instant(LAST_MONTHS[0])).cast("timestamp")
-    for name, rows in (("orders", orders), ("order_items", items)):
-        tables.load(spark, rows.where(early), house.path(name), house.SCHEMAS[name], partition="order_month", ts_column="order_datetime")
+    for name, (rows, derived) in facts.items():
+        tables.load(
+            spark, rows.where(early), house.path(name), house.SCHEMAS[name], partition="order_month", ts_column="order_datetime", derived=derived
+        )
     jobs.initial_load(spark, house, INGESTED_AT)
     for start in LAST_MONTHS:
         end = shift_month(start, 1)
         inside = merges.in_range("order_datetime", iso_instant(start), iso_instant(end))
-        incoming = {house.path(name): (house.SCHEMAS[name], rows.where(inside)) for name, rows in (("orders", orders), ("order_items", items))}
+        incoming = {house.path(name): (house.SCHEMAS[name], rows.where(inside).withColumns(derived)) for name, (rows, derived) in facts.items()}
         tables.replace_ranges(spark, incoming, "order_datetime", iso_instant(start), iso_instant(end))
         jobs.merge_first_purchases(spark, house, start, run_at=INGESTED_AT)
         jobs.refresh_ltv(spark, house, [start.date()], INGESTED_AT)

@@ -71,31 +71,41 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shop_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir).select(F.col("l_orderkey").cast("string").alias("order_number"), *_item_columns())
+    return _lines(spark, sf_dir).select(F.col("l_orderkey").cast("string").alias("order_number"), *_named(item_columns()))
 
 
-def timed_items(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
-    """``shop_items`` with the times of their orders. The lines meet the orders before they get the texts of their product, so
-    that what is shuffled for it is narrow."""
+def timed_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """Order lines with the times of their orders and what items show of their product. The lines meet the orders before they get the
+    texts of their product, so that what is shuffled for it is narrow."""
     lines = given(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("order_number"), "l_partkey", "l_suppkey", F.col("l_quantity").cast("bigint").alias("l_quantity")
     )
     timed = attach_order_datetime(lines, orders).join(given(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return timed.select("order_number", *_item_columns(), "order_datetime")
+    return timed.select("order_number", "l_partkey", "l_suppkey", "l_quantity", "p_brand", "p_name", "p_retailprice", "order_datetime")
+
+
+def timed_items(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """``shop_items`` with the times of their orders."""
+    return timed_lines(spark, sf_dir, orders).select("order_number", *_named(item_columns()), "order_datetime")
 
 
-def _item_columns() -> list[Column]:
+def item_columns() -> dict[str, Column]:
+    """What an item says of its line and product."""
     quantity = F.col("l_quantity").cast("bigint")
     subtotal = F.col("p_retailprice").cast("decimal(12,2)") * quantity.cast("decimal(12,0)")
-    return [
-        F.col("l_suppkey").cast("string").alias("basket_id"),
-        F.col("p_brand").alias("manage_number"),
-        F.col("p_name").alias("item_name"),
-        F.col("l_partkey").cast("string").alias("variant_id"),
-        quantity.alias("quantity"),
-        F.col("p_retailprice").alias("price_tax_incl"),
-        subtotal.cast("double").alias("subtotal"),
-    ]
+    return {
+        "basket_id": F.col("l_suppkey").cast("string"),
+        "manage_number": F.col("p_brand"),
+        "item_name": F.col("p_name"),
+        "variant_id": F.col("l_partkey").cast("string"),
+        "quantity": quantity,
+        "price_tax_incl": F.col("p_retailprice"),
+        "subtotal": subtotal.cast("double"),
+    }
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [value.alias(name) for name, value in columns.items()]
 
 
 def shop_master(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -88,10 +88,13 @@ def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def write(
-    spark: SparkSession, rows: DataFrame, path: str, partition: str | None, order: Sequence[str] = (), files: int | None = None
+    spark: SparkSession, rows: DataFrame, path: str, partition: str | None, order: Sequence[str] = (), files: int | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Written:
-    """Write rows to a new folder. They are counted as they are written, and not read again."""
-    dealt, seen = _counted(_clustered(rows, partition, order, files) if order else _dealt(rows, partition))
+    """Write rows to a new folder. They are counted as they are written, and not read again. ``finish`` gives them their columns after they are
+    dealt out, row by row."""
+    dealt = _clustered(rows, partition, order, files) if order else _dealt(rows, partition)
+    dealt, seen = _counted(finish(dealt) if finish else dealt)
     folder = f"{path}/load={uuid.uuid4().hex}"
     writer = dealt.write
     (writer.partitionBy(partition) if partition else writer).parquet(folder)
@@ -100,10 +103,13 @@ def write(
     return Written(folder, seen.get["rows"], parts)
 
 
-def append(spark: SparkSession, rows: DataFrame, path: str, partition: str | None) -> int:
-    """Add rows to the table's own folders; returns how many. They are seen when all tasks have written."""
+def append(
+    spark: SparkSession, rows: DataFrame, path: str, partition: str | None, finish: Callable[[DataFrame], DataFrame] | None = None
+) -> int:
+    """Add rows to the table's own folders; returns how many. They are seen when all tasks have written. ``finish`` as in ``write``."""
     table = read(spark, path)
-    dealt, seen = _counted(_dealt(rows.select(*table.columns), partition))
+    dealt = _dealt(rows, partition)
+    dealt, seen = _counted((finish(dealt) if finish else dealt).select(*table.columns))
     dealt.write.insertInto(identifier(path))
     return seen.get["rows"]
 

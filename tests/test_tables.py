@@ -275,3 +275,32 @@ def test_a_range_of_one_product_reads_few_row_groups(spark, tmp_path):
     assert len(files) == 4
     stats = [f.metadata.row_group(g).column(0).statistics for f in files for g in range(f.num_row_groups)]
     assert sum(s.min <= "m0777" <= s.max for s in stats) == 1
+
+
+def test_what_follows_from_a_row_is_not_shuffled(spark, path):
+    """Rows are dealt out as they come; derived and absent columns, casts and checks come after the exchange."""
+    plans = []
+    wide = table(required={"order_number"}, order_number=TEXT, order_datetime=INSTANT, total_price=NUMBER, label=TEXT, absent=TEXT)
+    house = path + "_wide"
+    rows = spark.createDataFrame([("a", "2024-01-05T00:00:00Z", 2), ("b", "2024-02-05T00:00:00Z", 3)], "order_number string, order_datetime string, n int")
+    rows = rows.withColumn("unused", F.lit("u"))
+    derived = {"total_price": F.col("n") * 2, "label": F.concat(F.lit("long text "), "order_number")}
+    counted = tabled._counted
+
+    def seen(dealt):
+        plans.append(dealt._jdf.queryExecution().optimizedPlan().toString())
+        return counted(dealt)
+
+    tabled._counted = seen
+    try:
+        for disposition in ("WRITE_APPEND", "WRITE_APPEND", "WRITE_TRUNCATE"):
+            tables.load(spark, rows, house, wide, disposition, partition="order_month", ts_column="order_datetime", derived=derived)
+    finally:
+        tabled._counted = counted
+    for plan in plans:
+        assert plan.index("long text") < plan.index("Rebalance") and "absent" not in plan[plan.index("Rebalance"):] and "unused" not in plan
+    got = sorted(map(tuple, schemas.read_table(spark, house, wide, "order_month").drop("order_datetime").collect()))
+    assert got == [("a", 4.0, "long text a", None, date(2024, 1, 1)), ("b", 6.0, "long text b", None, date(2024, 2, 1))]
+    with pytest.raises(Exception, match="order_number is null"):
+        tables.load(spark, rows.withColumn("order_number", F.lit(None).cast("string")), house, wide, partition="order_month", ts_column="order_datetime")
+    assert schemas.read_table(spark, house, wide, "order_month").count() == 2

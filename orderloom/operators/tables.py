@@ -8,6 +8,7 @@ are counted by the writes themselves.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,6 +22,10 @@ from orderloom.schemas import conform, ensure_table, read_table, with_partition
 from orderloom.session import stage
 
 
+ROWS_A_TASK = 250_000  # parameter: rows of target and source that one task of an upsert joins
+SMALL_SOURCE = 100_000  # parameter: sources of so many rows are left to Spark, which may broadcast them
+
+
 def with_month(rows: DataFrame, ts_column: str, partition: str) -> DataFrame:
     return rows.withColumn(partition, business_month(F.col(ts_column)))
 
@@ -164,6 +169,21 @@ def delete_range(
     return replace_range(spark, path, schema, nothing, ts_column, start_iso, end_iso, partition, keys)
 
 
+def _spread(frames: Sequence[DataFrame], keys: Sequence[str], pieces: int) -> list[DataFrame]:
+    """Frames that are about to meet by their keys; dealt over ``pieces`` partitions, which the joins then use, if there are any."""
+    return [frame.repartition(pieces, *keys) if pieces else frame for frame in frames]
+
+
+def _pieces(target: DataFrame, source: DataFrame) -> int:
+    """Over how many partitions a large target and source are dealt, so that a task sorts ``ROWS_A_TASK`` rows or so however large they are;
+    0 where the session's number is enough, or where the source is small and may be broadcast. The rows of a table and of staged rows are
+    counted from their footers."""
+    incoming = source.count()
+    pieces = math.ceil((target.count() + incoming) / ROWS_A_TASK)
+    enough = int(target.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pieces if incoming > SMALL_SOURCE and pieces > enough else 0
+
+
 def _hit(target: DataFrame, source: DataFrame, keys: Sequence[str], partition: str) -> list[str]:
     """The partitions of the target that hold a key of the source."""
     matched = target.select(partition, *keys).join(source.select(*keys).distinct(), list(keys), "left_semi")
@@ -198,16 +218,20 @@ def upsert(
     ts_column: str | None = None,
 ) -> bool:
     """Update or insert ``source`` by its keys. Only months that hold a matching row are read and written anew; months
-    that just get rows get more files. The source is staged, since the merge reads it more than once."""
+    that just get rows get more files. The source is staged, since the merge reads it more than once. Large tables are
+    dealt over more partitions than the session has, by their rows."""
     source = stage(spark, source, "source")
     if source.isEmpty():
         return False
     target = read_table(spark, path, schema, partition)
+    pieces = _pieces(target, source)
     if not partition:
-        replace_table(spark, conform(merges.upsert_by_keys(target, source, keys), schema), path, schema)
+        held, source = _spread((target, source), keys, pieces)
+        replace_table(spark, conform(merges.upsert_by_keys(held, source, keys), schema), path, schema)
         return True
-    hit = _hit(target, source, keys, partition)
-    content = conform(merges.upsert_by_keys(target.where(_month(partition, hit)).select(*schema.names), source, keys), schema)
+    hit = _hit(*_spread((target.select(partition, *keys), source.select(*keys)), keys, pieces), keys, partition)
+    held, source = _spread((target.where(_month(partition, hit)).select(*schema.names), source), keys, pieces)
+    content = conform(merges.upsert_by_keys(held, source, keys), schema)
     if ts_column:
         content = with_month(content, ts_column, partition)
     _settle(spark, content, path, schema, partition, hit)()

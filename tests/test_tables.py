@@ -1,3 +1,4 @@
+import math
 from datetime import date
 from pathlib import Path
 
@@ -304,3 +305,33 @@ def test_what_follows_from_a_row_is_not_shuffled(spark, path):
     with pytest.raises(Exception, match="order_number is null"):
         tables.load(spark, rows.withColumn("order_number", F.lit(None).cast("string")), house, wide, partition="order_month", ts_column="order_datetime")
     assert schemas.read_table(spark, house, wide, "order_month").count() == 2
+
+
+def test_a_large_upsert_is_dealt_by_its_rows(spark, path, tmp_path, monkeypatch):
+    """The join's partitions grow with the rows, and its result stays; a small source is left to Spark."""
+    dealt, plans = [], []
+    spread, settle = tables._spread, tables._settle
+    monkeypatch.setattr(tables, "_spread", lambda frames, keys, pieces: dealt.append(pieces) or spread(frames, keys, pieces))
+    monkeypatch.setattr(tables, "_settle", lambda spark, content, *a: plans.append(content._jdf.queryExecution().executedPlan().toString()) or settle(spark, content, *a))
+    house = str(tmp_path / "large")
+    start = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 3600)
+    rows = spark.range(4000).select(F.col("id").cast("string").alias("order_number"), start.alias("order_datetime"), F.lit(1.0).alias("total_price"))
+    tables.load(spark, rows, house, FACTS, partition="order_month", ts_column="order_datetime")
+    source = rows.where("order_number % 3 = 0").unionByName(rows.withColumn("order_number", F.concat(F.lit("new-"), "order_number")))
+    source = source.withColumn("total_price", F.lit(2.0))
+    wanted = {(str(n), 2.0 if n % 3 == 0 else 1.0) for n in range(4000)} | {(f"new-{n}", 2.0) for n in range(4000)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for small, pieces in ((100_000, 0), (0, math.ceil((4000 + 4000 + 5334) / 500))):
+            monkeypatch.setattr(tables, "ROWS_A_TASK", 500)
+            monkeypatch.setattr(tables, "SMALL_SOURCE", small)
+            assert tables.upsert(spark, house, FACTS, source, ["order_number"], "order_month", "order_datetime")
+            assert dealt == [pieces, pieces]
+            assert (f", {pieces})" in plans[0] or not pieces) and ("REPARTITION_BY_NUM" in plans[0]) == bool(pieces)
+            found = [(r.order_number, r.total_price) for r in schemas.read_table(spark, house, FACTS, "order_month").collect()]
+            assert len(found) == len(wanted) and set(found) == wanted
+            dealt.clear()
+            plans.clear()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

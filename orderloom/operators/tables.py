@@ -19,7 +19,7 @@ from orderloom import tabled
 from orderloom.functions.calendar import business_month, months_touched
 from orderloom.operators import merges
 from orderloom.schemas import conform, ensure_table, read_table, with_partition
-from orderloom.session import stage
+from orderloom.session import stage, unsent
 
 
 ROWS_A_TASK = 250_000  # parameter: rows of target and source that one task of an upsert joins
@@ -186,7 +186,7 @@ def _pieces(target: DataFrame, source: DataFrame) -> int:
 
 def _hit(target: DataFrame, source: DataFrame, keys: Sequence[str], partition: str) -> list[str]:
     """The partitions of the target that hold a key of the source."""
-    matched = target.select(partition, *keys).join(source.select(*keys).distinct(), list(keys), "left_semi")
+    matched = target.select(partition, *keys).join(source.select(*keys), list(keys), "left_semi")
     months = [row[0] for row in matched.select(partition).distinct().collect()]  # one value per month
     return [tabled.NO_VALUE if month is None else str(month) for month in months]
 
@@ -244,13 +244,16 @@ def replace_keys(
 ) -> None:
     """Delete the rows that have a key of ``numbers`` from some tables and add the incoming ones; all are written before one switches.
 
-    Only months that hold such a row are read and written anew. A second run with the same rows changes nothing.
+    Only months that hold such a row are read and written anew. A second run with the same rows changes nothing. The keys are staged, since
+    each table meets them twice.
     """
     steps = []
+    numbers = stage(spark, numbers.select(*keys).distinct(), "keys")
+    numbers = unsent(numbers, numbers.count())
     for path, (schema, incoming) in replacements.items():
         target = read_table(spark, path, schema, partition)
         hit = _hit(target, numbers, keys, partition)
-        kept = target.where(_month(partition, hit)).join(numbers.select(*keys).distinct(), list(keys), "left_anti")
+        kept = target.where(_month(partition, hit)).join(numbers, list(keys), "left_anti")
         fresh = with_month(conform(incoming, schema), ts_column, partition)
         steps.append(_settle(spark, kept.select(*fresh.columns).unionByName(fresh), path, schema, partition, hit))
     for show in steps:

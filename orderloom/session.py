@@ -13,6 +13,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: list[tempfile.TemporaryDirectory] = []
+SMALL_SIDE = 100_000  # parameter: the most rows of a staged side of a join that is left to Spark, which may broadcast it
 _STAGED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 _JOBS: list[list[str]] = []  # the scratch folders of the jobs that are running, innermost last
 
@@ -115,3 +116,9 @@ def stage(spark: SparkSession, df: DataFrame, label: str, codec: str | None = No
 def drop_stage(staged: DataFrame) -> None:
     """Delete the folder of a staged frame before its job ends. Nothing may read it any more."""
     remove(staged.sparkSession, _STAGED.pop(staged))
+
+
+def unsent(side: DataFrame, rows: int) -> DataFrame:
+    """A side of a join with so many rows, which is never broadcast if these are many. Spark judges staged rows by the size of their compressed
+    files, and a broadcast passes through the driver's memory: nine million order numbers are about a gigabyte there and eight megabytes by Spark's judgement."""
+    return side.hint("merge") if rows > SMALL_SIDE else side

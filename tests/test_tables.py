@@ -335,3 +335,32 @@ def test_a_large_upsert_is_dealt_by_its_rows(spark, path, tmp_path, monkeypatch)
             plans.clear()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_many_replaced_keys_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Staged keys look small by their compressed files; their number tells how they meet the tables, and the rows are the same."""
+    from orderloom import session
+
+    plans, hit = [], tables._hit
+
+    def seen(target, source, keys, partition):
+        for how in ("left_semi", "left_anti"):
+            plans.append(target.join(source, keys, how)._jdf.queryExecution().sparkPlan().toString())
+        return hit(target, source, keys, partition)
+
+    monkeypatch.setattr(tables, "_hit", seen)
+    start = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 3600)
+    rows = spark.range(2000).select(F.col("id").cast("string").alias("order_number"), start.alias("order_datetime"), F.lit(1.0).alias("total_price"))
+    for small, join in ((2000, "BroadcastHashJoin"), (1999, "SortMergeJoin")):
+        monkeypatch.setattr(session, "SMALL_SIDE", small)
+        house = str(tmp_path / join)
+        tables.load(spark, rows, house, FACTS, partition="order_month", ts_column="order_datetime")
+        changed = rows.where("order_number % 3 = 0").withColumn("total_price", F.lit(2.0))
+        numbers = rows.where("order_number % 3 < 2").select("order_number")
+        numbers = numbers.unionByName(numbers).unionByName(spark.range(666).select(F.concat(F.lit("none-"), "id").alias("order_number")))
+        assert numbers.distinct().count() == 2000
+        tables.replace_keys(spark, {house: (FACTS, changed)}, numbers, ["order_number"], "order_datetime")
+        assert all(join in plan for plan in plans) and len(plans) == 2
+        plans.clear()
+        found = sorted((int(r.order_number), r.total_price) for r in schemas.read_table(spark, house, FACTS, "order_month").collect())
+        assert found == [(n, 2.0 if n % 3 == 0 else 1.0) for n in range(2000) if n % 3 != 1]

@@ -324,3 +324,32 @@ def test_landings_of_one_month_go_by_their_ingest_time(spark, tmp_path):
 def test_member_flags(spark, tmp_path, value, flag):
     docs = read(spark, tmp_path, {"orderNumber": "x", "orderDatetime": AT, "rakutenMemberFlag": value})
     assert flatten.normalize_orders(docs).first().rakuten_member_flag is flag
+
+
+def test_documents_that_came_again_as_files_are_staged_once(spark, tmp_path, monkeypatch):
+    """What is left of whole files is looked up in the staged documents; only numbers that came again apart, or very many files, are staged anew."""
+    staged = []
+    write = documents.stage
+    monkeypatch.setattr(documents, "stage", lambda spark, df, label, codec=None: staged.append(label) or write(spark, df, label, codec))
+
+    def land_twice(name, newer):
+        path = str(tmp_path / name)
+        for numbers, day, price in ((range(6), 3, "old"), (newer, 9, "new")):
+            rows = spark.createDataFrame([(str(n), price) for n in numbers] + [(None, price)], "orderNumber string, totalPrice string").coalesce(1)
+            documents.write_order_documents(rows, path, datetime(2024, 7, day))
+        return documents.read_order_documents(spark, path)
+
+    def found(docs):
+        return sorted((r.orderNumber or "", r.totalPrice) for r in docs.collect())
+
+    wanted = sorted([("", "old"), ("", "new")] + [(str(n), "new") for n in range(6)])
+    again = land_twice("again", range(6))
+    kept = documents.staged_once(again, "docs")
+    assert found(kept) == wanted and staged.count("docs") == 1
+    assert "GreaterThanOrEqual(source_landed,20240709000000)" in kept._jdf.queryExecution().sparkPlan().toString()
+    staged.clear()
+    monkeypatch.setattr(documents, "FEW_FILES", 1)
+    assert found(documents.staged_once(again, "docs")) == wanted and staged.count("docs") == 2
+    monkeypatch.undo()
+    apart = documents.staged_once(land_twice("apart", range(3)), "docs")
+    assert found(apart) == sorted([("", "old"), ("", "new")] + [(str(n), "new" if n < 3 else "old") for n in range(6)])
